@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandbook.llm import decontaminate, simhash
+from brandbook.llm import decontaminate, simhash, warc
 from brandbook.session import table
 
 
+#: The date that fresh headers carry; a parameter, so that a query gives the same archive every time.
+WARC_DATE = "2024-01-01T00:00:00Z"
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), WARC_DATE).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return decontaminate.digest(found)
@@ -17,6 +25,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_decontaminate": op3_decontaminate, "op5_simhash": op5_simhash}
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op3_decontaminate": op3_decontaminate,
+    "op5_simhash": op5_simhash,
+}
 
 ORACLE_SQL: dict[str, str] = {}
