@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandbook.llm import decontaminate, simhash, warc
+from brandbook.llm import decision_list, decontaminate, simhash, url_filter, warc
 from brandbook.session import table
 
 
@@ -25,10 +25,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
+
+
+def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
+    "op9_url_filter": op9_url_filter,
+    "op10_decision_list": op10_decision_list,
 }
 
 ORACLE_SQL: dict[str, str] = {}
