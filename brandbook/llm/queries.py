@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandbook.llm import decision_list, decontaminate, simhash, url_filter, warc
+from brandbook.llm import decision_list, decontaminate, html_text, mixture, oracle, simhash, token_counts, url_filter, warc
 from brandbook.session import table
 
 
@@ -16,6 +16,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), WARC_DATE).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return decontaminate.digest(found)
@@ -25,6 +29,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.attribute(table(spark, sf_dir, "documents"), ["text"])
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
 
@@ -36,10 +48,13 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_html_text": op2_html_text,
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
+    "op6_mixture": op6_mixture,
+    "op7_token_counts": op7_token_counts,
     "op9_url_filter": op9_url_filter,
     "op10_decision_list": op10_decision_list,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracle.ORACLE_SQL
