@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandbook.llm import decision_list, decontaminate, html_text, mixture, oracle, simhash, token_counts, url_filter, warc
+from brandbook.llm import decision_list, decontaminate, html_text, mixture, oracle, quality, simhash, token_counts, toxicity, url_filter, warc
 from brandbook.session import table
 
 
@@ -25,8 +25,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"])
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +43,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(table(spark, sf_dir, "documents"), ["text"])
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id", "source", "lang"])
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
 
@@ -50,9 +60,11 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_html_text": op2_html_text,
     "op3_decontaminate": op3_decontaminate,
+    "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_mixture": op6_mixture,
     "op7_token_counts": op7_token_counts,
+    "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_decision_list": op10_decision_list,
 }

@@ -107,14 +107,33 @@ def links(values: DataFrame, radius: int = 2, direct: int = 32) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 2, direct: int = 32) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for every row of ``docs``; see the module's text."""
+    """``(doc_id, fingerprint, component_id, group)`` for every row of ``docs``; see the module's text. group
+    is a fingerprint that names the group, also where ids repeat or are missing."""
     slim = materialise(fingerprints(docs, text, key), "fingerprints")
     classes = materialise(slim.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     groups = materialise(connected_components(links(classes.select("fp"), radius, direct)), "groups")
     placed = materialise(groups.join(classes, groups.node == classes.fp).select("fp", "component", "least"), "placed")
     roots = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    linked = placed.join(roots, "component").select("fp", "component_id")
-    alone = classes.join(placed.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
+    linked = placed.join(roots, "component").select("fp", "component_id", F.col("component").alias("group"))
+    alone = classes.join(placed.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"), F.col("fp").alias("group"))
     labels = materialise(linked.union(alone), "labels")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return slim.join(labels, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return slim.join(labels, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id", "group", "fp")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 2, direct: int = 32) -> DataFrame:
+    """One row of each group: one with the group's least id (of several such rows any one). Rows whose id is
+    unique are told by it alone; others by id and fingerprint, which is worked out again for them."""
+    found = materialise(near_duplicates(docs, text, key, radius, direct).select("doc_id", "fp", "group", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("first")), "found")
+    uses = found.groupBy("doc_id").agg(F.count("*").alias("uses"), F.max("first").alias("first")).where("first")
+    uses = materialise(uses.select(F.col("doc_id").alias("_id"), ((F.col("uses") == 1) & F.col("doc_id").isNotNull()).alias("_alone")), "uses")
+    plain = docs.join(uses.where("_alone"), F.col(key) == F.col("_id"), "left_semi")
+    if uses.where("not _alone").limit(1).count() == 0:
+        return plain
+    shared = docs.join(uses.where("not _alone"), F.col(key).eqNullSafe(F.col("_id")), "left_semi")
+    packed = shared.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
+    run = row_map("text", lambda: lambda t: (_signed(fingerprint(t)),), ["fp"], [pa.int64()])
+    marked = packed.mapInArrow(run, packed.drop("text").schema.add("fp", "long"))
+    firsts = found.where("first").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "group").distinct()
+    one = marked.join(firsts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))).dropDuplicates(["group"])
+    return plain.unionByName(one.select("row.*"))
