@@ -5,8 +5,8 @@ their labels. Both samples are bounded (``positives``, ``unlabelled``: those wit
 ids) and taken from the rows open to learning. The class prior is the share of confirmed toxic ones among all
 labelled rows open to learning.
 
-*Features.* A word has as features itself, its first five to seven characters, and the runs of four and five
-characters of the word with its ends marked, all hashed into ``SPACE`` slots, so inflected and compounded
+*Features.* A word has as features itself, its first five to seven bytes, and the runs of four and five
+bytes of the word with its ends marked, all hashed into ``SPACE`` slots, so inflected and compounded
 forms share features. With h of a text's n words having a slot, the slot has two values, 0.08 log(1 + h) for
 what shouldn't occur at all and h / sqrt(n + 20) for what is odd only if frequent; the last value is log(1 + n). The ``features`` slots that speak most
 for the positives (by Poisson deviance) are kept.
@@ -32,15 +32,18 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brandbook.llm.arrow import slices
 from brandbook.session import materialise
 
 SPACE = 1 << 20
-POSITIVES, UNLABELLED, FEATURES = 4_000, 12_000, 8_192
+POSITIVES, UNLABELLED, FEATURES = 3_000, 9_000, 4_096
 #: A slot speaks for the positives if more of them have it than its share of the unlabelled lets expect, by this deviance.
 LEAST_SUPPORT, LEAST_DEVIANCE = 4, 20.0
+#: The weight of presence against rate: small, so that decay prefers the rate where either would do.
+PRESENCE = 0.08
 THRESHOLD = 0.3
 #: Words of which a task remembers the features.
 MEMORY = 300_000
@@ -52,12 +55,12 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def slots(word: str) -> list[int]:
+def slots(word: str) -> set[int]:
     """The slots of a lower-cased word."""
-    marked = f"^{word}$"
-    runs = {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
-    runs |= {f"={word}"} | {marked[:n] for n in (6, 7, 8)}
-    return sorted({crc32(r.encode("utf-8", "replace")) % SPACE for r in runs})
+    marked = b"^" + word.encode("utf-8", "replace") + b"$"
+    found = {crc32(marked[i : i + n]) % SPACE for n in (4, 5) for i in range(len(marked) - n + 1)}
+    found.update(crc32(marked[:n]) % SPACE for n in (6, 7, 8, len(marked)))
+    return found
 
 
 def _words(value: bytes | None) -> Counter:
@@ -65,17 +68,18 @@ def _words(value: bytes | None) -> Counter:
     return Counter(WORD.findall((value or b"").decode("utf-8", "replace").lower()))
 
 
-def _values(words: Counter, memory: dict) -> dict[int, float]:
-    """The values of the features that a text has; memory: word -> feature numbers; -1 is for the words' number."""
+def _hits(words: Counter, memory: dict) -> Counter:
+    """How many of the words have each slot; memory: word -> numbers of chosen slots."""
     hits: Counter = Counter()
     for word, n in words.items():
         for i in memory[word]:
             hits[i] += n
-    total = words.total()
-    values = {-1: log1p(total)}
-    for i, n in hits.items():
-        values[2 * i], values[2 * i + 1] = 0.08 * log1p(n), n / (total + 20) ** 0.5
-    return values
+    return hits
+
+
+def _values(hits, total):
+    """The two values of a slot that ``hits`` of ``total`` words have."""
+    return PRESENCE * np.log1p(hits), hits / np.sqrt(total + 20.0)
 
 
 class Memory(dict):
@@ -134,38 +138,47 @@ def _present(shared):
         memory = Memory(lambda s: [place[x] for x in s if x in place])
         for whole in batches:
             for batch in slices(whole, "text"):
-                rows = [sorted(_values(_words(v), memory).items()) for v in batch.column("text").to_pylist()]
-                numbers, values = pa.array([[i for i, _ in r] for r in rows], pa.list_(pa.int32())), pa.array([[x for _, x in r] for r in rows], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("positive"), numbers, values], names=["h", "positive", "slots", "values"])
+                words = [_words(v) for v in batch.column("text").to_pylist()]
+                hits = [sorted(_hits(w, memory).items()) for w in words]
+                numbers, counts = pa.array([[i for i, _ in r] for r in hits], pa.list_(pa.int32())), pa.array([[n for _, n in r] for r in hits], pa.list_(pa.int32()))
+                totals = pa.array([w.total() for w in words], pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("positive"), numbers, counts, totals], names=["h", "positive", "slots", "hits", "words"])
 
     return run
 
 
 class Rows:
-    """Rows of (feature numbers, values) as flat arrays; number -1 is the last of ``width`` features."""
+    """Texts as flat arrays: per (text, slot) the two values, per text the length.
+
+    Weights are laid out as presence by slot, rate by slot, length."""
 
-    def __init__(self, rows: list[tuple[list[int], list[float]]], width: int):
-        self.n, self.width = len(rows), width
-        self.row = np.repeat(np.arange(self.n), [len(r[0]) for r in rows])
-        self.feature = np.fromiter((i % width for r in rows for i in r[0]), dtype=np.int64)
-        self.value = np.fromiter((x for r in rows for x in r[1]), dtype=np.float64)
+    def __init__(self, slots: list, hits: list, words, width: int):
+        """Of each text the slots, their hits, and its words; ``width`` slots in all."""
+        self.n, self.width = len(slots), width
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(x) for x in slots])
+        self.slot = np.concatenate([np.asarray(x, dtype=np.int32) for x in slots] or [np.zeros(0, np.int32)])
+        words = np.asarray(words, dtype=np.float64)
+        flat = np.concatenate([np.asarray(x, dtype=np.float64) for x in hits] or [np.zeros(0)])
+        self.presence, self.rate = (x.astype(np.float32) for x in _values(flat, words[self.row]))
+        self.length = np.log1p(words)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=self.value * w[self.feature], minlength=self.n)
+        a, b = w[: self.width].astype(np.float32), w[self.width : -1].astype(np.float32)
+        return np.bincount(self.row, weights=self.presence * a[self.slot] + self.rate * b[self.slot], minlength=self.n) + self.length * w[-1]
 
     def back(self, d: np.ndarray) -> np.ndarray:
-        return np.bincount(self.feature, weights=self.value * d[self.row], minlength=self.width)
+        at = d.astype(np.float32)[self.row]
+        return np.concatenate([np.bincount(self.slot, weights=x * at, minlength=self.width) for x in (self.presence, self.rate)] + [[self.length @ d]])
 
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(positive: list[tuple], unlabelled: list[tuple], prior: float, width: int, steps: int = 800, rate: float = 0.03, decay: float = 0.01) -> tuple[float, np.ndarray]:
+def fit(p: Rows, u: Rows, prior: float, steps: int = 800, rate: float = 0.03, decay: float = 0.01) -> tuple[float, np.ndarray]:
     """Intercept and weights with the least non-negative risk, by Adam; ``decay`` is shared by the positives."""
-    p, u = Rows(positive, width), Rows(unlabelled, width)
     decay /= max(1, p.n)
-    theta = np.zeros(width + 1)
+    theta = np.zeros(2 * p.width + 2)
     theta[0] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     gradient = lambda rows, d: np.concatenate([[d.sum()], rows.back(d)]) / max(1, rows.n)
@@ -195,9 +208,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         return empty
     chosen = choose(texts, n[True], n[False], features)
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
-    rows = texts.mapInArrow(_present(shared), "h bigint, positive boolean, slots array<int>, values array<double>").collect()
-    rows.sort(key=lambda r: (r.h, r.slots, r["values"]))
-    intercept, weights = fit([(r.slots, r["values"]) for r in rows if r.positive], [(r.slots, r["values"]) for r in rows if not r.positive], prior, 2 * len(chosen) + 1)
+    rows = texts.mapInArrow(_present(shared), "h bigint, positive boolean, slots array<int>, hits array<int>, words int")
+    got = rows.orderBy("positive", "h", "words", F.hash("slots", "hits")).toArrow()
+    groups = [got.filter(got["positive"] if side else pc.invert(got["positive"])) for side in (True, False)]
+    sides = [Rows(g["slots"].to_numpy(), g["hits"].to_numpy(), g["words"].to_numpy(), len(chosen)) for g in groups]
+    intercept, weights = fit(*sides, prior)
     return {"prior": prior, "intercept": intercept, "slots": {s: i for i, s in enumerate(chosen)}, "weights": [round(float(w), 6) for w in weights]}
 
 
@@ -210,8 +225,11 @@ def _scorer(shared, text: str):
         def one(value: bytes | None) -> float:
             if base is None:
                 return float(model["prior"])
-            values = _values(_words(value), memory)
-            return float(sigmoid(base + sum(weights[i] * values[i] for i in sorted(values))))
+            words = _words(value)
+            total, g = words.total(), base + weights[-1] * log1p(words.total())
+            for i, n in sorted(_hits(words, memory).items()):
+                g += weights[i] * PRESENCE * log1p(n) + weights[len(place) + i] * n / (total + 20.0) ** 0.5
+            return float(sigmoid(g))
 
         for whole in batches:
             for batch in slices(whole, text):

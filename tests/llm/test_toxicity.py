@@ -50,10 +50,10 @@ def test_held_out_labels_are_not_learned(spark):
 
 def test_risk_is_not_negative():
     rng = np.random.default_rng(1)
-    positive = [([0], [1.0]) for _ in range(50)]
-    unlabelled = [([0], [1.0]) if rng.random() < 0.3 else ([1], [1.0]) for _ in range(500)]
-    base, w = T.fit(positive, unlabelled, 0.3, 3)
-    assert T.sigmoid(base + w[0]) > 0.8 and T.sigmoid(base + w[1]) < 0.1
+    positive = T.Rows([[0]] * 50, [[9]] * 50, [9] * 50, 2)
+    unlabelled = T.Rows([[int(rng.random() > 0.3)] for _ in range(500)], [[9]] * 500, [9] * 500, 2)
+    base, w = T.fit(positive, unlabelled, 0.3)
+    assert T.sigmoid(base + positive.dot(w)[0]) > 0.8 and T.sigmoid(base + unlabelled.dot(w)).min() < 0.1
 
 
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, 1, 1)]])
