@@ -71,7 +71,9 @@ def _record(kind: Column, lines: list[Column], http: Column, payload: Column, pa
 
 
 def _write(records: DataFrame, path: str, file_records: int) -> None:
-    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+    # text of pages gains little from slower levels of gzip
+    writer = records.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.option("maxRecordsPerFile", file_records).text(path)
 
 
 def write_archive(pages: DataFrame, path: str, date: str, html: str = "html", url: str = "url", page_id: str = "page_id", file_records: int = FILE_RECORDS) -> None:
@@ -201,7 +203,8 @@ def deduplicate(spark: SparkSession, source: str, target: str, date: str, min_pa
     """Write to ``target`` the archive ``source`` with repeated payloads as revisits of one response."""
     fates = resolve(materialise(read_archive(spark, source), "headers"), min_payload)
     fates = materialise(fates.select("file", "ordinal", "fate", "original"), "fates")
-    records = read_archive(spark, source, payloads=True).join(fates, ["file", "ordinal"])
+    # fates grow with the archive and compress well on disk, so their file size proves no bound for a broadcast
+    records = read_archive(spark, source, payloads=True).join(fates.hint("merge"), ["file", "ordinal"])
     kind, first = F.col("fate"), F.col("original")
     lines = [
         _line("WARC-Record-ID", record_urn(F.lit(date), F.col("file"), F.col("ordinal"))), _line("WARC-Date", F.lit(date)), _line("WARC-Target-URI", F.col("uri")),
