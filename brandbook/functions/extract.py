@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from brandbook.functions.norm import key, lookup
 from brandbook.schema import ASSOCIATION_NAMES, LOCI, PREFIXES, SUFFIXES
 
+# Formats that pages print.
 ANCESTOR = r"^([A-Z]{0,3}[0-9]{5,9})\s+(.+?)(?:\s*\[\s*([^\]]*)\s*\])?(?:\s*--\s*([A-Z0-9 ]+))?$"
 REFERENCE = r"\b([A-Z]{2,5})\s*#?\+?\s*([0-9]{4,9})\b"
 STATUS_LETTERS = {"F": "F", "C": "C", "A": "A"}

@@ -89,3 +89,13 @@ def refusal_streaks(visits: DataFrame, key: str, order: list[str], refused: Colu
     asked = F.lit(None).cast("int") if retry_after is None else retry_after
     wait = F.when(F.col("streak") > 0, F.coalesce(asked, F.least(BACKOFF_STEP * F.col("streak"), F.lit(MOST_BACKOFF)))).otherwise(0)
     return rows.withColumn("wait", wait).withColumn("stop", F.col("streak") >= STOP_AFTER)
+
+
+def allowed(queue: DataFrame, rules: DataFrame, url: Column) -> DataFrame:
+    """``queue`` without addresses that the longest fitting of ``rules(prefix, allow)`` forbids; no rule allows.
+
+    An address meets rules by its own prefixes, so this is an equi-join and not a comparison of all with all."""
+    rows = queue.withColumn("_url", url)
+    prefixes = rows.select("_url").distinct().select("_url", F.explode(F.transform(F.sequence(F.lit(1), F.length("_url")), lambda i: F.substring(F.col("_url"), F.lit(1), i))).alias("prefix"))
+    verdict = prefixes.join(rules, "prefix").groupBy("_url").agg(F.max_by("allow", F.length("prefix")).alias("_allow"))
+    return rows.join(verdict.where("not _allow").select("_url"), "_url", "left_anti").drop("_url")

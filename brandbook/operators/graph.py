@@ -209,3 +209,10 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
 def cardinalities(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, n) of a load."""
     return reduce(DataFrame.unionAll, (df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table"), "n") for t, df in tables.items()))
+
+
+def view(nodes: DataFrame, most_nodes: int = 200) -> DataFrame:
+    """What a drawing shows of each root's nodes: the first by uid, the root itself always."""
+    own = (F.col("uid") != F.col("root")).alias("other")
+    kept = nodes.groupBy("root").agg(F.slice(F.array_sort(F.collect_set(F.struct(own, F.col("uid")))), 1, most_nodes).alias("shown"))
+    return kept.select("root", F.explode("shown").alias("x")).select("root", "x.uid")

@@ -169,3 +169,20 @@ def payload_error(payload: Column, allowed: list[str], numeric: list[str], code:
 def may_replace(old: DataFrame, new: DataFrame, force: bool = False) -> bool:
     """An empty board doesn't replace one with readings, unless forced."""
     return force or new.limit(1).count() > 0 or old.limit(1).count() == 0
+
+
+def trend(series: DataFrame, t: str = "t", most: int = 24) -> DataFrame:
+    """The latest rows of a series, newest first."""
+    return series.orderBy(F.desc(t)).limit(most)
+
+
+def newest_graph(entries: DataFrame) -> DataFrame:
+    """Of ``entries(source, publishedAt, graph)`` the graph reading of the latest publisher that has one."""
+    return entries.where("graph is not null").agg(F.max_by("graph", "publishedAt").alias("graph"), F.max("publishedAt").alias("publishedAt"))
+
+
+def merged_boards(entries: DataFrame) -> DataFrame:
+    """One board per association out of ``entries(source, boards array<struct<association, ..., updated_at>>)``:
+    the newest reading, of equally new ones the first listed."""
+    rows = entries.select("source", F.posexplode("boards").alias("at", "b")).select("source", "at", "b.*").where("association is not null")
+    return newest(rows.withColumn("_o", F.struct("source", "at")), "association", "updated_at", "_o").drop("_o", "at")

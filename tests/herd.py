@@ -33,6 +33,7 @@ def _top_level(ddl):
     yield ddl[start:]
 
 
+# Record sets whose resolution is known.
 SIX = [
     record("CHIA", "MA430053", "MAB Sherwood Ace 7X", intl_id="USAM20180211Z001", sex="M", dob="2018-02-11", tattoo="MAB7X", dna_cases=["AGI-778812"], cross_refs=[{"association": "MAINE", "regNumber": "402303"}],
            breed_composition=[{"breed": "MA", "percent": 50.0}, {"breed": "AN", "percent": 50.0}], defects=[{"code": c, "status": "F"} for c in ("TH", "PHA", "CA")],

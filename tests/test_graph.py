@@ -39,6 +39,7 @@ def test_pedigree_counts_paths(spark):
     assert sorted((r.uid, r.depth) for r in G.pedigree_of(spark, rows, "a", 3).collect()) == got
     nodes, edges = G.subgraph(rows, roots, 4)
     assert {r.uid for r in nodes.collect()} == {"a", "b", "c", "d", "e", "k"} and edges.count() == 6
+    assert [r.uid for r in G.view(nodes, 2).collect()] == ["a", "b"]
     loop = lines(spark, [("a", "a")])
     assert G.pedigree(loop, roots, 99).count() == 20
 

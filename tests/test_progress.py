@@ -87,3 +87,14 @@ def test_published_and_validated(spark):
     load = spark.createDataFrame([({"association": "CHIA", "done": "5"},), ({"association": "chia"},), ({"association": "CHIA", "x": "1"},), ({"association": "CHIA", "done": "many"},)], "p map<string,string>")
     assert [r.e for r in load.select(P.payload_error(F.col("p"), ["association", "done"], ["done"], "association").alias("e")).collect()] == [None, "bad code", "unexpected field: x", "not a number: done"]
     assert not P.may_replace(rows, rows.limit(0)) and P.may_replace(rows, rows.limit(0), True) and P.may_replace(rows.limit(0), rows.limit(0))
+
+
+def test_rules_and_boards(spark):
+    queue = spark.createDataFrame([("A", "/ok/1"), ("A", "/no/1"), ("A", "/no/but/1")], "association string, path string")
+    rules = spark.createDataFrame([("/no/", False), ("/no/but", True)], "prefix string, allow boolean")
+    assert {r.path for r in Q.allowed(queue, rules, F.col("path")).collect()} == {"/ok/1", "/no/but/1"}
+    kind = "source string, publishedAt string, boards array<struct<association:string,done:int,updated_at:string>>, graph string"
+    entries = spark.createDataFrame([("x", "2", [("A", 1, "t1"), ("B", 5, None)], None), ("y", "1", [("A", 2, "t2"), ("B", 6, None)], "g")], kind)
+    assert {r.association: (r.done, r.source) for r in P.merged_boards(entries).collect()} == {"A": (2, "y"), "B": (5, "x")}
+    assert P.newest_graph(entries).first().graph == "g"
+    assert [r.t for r in P.trend(points(spark, range(30))).collect()] == list(range(29, 5, -1))
