@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Paths that this process has handed out and not deleted.
+_made: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,7 +34,8 @@ def shared_root(spark: SparkSession) -> str:
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; no two calls return the same one."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def materialise(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
@@ -55,8 +61,18 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def discard_frame(df: DataFrame) -> None:
-    """Delete the files of a frame that ``materialise`` returned."""
-    for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        if path.startswith(shared_root(df.sparkSession).replace("file:///", "file:/")) or path.startswith(shared_root(df.sparkSession)):
-            discard(df.sparkSession, path)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Within it, intermediate tables are made as ever; at its end they are deleted, but for those of frames
+    that were handed to the function it gives. What is still lazy by then must not read deleted ones."""
+    start, kept = len(_made), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.update(name.rsplit("/", 1)[0].removeprefix("file:").lstrip("/") for name in df.inputFiles())
+        return df
+
+    yield keep
+    for path in _made[start:]:
+        if path.removeprefix("file:").lstrip("/") not in kept:
+            discard(spark, path)
+            _made.remove(path)
