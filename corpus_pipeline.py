@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brandbook.llm import decontaminate, mixture, quality, simhash, toxicity
-from brandbook.session import materialise, table
+from brandbook.session import materialise, scratch, table
 
 
 def _packed(docs: DataFrame, *columns: str) -> DataFrame:
@@ -56,5 +56,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:
+            docs = keep(materialise(stage(spark, docs, sf_dir), name))
     return docs
