@@ -130,6 +130,18 @@ def _best_condition(rows: DataFrame, names: list[str]) -> tuple[tuple[str, bool,
     return best
 
 
+def _centred(rows: DataFrame, rules: list[list[tuple[str, bool, int]]]) -> list[list[Condition]]:
+    """The rules with each threshold in the middle of the gap that it lies in, so that neither side of the
+    sample touches it."""
+    used = sorted({(f, at) for rule in rules for f, _, at in rule})
+    if not used:
+        return []
+    ends = [x for f, at in used for x in (F.max(F.when(F.col(f"b_{f}") <= at, F.col(f))).alias(f"low_{f}_{at}"), F.min(F.when(F.col(f"b_{f}") > at, F.col(f))).alias(f"high_{f}_{at}"))]
+    seen = rows.agg(*ends).first()
+    middle = {(f, at): (seen[f"low_{f}_{at}"] + seen[f"high_{f}_{at}"]) / 2 for f, at in used}
+    return [[Condition(f, above, middle[f, at]) for f, above, at in rule] for rule in rules]
+
+
 def learn(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_rules: int = 8, most_conditions: int = 4, precision: float = 0.9, support: float = 0.01) -> list[list[Condition]]:
     """Rules that reject, in order, from ``labels(doc_id, quality)``: quality 0 is bad."""
     good = labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("quality")).where("quality is not null and id is not null")
@@ -145,7 +157,7 @@ def learn(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_rules:
     if not names:
         return []
     bins = [_bin(F.col(f), cuts[f]).alias(f"b_{f}") for f in names]
-    rows = materialise(rows.select("bad", (F.pmod(F.shiftright("h", 7), F.lit(3)) == 0).alias("pruning"), *bins), "binned")
+    rows = materialise(rows.select("bad", (F.pmod(F.shiftright("h", 7), F.lit(3)) == 0).alias("pruning"), *names, *bins), "binned")
     bad = rows.agg(F.sum("bad").alias("bad")).first().bad or 0
     rules: list[list[tuple[str, bool, int]]] = []
     open_rows = F.lit(True)
@@ -167,7 +179,7 @@ def learn(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_rules:
             break
         rules.append(rule[:keep])
         open_rows = open_rows & ~_holds(rule[:keep])
-    return [[Condition(f, above, cuts[f][at] if at < len(cuts[f]) else math.inf) for f, above, at in rule] for rule in rules]
+    return _centred(rows, rules)
 
 
 def rejects(rules: list[list[Condition]]) -> Column:
