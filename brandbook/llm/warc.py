@@ -7,7 +7,7 @@ and writes are committed or rolled back as whole tasks. Files hold at most ``fil
 *Resolution.* Only headers are shuffled: each record's digest, length, URI and place (file, ordinal). Per
 digest the original is the record with the largest page_id (then the last place), found by a partial maximum,
 so a payload that a third of all pages share costs one row a task. Joining originals back to the headers gives
-every record's fate; joining that by place to the records gives the new archive, in which a revisit has fresh
+every record's fate; joining revisits by place to the records gives the new archive, in which a revisit has fresh
 headers that name the original and no payload. The join by digest is one that adaptive execution can split.
 
 Records below ``min_payload`` bytes stay responses. A revisit record of the input keeps its digest, never
@@ -35,6 +35,7 @@ VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_RECORDS = 5_000
+BROADCAST_BYTES = 32 << 20
 #: Bytes of records that a reader holds before it hands them on, and of gzip output at a time.
 HOLD_BYTES, INFLATE_BYTES = 8 << 20, 1 << 20
 HEADERS = "file string, ordinal bigint, record_id string, record_type string, uri string, date string, page_id bigint, payload_bytes bigint, payload_digest string, refers_to bigint"
@@ -199,12 +200,17 @@ def resolve(headers: DataFrame, min_payload: int = 0) -> DataFrame:
     return joined.withColumn("fate", fate).withColumn("original", F.when(fate == "revisit", F.col("original")))
 
 
-def deduplicate(spark: SparkSession, source: str, target: str, date: str, min_payload: int = 0, file_records: int = FILE_RECORDS) -> None:
-    """Write to ``target`` the archive ``source`` with repeated payloads as revisits of one response."""
+def deduplicate(spark: SparkSession, source: str, target: str, date: str, min_payload: int = 0, file_records: int = FILE_RECORDS, broadcast_bytes: int = BROADCAST_BYTES) -> None:
+    """Write to ``target`` the archive ``source`` with repeated payloads as revisits of one response.
+
+    Only revisits have to find their records. They are broadcast if all of them take ``broadcast_bytes`` at most,
+    and payloads stay where they are; beyond that records and revisits are joined by sorting."""
     fates = resolve(materialise(read_archive(spark, source), "headers"), min_payload)
-    fates = materialise(fates.select("file", "ordinal", "fate", "original"), "fates")
-    # fates grow with the archive and compress well on disk, so their file size proves no bound for a broadcast
-    records = read_archive(spark, source, payloads=True).join(fates.hint("merge"), ["file", "ordinal"])
+    revisits = materialise(fates.where("fate = 'revisit'").select("file", "ordinal", "fate", "original"), "revisits")
+    # their file size proves no bound, since they compress well: their bytes are summed
+    size = revisits.agg(F.sum(96 + 2 * F.octet_length("file") + F.coalesce(F.octet_length("original.uri"), F.lit(0)))).first()[0] or 0
+    side = F.broadcast(revisits) if size <= broadcast_bytes else revisits.hint("merge")
+    records = read_archive(spark, source, payloads=True).join(side, ["file", "ordinal"], "left").withColumn("fate", F.coalesce("fate", "record_type"))
     kind, first = F.col("fate"), F.col("original")
     lines = [
         _line("WARC-Record-ID", record_urn(F.lit(date), F.col("file"), F.col("ordinal"))), _line("WARC-Date", F.lit(date)), _line("WARC-Target-URI", F.col("uri")),
@@ -216,10 +222,10 @@ def deduplicate(spark: SparkSession, source: str, target: str, date: str, min_pa
     _write(records.select(_record(kind, lines, _http_head(F.col("payload_bytes")), F.col("payload"), F.col("payload_bytes")).alias("value")), target, file_records)
 
 
-def round_trip(pages: DataFrame, date: str, min_payload: int = 0) -> DataFrame:
+def round_trip(pages: DataFrame, date: str, min_payload: int = 0, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Archive ``pages``, resolve revisits into a second archive, and read that one back."""
     spark = pages.sparkSession
     raw, clean = workspace(spark, "warc-raw"), workspace(spark, "warc")
     write_archive(pages, raw, date)
-    deduplicate(spark, raw, clean, date, min_payload)
+    deduplicate(spark, raw, clean, date, min_payload, broadcast_bytes=broadcast_bytes)
     return read_archive(spark, clean).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "uri")

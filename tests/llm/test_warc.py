@@ -20,14 +20,14 @@ def pages(spark):
     return rows, spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, payload string")
 
 
-@pytest.mark.parametrize("least", [0, 10])
-def test_round_trip(spark, least):
+@pytest.mark.parametrize(("least", "broadcast"), [(0, 1 << 20), (10, 0), (0, 0)])
+def test_round_trip(spark, least, broadcast):
     rows, frame = pages(spark)
     payloads = [(p, (h or "").encode()) for p, _, h in rows]
     last = {}
     for p, b in payloads:
         last[b] = max(-1 if p is None else p, last.get(b, -1))
-    got = W.round_trip(frame, DATE, least).collect()
+    got = W.round_trip(frame, DATE, least, broadcast).collect()
     seen, want = set(), []
     for p, b in payloads:
         original = len(b) < least or last[b] in (p, -1)
