@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brandbook.functions import norm
+from brandbook.operators.ordered import running_sums
 
 #: (age in seconds up to which, step in seconds); the last has no bound.
 STEPS = ((86_400, 600), (14 * 86_400, 3_600), (None, 21_600))
@@ -64,8 +65,7 @@ def carried_forward(readings: DataFrame, key: str = "association", t: str = "t")
     w = Window.partitionBy(key).orderBy(t)
     change = [(F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(0))).alias(c) for c in ("done", "pending")]
     moves = readings.select(t, *change).groupBy(t).agg(F.sum("done").alias("done"), F.sum("pending").alias("pending"))
-    running = Window.orderBy(t).rowsBetween(Window.unboundedPreceding, 0)  # one row a time
-    return moves.select(t, F.sum("done").over(running).alias("done"), F.sum("pending").over(running).alias("pending")).where("done <> 0 or pending <> 0")
+    return running_sums(moves, t, ["done", "pending"]).where("done <> 0 or pending <> 0")
 
 
 def rates(readings: DataFrame, key: str = "association", t: str = "t", done: str = "done") -> DataFrame:

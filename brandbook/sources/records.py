@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brandbook.functions import extract
+from brandbook.operators.ordered import numbered
 from brandbook.schema import BREED_TOKENS, FRONTIER, PREFIXES, RECORD, STATUS, SUBDOMAINS
-from brandbook.session import workspace
 
 
 def read_records(spark: SparkSession, paths: str | list[str], array: bool = False) -> DataFrame:
@@ -27,18 +27,6 @@ def read_records(spark: SparkSession, paths: str | list[str], array: bool = Fals
     return numbered(parsed, ["file", "at"]).select("seq", "r.*").drop("_bad")
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with ``seq`` from 0 in ``order``: counts per range-sorted partition give each its first number,
-    so no task sees all rows."""
-    spark = rows.sparkSession
-    path = workspace(spark, "ordered")
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
-    kept = spark.read.parquet(path)
-    sizes = kept.groupBy("_part").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
-    return kept.join(F.broadcast(starts.select("_part", "_first", "_start")), "_part").withColumn("seq", F.col("_start") + F.col("_id") - F.col("_first")).drop("_part", "_id", "_first", "_start", "n")
-
-
 def malformed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, lines, bad) of JSONL files."""
     text = spark.read.text(paths).select(F.input_file_name().alias("file"), "value").where(F.trim("value") != "")

@@ -5,13 +5,13 @@ a batch takes whole lines only, ``most_lines`` a file at most, and starts over w
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
+from brandbook.operators.ordered import numbered
 from brandbook.schema import RECORD
 
 MOST_LINES = 20_000
@@ -105,13 +105,5 @@ def store(path: str):
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
     """All records that ``store`` holds, with ``seq`` in the order in which they came."""
-    from brandbook.sources.records import numbered
-
     rows = spark.read.option("mergeSchema", True).parquet(path)
     return numbered(rows.drop("batch_id"), ["batch", "file", "at"]).drop("batch", "file", "at")
-
-
-def offsets_json(offsets: dict) -> str:
-    return json.dumps(offsets, sort_keys=True)
-
-
