@@ -68,11 +68,11 @@ def carried_forward(readings: DataFrame, key: str = "association", t: str = "t")
     return running_sums(moves, t, ["done", "pending"]).where("done <> 0 or pending <> 0")
 
 
-def rates(readings: DataFrame, key: str = "association", t: str = "t", done: str = "done") -> DataFrame:
+def rates(readings: DataFrame, key: str = "association", t: str = "t", done: str = "done", digits: int = 2) -> DataFrame:
     """Done per minute since the reading before."""
     w = Window.partitionBy(key).orderBy(t)
     gap = F.col(t) - F.lag(t).over(w)
-    return readings.withColumn("rate_per_min", F.when(gap > 0, F.round((F.col(done) - F.lag(done).over(w)) / gap * 60, 2)))
+    return readings.withColumn("rate_per_min", F.when(gap > 0, F.round((F.col(done) - F.lag(done).over(w)) / gap * 60, digits)))
 
 
 def eta_days(pending: Column, rate: Column) -> Column:

@@ -497,9 +497,9 @@ def series_locf(spark, d):
 
 @query(f"""
 WITH {_HOURLY}, d AS (SELECT *, t - lag(t) OVER w AS gap, n - lag(n) OVER w AS more FROM hourly WINDOW w AS (PARTITION BY association ORDER BY t))
-SELECT association, t, n, CASE WHEN gap > 0 THEN round(more / gap * 60, 2) END AS rate_per_min FROM d""")
+SELECT association, t, n, CASE WHEN gap > 0 THEN round(more / gap * 60, 6) END AS rate_per_min FROM d""")
 def rate_delta(spark, d):
-    return progress.rates(_hourly(spark, d).drop("m"), done="n")
+    return progress.rates(_hourly(spark, d).drop("m"), done="n", digits=6)
 
 
 _BOARD = """
