@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brandbook.functions import norm
@@ -24,6 +24,7 @@ from brandbook.session import materialise
 MOST_MENTIONS = 200_000
 FIELDS = ("intl_id", "name", "name_norm", "sex", "dob", "tattoo", "color", "horn_status")
 OUTPUT = "kind string, payload string"
+OUT_ROWS = 5_000
 
 
 def prepared(records: DataFrame, skip_steers: bool = False, preserve_affected: bool = False) -> DataFrame:
@@ -256,16 +257,40 @@ def _replay_block(mentions: list[dict]) -> Iterator[tuple[str, dict]]:
         yield "log", {"mention": mention, "step": step, "uid": uid, "rung": rung}
 
 
-def _group(most: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > most:
-            raise ValueError(f"block {pdf['block'].iloc[0]} has {len(pdf)} mentions; at most {most} are replayed together")
-        rows = [(kind, json.dumps(row)) for kind, row in _replay_block(pdf[["mention", "body"]].to_dict("records"))]
-        return pd.DataFrame(rows, columns=["kind", "payload"])
+def _replay_sorted(most: int):
+    """Replays blocks one after another from rows sorted by block and mention; of a task's rows only one block
+    and the results not yet handed on are held."""
+
+    def run(batches):
+        held, block, rows = [], None, []
+
+        def finish():
+            rows.extend((kind, json.dumps(row)) for kind, row in _replay_block(held))
+            held.clear()
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("block", "mention", "body"))
+            for at, mention, body in zip(*columns, strict=True):
+                if at != block and held:
+                    finish()
+                block = at
+                held.append({"mention": mention, "body": body})
+                if len(held) > most:
+                    raise ValueError(f"block {block} has more than {most} mentions, which are not replayed together")
+                if len(rows) >= OUT_ROWS:
+                    yield _told(rows)
+                    rows = []
+        finish()
+        if rows:
+            yield _told(rows)
 
     return run
 
 
+def _told(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["kind", "payload"])
+
+
 def replay(records: DataFrame, skip_steers: bool = False, tattoo_key: str = "tattoo", most_mentions: int = MOST_MENTIONS, preserve_affected: bool = False) -> dict[str, DataFrame]:
     """``records`` with ``seq`` to the graph's tables, plus ``log(mention, step, uid, rung)`` and
     ``mention(mention, uid)``. Raises if a block is larger than ``most_mentions``."""
@@ -274,7 +299,8 @@ def replay(records: DataFrame, skip_steers: bool = False, tattoo_key: str = "tat
     bodies = F.array(F.struct(F.lit(0).alias("i"), own.alias("body")), *(F.struct(F.lit(i).alias("i"), F.to_json(F.col(role), {"ignoreNullFields": "false"}).alias("body")) for i, role in ((1, "sire"), (2, "dam"))))
     mentions = rows.select("seq", F.explode(bodies).alias("m")).select((3 * F.col("seq") + F.col("m.i")).alias("mention"), F.col("m.body").alias("body")).where("body is not null")
     placed = mentions.join(materialise(blocks(block_keys(rows, tattoo_key)), "blocks"), "mention")
-    told = materialise(placed.groupBy("block").applyInPandas(_group(most_mentions), OUTPUT), "told")
+    in_order = placed.select("block", "mention", "body").repartition("block").sortWithinPartitions("block", "mention")
+    told = materialise(in_order.mapInArrow(_replay_sorted(most_mentions), OUTPUT), "told")
     table = lambda kind, ddl: told.where(F.col("kind") == kind).select(F.from_json("payload", ddl).alias("x")).select("x.*")
     out = {name: table(name, ddl) for name, ddl in TABLES.items() if name != "parentage"}
     out["log"], out["mention"] = table("log", "mention bigint, step bigint, uid string, rung string"), table("mention", "mention bigint, uid string, fallen boolean")
