@@ -6,14 +6,24 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of input that are turned into Python objects at a time.
 SLICE_BYTES = 8 << 20
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about ``SLICE_BYTES`` of ``column`` each, one row at least."""
-    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+def field(batch: pa.RecordBatch, path: str) -> pa.Array:
+    """A text column, or a dotted field of a struct column, as bytes. Strings aren't copied for that."""
+    name, *inner = path.split(".")
+    column = batch.column(name)
+    for part in inner:
+        column = pc.struct_field(column, part)
+    return column.cast(pa.binary())
+
+
+def slices(batch: pa.RecordBatch, path: str) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``SLICE_BYTES`` of the text at ``path`` each, one row at least."""
+    lengths = pc.binary_length(field(batch, path)).fill_null(0).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
         if size and size + n > SLICE_BYTES:
@@ -24,6 +34,23 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def texts(batch: pa.RecordBatch, path: str) -> list[bytes | None]:
+    return field(batch, path).to_pylist()
+
+
+def with_scan(docs: DataFrame, kept: list[str], text: str, *more: Column) -> tuple[DataFrame, str]:
+    """``docs`` with the columns ``kept`` and ``more``, and the path at which a task finds the text: in a kept
+    column if it is there (a dotted path into a struct too), else in a column ``_scan``."""
+    columns = [F.col(f"`{c}`") for c in kept]
+    if text.split(".")[0] in kept:
+        return docs.select(*columns, *more), text
+    return docs.select(*columns, *more, F.col(text).cast("binary").alias("_scan")), "_scan"
+
+
+def without_scan(batch: pa.RecordBatch) -> list[str]:
+    return [n for n in batch.schema.names if n != "_scan"]
+
+
 def row_map(column: str, make: Callable[[], Callable[[bytes | None], tuple]], names: list[str], types: list[pa.DataType], drop: tuple[str, ...] = ()):
     """A function for ``mapInArrow``: ``make()`` is called once a task and gives the function of a value.
 
@@ -34,7 +61,7 @@ def row_map(column: str, make: Callable[[], Callable[[bytes | None], tuple]], na
         function = make()
         for whole in batches:
             for batch in slices(whole, column):
-                rows = [function(x) for x in batch.column(column).to_pylist()]
+                rows = [function(x) for x in texts(batch, column)]
                 keep = [n for n in batch.schema.names if n != column and n not in drop]
                 made = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), *made], names=[*keep, *names])

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brandbook.llm.arrow import slices
+from brandbook.llm.arrow import slices, texts, with_scan
 from brandbook.session import materialise
 
 WINDOW = 13
@@ -135,7 +135,7 @@ def _scan_pass(shared, window: int, text: str):
             for batch in slices(whole, text):
                 counts, spans, items = [], [], []
                 before = zip(batch.column("hit_spans").to_pylist(), batch.column("items").to_pylist(), strict=True)
-                for value, (old_spans, old_items) in zip(batch.column(text).to_pylist(), before, strict=True):
+                for value, (old_spans, old_items) in zip(texts(batch, text), before, strict=True):
                     words = words_of(value)
                     found, named = matcher.scan(words)
                     counts.append(len(words))
@@ -153,14 +153,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     results = ["n_words", "hit_spans", "items", "n_hit", "n_items", "contaminated"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in results]
     spark = docs.sparkSession
-    scanned = docs.select(
-        *(F.col(f"`{c}`") for c in kept), F.col(text).cast("binary").alias("_scan"),
-        F.lit(0).cast("bigint").alias("n_words"), F.array().cast(SPAN).alias("hit_spans"), F.array().cast("array<string>").alias("items"),
-    )
+    start = [F.lit(0).cast("bigint").alias("n_words"), F.array().cast(SPAN).alias("hit_spans"), F.array().cast("array<string>").alias("items")]
+    scanned, path = with_scan(docs, kept, text, *start)
     for number, block in enumerate([*benchmark_blocks(benchmark, window, block_windows)] or [[]]):
         if number and number % 4 == 0:
             scanned = materialise(scanned, "overlaps")
-        scanned = scanned.mapInArrow(_scan_pass(spark.sparkContext.broadcast(block), window, "_scan"), scanned.schema)
+        scanned = scanned.mapInArrow(_scan_pass(spark.sparkContext.broadcast(block), window, path), scanned.schema)
     hit = F.aggregate("hit_spans", F.lit(0).cast("bigint"), lambda total, s: total + s["stop"] - s["start"])
     return (
         scanned.select(*(F.col(f"`{c}`") for c in kept), "n_words", "hit_spans", "items", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"))

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import slices
+from brandbook.llm.arrow import slices, texts, with_scan, without_scan
 from brandbook.session import materialise
 
 SAMPLE = 20_000
@@ -69,8 +69,8 @@ WIDTH = 24
 def _statistics_pass(batches):
     for whole in batches:
         for batch in slices(whole, "_scan"):
-            rows = [statistics((v or b"").decode("utf-8", "replace")) for v in batch.column("_scan").to_pylist()]
-            keep = [n for n in batch.schema.names if n != "_scan"]
+            rows = [statistics((v or b"").decode("utf-8", "replace")) for v in texts(batch, "_scan")]
+            keep = without_scan(batch)
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "stats"])
 
 
@@ -110,18 +110,18 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     return fit(stats[order], got["good"].to_numpy(dtype=float)[order])
 
 
-def _evidence_pass(shared):
+def _evidence_pass(shared, path: str):
     def run(batches):
         model = shared.value
         for whole in batches:
-            for batch in slices(whole, "_scan"):
+            for batch in slices(whole, path):
                 if "mean" in model:
                     p = np.full(batch.num_rows, model["mean"])
                 else:
-                    stats = np.round(np.array([statistics((v or b"").decode("utf-8", "replace")) for v in batch.column("_scan").to_pylist()]), 9)
+                    stats = np.round(np.array([statistics((v or b"").decode("utf-8", "replace")) for v in texts(batch, path)]), 9)
                     p = 1 / (1 + np.exp(-np.clip(model["base"] + model["weights"][design(stats, model["cuts"])].sum(axis=1), -30, 30)))
                 p = np.round(np.clip(p, LEAST_P, 1 - LEAST_P), 6)
-                keep = [n for n in batch.schema.names if n != "_scan"]
+                keep = without_scan(batch)
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(p)], names=[*keep, "p_doc"])
 
     return run
@@ -130,9 +130,9 @@ def _evidence_pass(shared):
 def evidence(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) with p_doc."""
     kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text).cast("binary").alias("_scan"))
+    rows, path = with_scan(docs, kept, text)
     schema = rows.drop("_scan").schema.add("p_doc", "double")
-    return rows.mapInArrow(_evidence_pass(docs.sparkSession.sparkContext.broadcast(model)), schema)
+    return rows.mapInArrow(_evidence_pass(docs.sparkSession.sparkContext.broadcast(model), path), schema)
 
 
 def _strength(groups: DataFrame, mean: Column, above: Column) -> float:
@@ -180,10 +180,11 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     shuffled; where ``keep`` is given, its rows are written once and the second pass reads those."""
     kept = [c for c in (docs.columns if keep is None else keep) if c not in (*RESULTS, "_host", "_path", "n", "s", "host_n", "host_s")]
     model = train(docs, labels, text, key, sample)
-    place = [F.col(f"`{host}`").alias("_site"), F.col(f"`{path}`").alias("_page"), F.col(text).alias("_text")]
-    slim = docs.select(*(F.col(f"`{c}`") for c in (kept if keep is not None else [])), *place)
+    place = [F.col(host).alias("_site"), F.col(path).alias("_page")]
+    slim = docs.select(*(F.col(f"`{c}`") for c in (kept if keep is not None else [])), *place, F.col(text).alias("_text"))
     scored = materialise(evidence(slim, model, "_text", [c for c in slim.columns if c != "_text"]), "evidence")
     table, prior = sites(scored, "_site", "_page")
     if keep is None:
-        scored = evidence(docs.select(*(F.col(f"`{c}`") for c in kept), *place), model, "_text", [*kept, "_site", "_page"])
+        rows = docs.select(*(F.col(f"`{c}`") for c in kept), *place, *([] if text.split(".")[0] in kept else [F.col(text).alias("_text")]))
+        scored = evidence(rows, model, text if text.split(".")[0] in kept else "_text", [*kept, "_site", "_page"])
     return posterior(scored, table, prior, "_site", "_page", threshold).drop("_site", "_page")

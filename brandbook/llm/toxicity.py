@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import slices
+from brandbook.llm.arrow import slices, texts as texts_of, with_scan, without_scan
 from brandbook.session import materialise
 
 SPACE = 1 << 20
@@ -85,12 +85,12 @@ def _values(hits, total):
 class Memory(dict):
     """word -> what ``make`` says of its slots, for the latest words."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = MEMORY):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, word: str):
-        if len(self) >= MEMORY:
+        if len(self) >= self.most:
             self.clear()
         out = self[word] = self.make(slots(word))
         return out
@@ -111,12 +111,12 @@ def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, positives: i
 
 def _count_slots(batches):
     counts = np.zeros((2, SPACE), dtype=np.int64)
-    memory = Memory(lambda s: s)
+    memory = Memory(lambda s: np.fromiter(s, dtype=np.int32), MEMORY // 3)
     for whole in batches:
         for batch in slices(whole, "text"):
-            for positive, value in zip(batch.column("positive").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if seen := {s for w in _words(value) for s in memory[w]}:  # each once a text
-                    counts[int(positive), np.fromiter(seen, dtype=np.int64)] += 1
+            for positive, value in zip(batch.column("positive").to_pylist(), texts_of(batch, "text"), strict=True):
+                if words := _words(value):
+                    counts[int(positive), np.unique(np.concatenate([memory[w] for w in words]))] += 1  # once a text
     used = np.flatnonzero(counts.sum(axis=0))
     for at in range(0, len(used), 1 << 16):
         part = used[at : at + (1 << 16)]
@@ -138,7 +138,7 @@ def _present(shared):
         memory = Memory(lambda s: [place[x] for x in s if x in place])
         for whole in batches:
             for batch in slices(whole, "text"):
-                words = [_words(v) for v in batch.column("text").to_pylist()]
+                words = [_words(v) for v in texts_of(batch, "text")]
                 hits = [sorted(_hits(w, memory).items()) for w in words]
                 numbers, counts = pa.array([[i for i, _ in r] for r in hits], pa.list_(pa.int32())), pa.array([[n for _, n in r] for r in hits], pa.list_(pa.int32()))
                 totals = pa.array([w.total() for w in words], pa.int32())
@@ -216,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     return {"prior": prior, "intercept": intercept, "slots": {s: i for i, s in enumerate(chosen)}, "weights": [round(float(w), 6) for w in weights]}
 
 
-def _scorer(shared, text: str):
+def _scorer(shared, path: str):
     def run(batches):
         model = shared.value
         place, weights, base = model["slots"], model["weights"], model["intercept"]
@@ -232,9 +232,9 @@ def _scorer(shared, text: str):
             return float(sigmoid(g))
 
         for whole in batches:
-            for batch in slices(whole, text):
-                keep = [n for n in batch.schema.names if n != text]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array([one(v) for v in batch.column(text).to_pylist()], pa.float64())], names=[*keep, "score"])
+            for batch in slices(whole, path):
+                keep = without_scan(batch)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array([one(v) for v in texts_of(batch, path)], pa.float64())], names=[*keep, "score"])
 
     return run
 
@@ -243,6 +243,6 @@ def score(docs: DataFrame, model: dict, text: str = "text", key: str = "doc_id",
     """The columns ``keep`` (all by default) of ``docs`` with held_out, score and predicted."""
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept), held_out(F.col(key)).alias("held_out"), F.col(text).cast("binary").alias("_scan"))
+    rows, path = with_scan(docs, kept, text, held_out(F.col(key)).alias("held_out"))
     schema = rows.drop("_scan").schema.add("score", "double")
-    return rows.mapInArrow(_scorer(shared, "_scan"), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return rows.mapInArrow(_scorer(shared, path), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
