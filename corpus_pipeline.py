@@ -14,17 +14,17 @@ from brandbook.llm import decontaminate, mixture, quality, simhash, toxicity
 from brandbook.session import materialise, scratch, table
 
 
-def _packed(docs: DataFrame, *columns: str) -> DataFrame:
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *columns)
+def _packed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(_packed(docs, "doc_id", "text"), model, keep=["row"]).where("predicted = 0").select("row.*")
+    return toxicity.score(_packed(docs), model, "row.text", "row.doc_id").where("predicted = 0").select("row.*")
 
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(_packed(docs, "doc_id", "text", "source", "lang"), table(spark, sf_dir, "labels"))
+    judged = quality.judge(_packed(docs), table(spark, sf_dir, "labels"), "row.source", "row.lang", "row.text", "row.doc_id")
     return judged.where("kept").select("row.*")
 
 
@@ -33,7 +33,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_overlaps(_packed(docs, "text"), table(spark, sf_dir, "benchmark"), keep=["row"])
+    found = decontaminate.find_overlaps(_packed(docs), table(spark, sf_dir, "benchmark"), "row.text")
     return found.where("not contaminated").select("row.*")
 
 
