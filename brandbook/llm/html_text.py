@@ -54,7 +54,12 @@ CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "thead": ({"tbody", "tfoot", "thead"}, {"table"}), "tbody": ({"tbody", "tfoot", "thead"}, {"table"}), "tfoot": ({"tbody", "tfoot", "thead"}, {"table"}),
 }
 FENCE = frozenset({"td", "th", "caption", "table"})
-TAG = re.compile(r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|/[^a-zA-Z][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z))""", re.S)
+#: Comments and declarations, or a tag: a quote only counts after an equals sign, an unclosed one runs to the end.
+TAG = re.compile(
+    r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|/[^a-zA-Z][^>]*(?:>|\Z)"""
+    r"""|(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*)(?:>|\Z))""",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 

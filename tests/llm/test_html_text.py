@@ -17,6 +17,7 @@ LONG = "word " * 40
         (f"<div class='post'><p>{LONG}</p><p>{LONG}</p></div><div class='ad-box'>{LONG}</div><div id='userComments'><p>{LONG}</div>", f"{LONG.strip()}\n{LONG.strip()}"),
         (f"<div><p>{LONG}</p><p>{LONG}</p></div><div>" + "<p><a href=x>more links</a></p>" * 12 + "</div>", f"{LONG.strip()}\n{LONG.strip()}"),
         (f"<div role=navigation>{LONG}</div><p hidden>x</p><p style='display: none'>x</p><p>kept</p>", "kept"), ("<p>x</div></p></span>y", "x\ny"), ("<article><p>cut o", "cut o"),
+        ("<p title=it's>one</p><p title='a>b' x=\"c>d\">two</p>", "one\ntwo"), ("<p>a</p><a href=\"x>rest <p>of it", "a"), ("<p>a</p>" + "<a b=\"" * 20_001, "a"),
         (f"<article><p>{LONG}</p><div class=promo><p>buy</article><footer>f", LONG.strip()),
     ],
 )
