@@ -14,7 +14,7 @@ shuffle, so a benchmark of any size is searched whole.
 Edge cases: a null or empty text, and one without words, has no words and no hits; items without words or
 without text have no windows; an item without ``item_id`` still marks words but is not counted or named;
 several rows with one id are one item; rows of ``docs`` stay as they are, repeated ones too; a column of
-``docs`` that is named like a result column is replaced.
+``docs`` that is named like a result column is replaced, one named ``_scan`` isn't kept.
 """
 
 from __future__ import annotations
@@ -151,7 +151,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     """The columns ``keep`` (all by default) of ``docs`` with n_words, hit_spans (disjoint word positions),
     items (sorted ids of the items that occur), n_hit, n_items and contaminated."""
     results = ["n_words", "hit_spans", "items", "n_hit", "n_items", "contaminated"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in results]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*results, "_scan")]
     spark = docs.sparkSession
     start = [F.lit(0).cast("bigint").alias("n_words"), F.array().cast(SPAN).alias("hit_spans"), F.array().cast("array<string>").alias("items")]
     scanned, path = with_scan(docs, kept, text, *start)

@@ -13,7 +13,7 @@ source with skewed sources split.
 
 Edge cases: a null source is a source of its own; a null doc_id is hashed as an empty string; repeated rows
 have equal counts; a text's length doesn't matter; sources with no weight, or weight 0, get no copies; an
-empty table gives no rows; a column of ``docs`` named like a result column is replaced.
+empty table gives no rows; a column of ``docs`` named copy or mix_key is replaced.
 """
 
 from __future__ import annotations
@@ -72,14 +72,14 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, tempera
     """The columns of ``docs`` with ``copy`` (from 1) and ``mix_key``, in the order of the mixture."""
     plain = docs.drop("copy", "mix_key")
     found = rates(plain, weights, temperature, total, source)
-    table = materialise(found.select(F.col("source").alias("_source"), cumulative(F.col("rate")).alias("_cumulative")), "rates")
-    u = uniform(seed, F.col(key))
-    counted = plain.join(table, F.col(source).eqNullSafe(F.col("_source"))).withColumn("_u", u)
-    times = F.size(F.filter("_cumulative", lambda f: f < F.col("_u")))
-    counted = counted.withColumn("_times", times).where("_times > 0").drop("_source", "_cumulative", "_u")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
-    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.col("copy").cast("string"))
-    return copies.withColumn("mix_key", F.md5(name)).repartition("mix_key").sortWithinPartitions("mix_key")
+    table = materialise(found.select(F.col("source").alias("of"), cumulative(F.col("rate")).alias("cumulative")), "rates")
+    # rows are carried as one struct, so no column of theirs meets a name that is used here
+    packed = plain.select(F.struct(*(F.col(f"`{c}`") for c in plain.columns)).alias("row"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("id"), F.col(source).alias("source"))
+    counted = packed.join(table, F.col("source").eqNullSafe(F.col("of"))).withColumn("u", uniform(seed, F.col("id")))
+    counted = counted.withColumn("times", F.size(F.filter("cumulative", lambda f: f < F.col("u")))).where("times > 0")
+    copies = counted.select("row", "id", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    keyed = copies.withColumn("mix_key", F.md5(F.concat(F.lit(seed + ":"), "id", F.lit(":"), F.col("copy").cast("string"))))
+    return keyed.repartition("mix_key").sortWithinPartitions("mix_key").select("row.*", "copy", "mix_key")
 
 
 #: The same rows by SQL, with the production parameters.

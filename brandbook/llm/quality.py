@@ -19,7 +19,7 @@ sides are shuffled and skewed paths split.
 Edge cases: a null or empty text has all statistics zero and counts as any other; null hosts and paths are
 sites of their own; ids without label aren't learned from, several labels of an id are rows of their own;
 without labels of both kinds every p is their mean (1 without any); repeated rows stay; an empty table gives
-no rows; a column named like a result column is replaced.
+no rows; a column named like a result column is replaced, those named in ``OWN`` aren't kept.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ BINS = 12
 THRESHOLD = 0.5
 LEAST_P = 0.001
 RESULTS = ("p_doc", "p_host", "p_path", "posterior", "kept")
+#: Names that are used on the way.
+OWN = ("_host", "_path", "_n", "_s", "_host_n", "_host_s", "_site", "_page", "_text", "_scan")
 SYMBOL = re.compile(r"[#*$%&|<>{}\[\]\\^~=_@]")
 DIGIT, UPPER = re.compile(r"\d"), re.compile(r"[^\W\d_a-zß-öø-ÿ]")
 STOP = re.compile(r"[.!?…][\"')\]]*(?:\s|$)")
@@ -129,7 +131,7 @@ def _evidence_pass(shared, path: str):
 
 def evidence(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) with p_doc."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*RESULTS, "_scan")]
     rows, path = with_scan(docs, kept, text)
     schema = rows.drop("_scan").schema.add("p_doc", "double")
     return rows.mapInArrow(_evidence_pass(docs.sparkSession.sparkContext.broadcast(model), path), schema)
@@ -163,14 +165,15 @@ def posterior(scored: DataFrame, table: DataFrame, prior: dict, host: str, path:
     """``scored`` with p_host, p_path, posterior and kept."""
     mean = min(1 - LEAST_P, max(LEAST_P, prior["mean"]))
     odds = lambda p: F.log(p / (1 - p))
+    table = table.select("_host", "_path", *(F.col(c).alias(f"_{c}") for c in ("n", "s", "host_n", "host_s")))
     joined = scored.join(table, F.col(f"`{host}`").eqNullSafe(F.col("_host")) & F.col(f"`{path}`").eqNullSafe(F.col("_path")))
-    p_host = (F.col("host_s") - F.col("p_doc") + prior["host"] * mean) / (F.col("host_n") - 1 + prior["host"])
-    p_path = (F.col("s") - F.col("p_doc") + prior["path"] * F.col("p_host")) / (F.col("n") - 1 + prior["path"])
+    p_host = (F.col("_host_s") - F.col("p_doc") + prior["host"] * mean) / (F.col("_host_n") - 1 + prior["host"])
+    p_path = (F.col("_s") - F.col("p_doc") + prior["path"] * F.col("p_host")) / (F.col("_n") - 1 + prior["path"])
     joined = joined.withColumn("p_host", F.round(F.least(F.lit(1 - LEAST_P), F.greatest(F.lit(LEAST_P), p_host)), 6))
     joined = joined.withColumn("p_path", F.round(F.least(F.lit(1 - LEAST_P), F.greatest(F.lit(LEAST_P), p_path)), 6))
     both = odds(F.col("p_doc")) + odds(F.col("p_path")) - F.lit(float(np.log(mean / (1 - mean))))
     joined = joined.withColumn("posterior", F.round(1 / (1 + F.exp(-both)), 6)).withColumn("kept", F.col("posterior") >= threshold)
-    return joined.drop("_host", "_path", "n", "s", "host_n", "host_s")
+    return joined.drop(*OWN[:6])
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", text: str = "text", key: str = "doc_id", keep: list[str] | None = None, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
@@ -178,7 +181,7 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
 
     Two passes over the texts: one for the sites' sums, one for the rows themselves, so that texts aren't
     shuffled; where ``keep`` is given, its rows are written once and the second pass reads those."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*RESULTS, "_host", "_path", "n", "s", "host_n", "host_s")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*RESULTS, *OWN)]
     model = train(docs, labels, text, key, sample)
     place = [F.col(host).alias("_site"), F.col(path).alias("_page")]
     slim = docs.select(*(F.col(f"`{c}`") for c in (kept if keep is not None else [])), *place, F.col(text).alias("_text"))

@@ -128,10 +128,11 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: i
     uses = found.groupBy("doc_id").agg(F.count("*").alias("uses"), F.max("first").alias("first")).where("first")
     uses = materialise(uses.select(F.col("doc_id").alias("_id"), ((F.col("uses") == 1) & F.col("doc_id").isNotNull()).alias("_alone")), "uses")
     # ids grow with the documents, so they are joined by sorting, never broadcast
-    plain = docs.join(uses.where("_alone").hint("merge"), F.col(key) == F.col("_id"), "left_semi")
-    if uses.where("not _alone").limit(1).count() == 0:
+    alone, others = uses.where("_alone"), uses.where("not _alone")
+    plain = docs.join(alone.hint("merge"), docs[key] == alone["_id"], "left_semi")
+    if others.limit(1).count() == 0:
         return plain
-    shared = docs.join(uses.where("not _alone").hint("merge"), F.col(key).eqNullSafe(F.col("_id")), "left_semi")
+    shared = docs.join(others.hint("merge"), docs[key].eqNullSafe(others["_id"]), "left_semi")
     packed = shared.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
     run = row_map("text", lambda: lambda t: (_signed(fingerprint(t)),), ["fp"], [pa.int64()])
     marked = packed.mapInArrow(run, packed.drop("text").schema.add("fp", "long"))

@@ -21,7 +21,7 @@ def brute(doc, rate):
 
 def test_counts_against_brute_force(spark):
     rows = [(i, f"t{i}", ("a", "a", "a", "b", None)[i % 5], i) for i in range(500)] + [(None, None, "c", 1), (7, "", "c", 2), (7, "", "c", 2)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copy int")
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, source string, copy int, times int, u int, row int")
     weights = {"a": 1.0, "b": 3.0, None: 2.0}
     n = Counter(r[2] for r in rows)
     rate = {s: weights.get(s, 0) / 6 * len(rows) / n[s] for s in n}

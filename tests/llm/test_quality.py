@@ -20,7 +20,7 @@ def corpus(n=900):
 def test_held_out_accuracy(spark):
     docs, labels = corpus()
     odd = [(None, None, None, None, 1.0), (5000, "", None, "en", 1.0), (1, docs[1][1], "s1", "en", 1.0), (5001, "w " * 50_000, "s1", None, 1.0)]
-    frame = spark.createDataFrame([*docs, *odd], "doc_id long, text string, source string, lang string, posterior double")
+    frame = spark.createDataFrame([(*r, 1, 2, 3) for r in [*docs, *odd]], "doc_id long, text string, source string, lang string, posterior double, n int, s int, _scan int")
     known = spark.createDataFrame([*labels, (None, 1), (7, None)], "doc_id long, quality int")
     slim = Q.judge(frame, known, keep=["doc_id"]).collect()
     full = Q.judge(frame, known).collect()

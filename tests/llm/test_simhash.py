@@ -70,7 +70,7 @@ def test_documents(spark):
     rng = random.Random(1)
     text = " ".join(f"w{rng.randrange(50)}" for _ in range(400))
     docs = [(i, text.replace("w7", f"v{i % 3}", 1)) for i in range(20, 28)] + [(1, None), (2, ""), (3, "One"), (3, "one"), (None, "one"), (4, "two words"), (5, "Ünï çödé text here"), (None, "alone without id"), (9, "x " * 30000)]
-    frame = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, fp int")
+    frame = spark.createDataFrame([(*d, 1, 2, 3, 4) for d in docs], "doc_id long, text string, fp int, _id int, `group` int, row int")
     rows = S.near_duplicates(frame).collect()
     assert len(rows) == len(docs)
     prints = {t: brute_print(t) for _, t in docs}

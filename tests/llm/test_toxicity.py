@@ -26,10 +26,10 @@ def corpus(n=900):
 def test_held_out_accuracy(spark):
     docs, labels = corpus()
     odd = [(None, "plain words", "x", 0.5), (8, docs[8][1], "x", 0.5), (10_001, "", "x", 0.5), (10_002, None, "x", 0.5), (10_003, "zorpen " + "abc " * 60_000, "x", 0.5)]
-    frame = spark.createDataFrame([*docs, *odd], "doc_id long, text string, lang string, score double")
+    frame = spark.createDataFrame([(*r, 1) for r in [*docs, *odd]], "doc_id long, text string, lang string, score double, _scan int")
     known = spark.createDataFrame([*labels, (None, 1, 1), (3, 1, None), (99_999, 1, 1)], "doc_id long, quality int, toxic int")
     model = T.train(frame, known)
-    rows = T.score(frame, model, keep=["doc_id"]).collect()
+    rows = T.score(frame, model).collect()
     assert len(rows) == len(docs) + len(odd)
     for r in rows:
         assert r.held_out == (r.doc_id is not None and crc32(str(r.doc_id).encode()) % 4 == 2)
