@@ -5,8 +5,8 @@ their labels. Both samples are bounded (``positives``, ``unlabelled``: those wit
 ids) and taken from the rows open to learning. The class prior is the share of confirmed toxic ones among all
 labelled rows open to learning.
 
-*Features.* A word has as features itself, its first five to seven bytes, and the runs of four and five
-bytes of the word with its ends marked, all hashed into ``SPACE`` slots, so inflected and compounded
+*Features.* A word has as features itself, its first three to seven bytes, and the runs of five bytes of the
+word with its ends marked, all hashed into ``SPACE`` slots, so inflected and compounded
 forms share features. With h of a text's n words having a slot, the slot has two values, 0.08 log(1 + h) for
 what shouldn't occur at all and h / sqrt(n + 20) for what is odd only if frequent; the last value is log(1 + n). The ``features`` slots that speak most
 for the positives (by Poisson deviance) are kept.
@@ -20,7 +20,8 @@ gradient instead. Fitted with numpy on the driver from rows of a few slot number
 Edge cases: a null or empty text, or one without known features, gets the intercept's score; texts are read
 whole; ids without text or label are skipped in learning; several labels of an id confirm it if one does;
 without positives every score is the prior (0 without labels); rows stay as they are, repeated ones too, a
-null id is never held out; an empty table gives no rows; a column named like a result column is replaced.
+null id is never held out; an empty table gives no rows; a column named like a result
+column is replaced, one named ``_scan`` isn't kept.
 """
 
 from __future__ import annotations
@@ -58,8 +59,8 @@ def held_out(key: Column) -> Column:
 def slots(word: str) -> set[int]:
     """The slots of a lower-cased word."""
     marked = b"^" + word.encode("utf-8", "replace") + b"$"
-    found = {crc32(marked[i : i + n]) % SPACE for n in (4, 5) for i in range(len(marked) - n + 1)}
-    found.update(crc32(marked[:n]) % SPACE for n in (6, 7, 8, len(marked)))
+    found = {crc32(marked[i : i + 5]) % SPACE for i in range(len(marked) - 4)}
+    found.update(crc32(marked[:n]) % SPACE for n in (4, 6, 7, 8, len(marked)))
     return found
 
 
@@ -241,7 +242,7 @@ def _scorer(shared, path: str):
 
 def score(docs: DataFrame, model: dict, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """The columns ``keep`` (all by default) of ``docs`` with held_out, score and predicted."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted", "_scan")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows, path = with_scan(docs, kept, text, held_out(F.col(key)).alias("held_out"))
     schema = rows.drop("_scan").schema.add("score", "double")
