@@ -275,11 +275,10 @@ def containers(pages: DataFrame) -> DataFrame:
     bag = F.map_concat(
         F.map_filter(F.create_map(*(x for label, k in named.items() for x in (F.lit(k), pair(label)))), lambda _, v: v.isNotNull()), norm.percent_keys(F.col("p.pairs")), F.create_map(F.lit("parse_confidence"), F.lit("cells"))
     )
-    empty = {f: F.lit(None).cast("string") for f in ("scraped_at",)}
     return rows.select(
         pair("International ID").alias("intl_id"), "association", pair("Registration").alias("regNumber"), pair("Name").alias("name"), norm.sex(pair("Sex")).alias("sex"), dob.alias("dob"), pair("Herd Prefix/Tattoo").alias("tattoo"),
         pair("Color").alias("color"), pair("Horn/Poll/Scur").alias("horn_status"), pair("Breeder").alias("breeder"), pair("Owner").alias("owner"), extract.genetic_makeup(pair("Genetic Makeup")).alias("breed_composition"),
-        extract.cross_registrations(F.col("html"), F.col("association")).alias("cross_refs"), bag.alias("bag"), norm.animal_url(F.col("association"), F.col("reg")).alias("source_url"), empty["scraped_at"].alias("scraped_at"), "reg",
+        extract.cross_registrations(F.col("html"), F.col("association")).alias("cross_refs"), bag.alias("bag"), norm.animal_url(F.col("association"), F.col("reg")).alias("source_url"), F.lit(None).cast("string").alias("scraped_at"), "reg",
     )
 
 

@@ -32,7 +32,6 @@ def prepared(records: DataFrame, skip_steers: bool = False, preserve_affected: b
     blank = lambda c: F.nullif(c, F.lit(""))
     trimmed = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
     rows = records.where(norm.key(F.col("sex")) != "S") if skip_steers else records
-    specific = lambda n: norm.is_specific(n)
 
     def parent(role: str) -> Column:
         p = F.col(role)
@@ -40,7 +39,7 @@ def prepared(records: DataFrame, skip_steers: bool = False, preserve_affected: b
         has_reg = F.coalesce(p["regNumber"], F.lit("")) != ""
         return F.when(
             p.isNotNull(),
-            F.struct(norm.key(p["intl_id"]).alias("intl"), F.when(has_reg, norm.key(p["association"])).alias("assoc"), F.when(has_reg, norm.key(p["regNumber"])).alias("reg"), p["name"].alias("name"), n.alias("norm"), specific(n).alias("specific")),
+            F.struct(norm.key(p["intl_id"]).alias("intl"), F.when(has_reg, norm.key(p["association"])).alias("assoc"), F.when(has_reg, norm.key(p["regNumber"])).alias("reg"), p["name"].alias("name"), n.alias("norm"), norm.is_specific(n).alias("specific")),
         )
 
     empty = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
@@ -54,7 +53,7 @@ def prepared(records: DataFrame, skip_steers: bool = False, preserve_affected: b
     )
     return rows.select(
         "seq", norm.key(F.col("association")).alias("assoc"), norm.key(F.col("regNumber")).alias("reg"), F.col("name"), norm.name(F.col("name")).alias("norm"),
-        norm.is_generic(norm.name(F.col("name"))).alias("generic"), specific(norm.name(F.col("name"))).alias("specific"), norm.key(F.col("intl_id")).alias("intl"), blank(norm.key(F.col("sex"))).alias("sex"), blank(trimmed("dob")).alias("dob"),
+        norm.is_generic(norm.name(F.col("name"))).alias("generic"), norm.is_specific(norm.name(F.col("name"))).alias("specific"), norm.key(F.col("intl_id")).alias("intl"), blank(norm.key(F.col("sex"))).alias("sex"), blank(trimmed("dob")).alias("dob"),
         blank(norm.key(F.col("tattoo"))).alias("tattoo"), blank(trimmed("color")).alias("color"), norm.horn(F.col("horn_status")).alias("horn"), cases.alias("cases"), xrefs.alias("xrefs"), breeds.alias("breeds"), defects.alias("defects"),
         parent("sire").alias("sire"), parent("dam").alias("dam"), "breeder", "owner", F.to_json("epds").alias("epds"), "attributes", "source_url", "scraped_at",
     )
