@@ -24,6 +24,7 @@ table gives no rows; other columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -40,16 +41,23 @@ SEED = 42
 SHINGLE = 3
 
 
-def fingerprint(text: bytes | None) -> int:
-    """The unsigned fingerprint of a UTF-8 text."""
+def shingle_hashes(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
+    """The hash of each shingle of ``size`` words of a UTF-8 text, repeats included."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
-    if len(words) < SHINGLE:
+        return np.zeros(0, dtype=np.uint64)
+    if len(words) < size:
         shingles = [b" ".join(words)]
     else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64)
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64)
+
+
+def fingerprint(text: bytes | None) -> int:
+    """The unsigned fingerprint of a UTF-8 text."""
+    hashes = shingle_hashes(text)
+    if not len(hashes):
+        return 0
     votes = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at : at + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -111,20 +119,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ra
     is a fingerprint that names the group, also where ids repeat or are missing."""
     slim = materialise(fingerprints(docs, text, key), "fingerprints")
     classes = materialise(slim.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    groups = materialise(connected_components(links(classes.select("fp"), radius, direct)), "groups")
+    labels = grouped(classes, links(classes.select("fp"), radius, direct))
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return slim.join(labels, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id", "group", "fp")
+
+
+def grouped(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(fp, component_id, group)`` of ``classes(fp, least)`` linked by ``edges(a, b)``."""
+    groups = materialise(connected_components(edges), "groups")
     placed = materialise(groups.join(classes, groups.node == classes.fp).select("fp", "component", "least"), "placed")
     roots = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = placed.join(roots, "component").select("fp", "component_id", F.col("component").alias("group"))
     alone = classes.join(placed.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"), F.col("fp").alias("group"))
-    labels = materialise(linked.union(alone), "labels")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return slim.join(labels, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id", "group", "fp")
+    return materialise(linked.union(alone), "labels")
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 2, direct: int = 32) -> DataFrame:
     """One row of each group: one with the group's least id (of several such rows any one). Rows whose id is
     unique are told by it alone; others by id and fingerprint, which is worked out again for them."""
-    found = materialise(near_duplicates(docs, text, key, radius, direct).select("doc_id", "fp", "group", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("first")), "found")
+    return keep_first(docs, near_duplicates(docs, text, key, radius, direct), lambda t: _signed(fingerprint(t)), text, key)
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, value: Callable[[bytes | None], int], text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each of ``groups(doc_id, fp, component_id, group)``; ``value`` gives a text's fp."""
+    found = materialise(groups.select("doc_id", "fp", "group", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("first")), "found")
     uses = found.groupBy("doc_id").agg(F.count("*").alias("uses"), F.max("first").alias("first")).where("first")
     uses = materialise(uses.select(F.col("doc_id").alias("_id"), ((F.col("uses") == 1) & F.col("doc_id").isNotNull()).alias("_alone")), "uses")
     # ids grow with the documents, so they are joined by sorting, never broadcast
@@ -134,7 +152,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: i
         return plain
     shared = docs.join(others.hint("merge"), docs[key].eqNullSafe(others["_id"]), "left_semi")
     packed = shared.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    run = row_map("text", lambda: lambda t: (_signed(fingerprint(t)),), ["fp"], [pa.int64()])
+    run = row_map("text", lambda: lambda t: (value(t),), ["fp"], [pa.int64()])
     marked = packed.mapInArrow(run, packed.drop("text").schema.add("fp", "long"))
     firsts = found.where("first").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "group").distinct()
     one = marked.join(firsts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))).dropDuplicates(["group"])
