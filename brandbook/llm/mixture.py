@@ -18,14 +18,18 @@ empty table gives no rows; a column of ``docs`` named copy or mix_key is replace
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brandbook.session import materialise
 
 SEED = "mix-1"
 TEMPERATURE = 0.5
-#: Rates above this are refused: a document repeated so often is a mistake in the weights.
+#: With given weights rates above this are refused: a document repeated so often is a mistake in the weights.
 MOST_RATE = 1000.0
+#: Above this rate the distribution isn't listed from 0.
+LISTED = 1000.0
 
 
 def uniform(seed: str, key: Column) -> Column:
@@ -34,17 +38,27 @@ def uniform(seed: str, key: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def first_listed(rate: Column) -> Column:
+    """Where the list of ``cumulative`` starts: 0, or for large rates twelve deviations below the rate, where
+    the distribution function is far below the least number that ``uniform`` gives."""
+    return F.when(rate > LISTED, F.floor(rate - 12 * F.sqrt(rate))).otherwise(F.lit(0)).cast("int")
+
+
 def cumulative(rate: Column) -> Column:
-    """The Poisson distribution function at 0, 1, 2, ... as far as doubles can tell it from 1."""
+    """The Poisson distribution function from ``first_listed`` on as far as doubles can tell it from 1."""
     last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    first = F.struct((-rate).alias("log_p"), F.exp(-rate).alias("f"), F.array(F.exp(-rate)).alias("all"))
+    k0 = first_listed(rate)
+    k = k0.cast("double")
+    # Stirling's series, exact in doubles for the starts of large rates
+    start = F.when(k0 > 0, k * F.log(rate / k) - (rate - k) - F.log(2 * pi * k) / 2 - 1 / (12 * k) + 1 / (360 * k * k * k)).otherwise(-rate)
+    first = F.struct(start.alias("log_p"), F.exp(start).alias("f"), F.array(F.exp(start)).alias("all"))
 
     def add(so_far: Column, k: Column) -> Column:
         log_p = so_far["log_p"] + F.log(rate) - F.log(k.cast("double"))
         f = so_far["f"] + F.exp(log_p)
         return F.struct(log_p.alias("log_p"), f.alias("f"), F.concat(so_far["all"], F.array(f)).alias("all"))
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last), first, add, lambda s: s["all"])).otherwise(F.array(F.lit(1.0)))
+    return F.when(rate > 0, F.aggregate(F.sequence(k0 + 1, last), first, add, lambda s: s["all"])).otherwise(F.array(F.lit(1.0)))
 
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, total: float | None = None, source: str = "source") -> DataFrame:
@@ -62,7 +76,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
         return counts.select("source", "n", F.lit(0.0).alias("rate"))
     wanted = float(sums.n if total is None else total)
     found = counts.select("source", "n", (F.col("weight") / F.lit(float(sums.w)) * F.lit(wanted) / F.col("n")).alias("rate"))
-    worst = found.agg(F.max("rate")).first()[0]
+    worst = 0.0 if weights is None else found.agg(F.max("rate")).first()[0]
     if worst > MOST_RATE:
         raise ValueError(f"a source would be repeated {worst:g} times; at most {MOST_RATE:g} is allowed")
     return found
@@ -72,11 +86,11 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, tempera
     """The columns of ``docs`` with ``copy`` (from 1) and ``mix_key``, in the order of the mixture."""
     plain = docs.drop("copy", "mix_key")
     found = rates(plain, weights, temperature, total, source)
-    table = materialise(found.select(F.col("source").alias("of"), cumulative(F.col("rate")).alias("cumulative")), "rates")
+    table = materialise(found.select(F.col("source").alias("of"), cumulative(F.col("rate")).alias("cumulative"), first_listed(F.col("rate")).alias("_first")), "rates")
     # rows are carried as one struct, so no column of theirs meets a name that is used here
     packed = plain.select(F.struct(*(F.col(f"`{c}`") for c in plain.columns)).alias("row"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("id"), F.col(source).alias("source"))
     counted = packed.join(table, F.col("source").eqNullSafe(F.col("of"))).withColumn("u", uniform(seed, F.col("id")))
-    counted = counted.withColumn("times", F.size(F.filter("cumulative", lambda f: f < F.col("u")))).where("times > 0")
+    counted = counted.withColumn("times", F.col("_first") + F.size(F.filter("cumulative", lambda f: f < F.col("u")))).where("times > 0")
     copies = counted.select("row", "id", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
     keyed = copies.withColumn("mix_key", F.md5(F.concat(F.lit(seed + ":"), "id", F.lit(":"), F.col("copy").cast("string"))))
     return keyed.repartition("mix_key").sortWithinPartitions("mix_key").select("row.*", "copy", "mix_key")

@@ -49,3 +49,17 @@ def test_sql(spark, tmp_path):
     con = duckdb.connect()
     con.register("documents", documents)
     assert sorted(map(str, con.sql(M.MIX_SQL).fetchall())) == sorted(str(tuple(r)) for r in M.mix(docs).collect())
+
+
+def test_every_rate_has_a_result(spark):
+    docs = spark.range(6002).selectExpr("id as doc_id", "'t' as text", "if(id < 6000, 'a', if(id = 6000, 'b', null)) as source")
+    got = Counter(r.doc_id for r in M.mix(docs, temperature=0.0).collect() if r.doc_id >= 6000)
+    rate = 6002 / 3
+    for doc in (6000, 6001):
+        u = (int(hashlib.md5(f"{M.SEED}:{doc}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        k = f = 0
+        while (f := f + math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))) < u:
+            k += 1
+        assert got[doc] == k
+    listed = spark.range(1).select(M.cumulative(M.F.lit(50_000.0)).alias("c"), M.first_listed(M.F.lit(50_000.0)).alias("k")).first()
+    assert abs(listed.c[-1] - 1) < 1e-9 and listed.k + sum(x < 0.5 for x in listed.c) in (49_999, 50_000)
