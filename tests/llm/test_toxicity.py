@@ -62,3 +62,10 @@ def test_without_two_kinds(spark, labels):
     model = T.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert [r.score for r in T.score(docs, model).collect()] == [float(labels == [(1, 1, 1)])] * 2
     assert T.score(docs.limit(0), model).count() == 0
+
+
+def test_learns_from_as_many_examples_as_stated(spark):
+    docs = spark.range(17_000).selectExpr("id as doc_id", "'some words' as text")
+    labels = docs.selectExpr("doc_id", "int(doc_id < 6000) as toxic")
+    n = {r.positive: r["count"] for r in T.sample(docs, labels, "text", "doc_id", T.POSITIVES, T.UNLABELLED).groupBy("positive").count().collect()}
+    assert n == {True: 4_000, False: 12_000} and T.FEATURES == 8_192
