@@ -2,7 +2,8 @@
 
 A tolerant one-pass parser builds the tree of block elements (inline markup only counts as tags of its
 block). Elements that are never article text (scripts, styles, menus, forms and what role, class or id name
-as such) are left out of the tree. Then, for every node, with C characters, T tags, LC link characters, LT
+as such) are left out of the tree; class and id names don't count against an article, what holds one or, without one,
+most of the text, and negating and taxonomy names (no-, has-, category-) don't count. Then, for every node, with C characters, T tags, LC link characters, LT
 link tags, and LCb, Cb those of the body:
 
     density = C / T * log(C / LC * T / LT) / log(ln(C / (C - LC) * LC + LCb / Cb * C + e))
@@ -61,41 +62,77 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+#: What a class name starts with that says what isn't there, is there too, or is the subject.
+ASIDE = frozenset("cat category has no not subject tag tax taxonomy term topic with without".split())
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("article", "best", "chars", "density", "items", "link_chars", "link_tags", "links_before", "parent", "sum", "tag", "tags", "taken")
+    __slots__ = ("article", "best", "chars", "density", "doubtful", "items", "link_chars", "link_tags", "links_before", "parent", "sum", "tag", "tags", "taken")
 
     def __init__(self, tag: str, parent: Node | None, links: int):
         self.tag, self.parent, self.links_before = tag, parent, links
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
-        self.best, self.taken = self, False
+        self.best, self.taken, self.doubtful = self, False, False
         #: the outermost article element that holds this node, itself included
         self.article = parent.article if parent and parent.article else self if tag == "article" else None
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)} if "=" in raw or "hidden" in raw else {}
+
+
 def _unwanted(tag: str, raw: str, in_article: bool) -> bool:
-    """Whether an element is left out for its tag or attributes."""
+    """Whether an element is left out for its tag, role or being hidden."""
     if tag in NEVER or tag == "header" and not in_article:
         return True
-    if "=" not in raw and "hidden" not in raw:
-        return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
+    found = _attributes(raw)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         return True
-    if found.get("role", "").lower() in ROLES:
-        return True
-    names = {x.lower() for x in PART.findall(found.get("class", "") + " " + found.get("id", ""))} & NAMES
+    return found.get("role", "").lower() in ROLES
+
+
+def _doubtful(raw: str, in_article: bool) -> bool:
+    """Whether a class or id names something other than the article."""
+    found = _attributes(raw)
+    names = set()
+    for name in (found.get("class", "") + " " + found.get("id", "")).split():
+        parts = [x.lower() for x in PART.findall(name)]
+        if parts and not (len(parts) > 1 and parts[0] in ASIDE):
+            names.update(parts)
+    names &= NAMES
     return bool(names - {"header"} if in_article else names)
 
 
+def _without_doubtful(root: Node, nodes: list[Node]) -> list[Node]:
+    """The nodes left when doubtful ones are cut from the tree. One stays if it is an article, holds an article
+    that isn't doubtful or main, or, on a page without these elsewhere, has most of the body's text."""
+    if not any(n.doubtful for n in nodes):
+        return nodes
+    chars, held = {n: n.chars for n in nodes}, {n: int(n.tag == "main" or n.tag == "article" and not n.doubtful) for n in nodes}
+    for node in reversed(nodes):
+        if node.parent:
+            chars[node.parent] += chars[node]
+            held[node.parent] += held[node]
+    left, gone = [], set()
+    for node in nodes:
+        cut = node.doubtful and node.tag != "article" and not held[node] and (held[root] or 2 * chars[node] <= chars[root])
+        if node.parent in gone or cut:
+            gone.add(node)
+        else:
+            left.append(node)
+    for node in left:
+        node.items = [x for x in node.items if not (isinstance(x, Node) and x in gone)]
+    return left
+
+
 def parse(html: str) -> tuple[Node, list[Node]]:
     """The body and all nodes, parents before children; unwanted elements are not in the tree."""
     root = Node("body", None, 0)
     nodes, here, links, at, skip = [root], root, 0, 0, None
+    named = False  # the skipped element is left out for its name alone
     stack: list[str] = []  # names within a skipped element
     held: Counter = Counter()  # open elements by name
 
@@ -147,8 +184,8 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                     skip = None
                     close(opened({tag}, ()))
             elif tag not in VOID and not m[3].endswith("/"):
-                if tag in ("article", "main") and "form" in stack:
-                    # a form around the page isn't a form of the page
+                if tag in ("article", "main") and ("form" in stack or named):
+                    # a form around the page isn't a form of the page, nor is a name's word
                     stack.clear()
                     skip = None
                 elif not (tag in ("p", "li", "option") and stack[-1] == tag):
@@ -166,7 +203,8 @@ def parse(html: str) -> tuple[Node, list[Node]]:
         if tag not in BLOCKS:
             if tag in ("br", "wbr"):
                 here.items.append(" " if tag == "br" else "")
-            if tag not in VOID and _unwanted(tag, m[3], here.article is not None):
+            if tag not in VOID and (_unwanted(tag, m[3], here.article is not None) or _doubtful(m[3], here.article is not None)):
+                named = not _unwanted(tag, m[3], here.article is not None)
                 if not m[3].endswith("/"):
                     skip, stack = tag, [tag]
                 continue
@@ -186,15 +224,16 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             here.tags += 1
             continue
         if tag == "form" or tag != "main" and _unwanted(tag, m[3], here.article is not None):
-            skip, stack = tag, [tag]
+            skip, stack, named = tag, [tag], False
             continue
         node = Node(tag, here, links)
+        node.doubtful = tag != "main" and _doubtful(m[3], here.article is not None)
         here.items.append(node)
         nodes.append(node)
         here = node
         held[tag] += 1
     text(unescape(html[at:]))
-    return root, nodes
+    return root, _without_doubtful(root, nodes)
 
 
 def measure(root: Node, nodes: list[Node]) -> None:

@@ -42,3 +42,16 @@ def test_deep_and_long(spark):
     got = [(r.page_id, r.text[:4], r.n_chars, len(r.text)) for r in H.extract(frame).collect()]
     assert [g[:2] for g in got] == [(1, "core"), (2, "p0 w"), (2, "")] and all(g[2] == g[3] for g in got)
     assert H.extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<article class="post hentry category-social tag-search"><p>{LONG}</p></article>', f'<article class="widget social"><p>{LONG}</p></article>',
+        f'<div id=page class="layout has-sidebar no-comments"><p>{LONG}</p></div>', f'<div class="search-page"><article><p>{LONG}</p></article></div>', f'<div class="social"><main><p>{LONG}</p></main></div>',
+        f'<div class="related-wrapper"><p>{LONG}</p></div>', f'<span class="share-root"><article><p>{LONG}</p></article></span>',
+        f'<article><p>{LONG}</p></article><section id=comments><article class="comment-body"><p>{LONG}{LONG}</p></article></section>', f'<article><p>{LONG}</p></article><div class=comments><p>{LONG}{LONG}{LONG}</p></div>',
+    ],
+)
+def test_names_that_hold_the_article(html):
+    assert H.main_text(html) == LONG.strip()
