@@ -87,11 +87,19 @@ def records_of(lines: DataFrame) -> DataFrame:
 
 def follow(spark: SparkSession, paths: list[str], sink, checkpoint: str, once: bool = False, every: str = "60 seconds", most_lines: int = MOST_LINES):
     """Start a query that hands each batch of records to ``sink(records, batch_id)``. Offsets advance after the
-    sink, so a batch may come again and the sink must be an upsert (``store`` is)."""
+    sink, so a batch may come again and the sink must be an upsert (``store`` is). With ``once`` the files are read
+    to their ends before this returns: a run asks for the latest offset only once, so runs follow one another until
+    one makes no batch."""
     spark.dataSource.register(TailSource)
     lines = spark.readStream.format("tail").option("path", ",".join(paths)).option("mostlines", most_lines).load()
     writer = records_of(lines).writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+    if not once:
+        return writer.trigger(processingTime=every).start()
+    while True:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        if not any(p["sources"][0]["startOffset"] != p["sources"][0]["endOffset"] for p in query.recentProgress):
+            return query
 
 
 def store(path: str):

@@ -77,6 +77,13 @@ def test_tail_takes_whole_lines_once(spark, tmp_path):
     assert tail.new_lines(str(path), 10_000)[0][0][0] == 0
 
 
+def test_tail_once_reads_to_the_end(spark, tmp_path):
+    path = tmp_path / "long.jsonl"
+    path.write_text("\n" * 12 + "".join(json.dumps({**herd.SIX[0], "regNumber": f"N{i}"}) + "\n" for i in range(25)))
+    tail.follow(spark, [str(path)], tail.store(str(tmp_path / "store")), str(tmp_path / "check"), once=True, most_lines=10).awaitTermination(120)
+    assert [r.regNumber for r in tail.stored(spark, str(tmp_path / "store")).orderBy("seq").collect()] == [f"N{i}" for i in range(25)]
+
+
 def test_history_stream(spark, tmp_path):
     schema = "association string, t bigint, done bigint, pending bigint"
     src = str(tmp_path / "in")
