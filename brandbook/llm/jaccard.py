@@ -1,133 +1,120 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, exactly, by prefix filtering.
-
-*Sets.* A text's set holds the hashes of its shingles of five words (words, short texts and hash as in
-``simhash``). Texts with equal sets are one row from the start, named by a 64-bit hash of the set (zero
-without words), so copies never make pairs.
-
-*Candidates.* Two sets of a similarity of t or more share t times the larger's size, so in any order of all
-shingles the first n - ceil(t n) + 1 of one share a shingle with those of the other: no pair is missed. The
-order is by hash, with shingles that are common in a sample put last, so that boilerplate makes few buckets;
-what the sample misses costs time and changes no result.
-
-*Links.* A candidate pair is compared by its whole sets. Buckets with at most ``direct`` sets are paired. In a
-larger bucket all are compared with the least set first; two that are linked to it need no comparison, and by
-the triangle inequality of the Jaccard distance neither do two whose distances to it differ by more than 1 - t.
-Nothing is dropped; a large bucket of unlike sets of one size still costs the square of its size.
-
-Edge cases are those of ``simhash``.
+"""Pairs of sets by Jaccard similarity, exactly: comparison of candidate pairs, and the pairs that other
+candidate searches leave out, by prefix filtering.
+
+A set is ``(fp, n, part, copies)`` with its name, size, the group that it is already known to be in, and how often
+it occurs. Pairs within one part need no comparison.
+
+*Prefixes.* Two sets of a similarity of t or more share at least t / (1 + t) of their sizes' sum, and t of the
+larger's size. In any order of all items, the first n - ceil(t n) + 1 items of the one and of the other have an
+item in common, and at the first such item so many items must be left in both as they share at least: no pair is
+missed by looking only at pairs whose places pass this bound.
+
+*First round.* Items are ordered by hash, those that are common in a sample put last, so that boilerplate makes
+few buckets; what the sample misses costs time and changes no result. Buckets with at most ``direct`` sets are
+paired, under the bounds on size and place.
+
+*Second round.* Sets of larger buckets are taken whole and joined again among themselves in the order of exact
+counts, rarest first. So what one variant of a text has alone comes first, and the bound on places rules out those
+that are too far from the others. Small buckets are paired as before. In a larger bucket every set is compared
+with one pivot, the set with the most copies; sets that are linked to it need no comparison with each other,
+and the others meet the bucket under the same bounds. Nothing is dropped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import row_map
-from brandbook.llm.simhash import SEED, _signed, grouped, keep_first, shingle_hashes
+from brandbook.llm.joins import bounded
 from brandbook.session import materialise
 
-SHINGLE = 5
 #: The least similarity of near-duplicates, as a fraction.
 LEAST = (4, 5)
-#: Texts of the sample, how many of them have a common shingle, and how many common shingles are known.
-SAMPLE, COMMON, MOST_COMMON = 5_000, 5, 100_000
-
+#: Sets that a bucket may have whose pairs are looked at directly.
+DIRECT = 64
 
-def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
-    return np.unique(shingle_hashes(text, size).view(np.int64))
 
+def prefix_length(n: int, least: tuple[int, int]) -> int:
+    """How many first items of a set of ``n`` must meet those of a similar one."""
+    return n + least[0] * n // -least[1] + 1 if n else 0
 
-def set_name(found: np.ndarray) -> int:
-    return _signed(xxhash.xxh64_intdigest(found.tobytes(), SEED)) if len(found) else 0
 
+def ordered(found: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """The items of a sorted set, those of the sorted ``late`` last."""
+    last = np.isin(found, late, assume_unique=True)
+    return np.concatenate([found[~last], found[last]])
 
-def _sets(docs: DataFrame, text: str, size: int) -> DataFrame:
-    """``(fp, n, items)`` of every row of ``docs``."""
 
-    def one(value: bytes | None) -> tuple:
-        found = shingle_set(value, size)
-        return set_name(found), len(found), found
+def compare(pairs: DataFrame, whole: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+    """The pairs ``(a, b)`` that are similar, of ``pairs(a, b)``, by the sets ``whole(fp, items)``."""
+    a, b = (whole.select(F.col("fp").alias(x), F.col("items").alias(f"of_{x}")) for x in "ab")
+    both = pairs.distinct().join(a, "a").join(b, "b")
+    sizes = both.select("a", "b", (F.size("of_a") + F.size("of_b")).alias("sum"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+    return sizes.where(F.col("common") * least[1] >= (F.col("sum") - F.col("common")) * least[0]).select("a", "b")
 
-    run = row_map("text", lambda: one, ["fp", "n", "items"], [pa.int64(), pa.int64(), pa.list_(pa.int64())])
-    return docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "fp bigint, n bigint, items array<bigint>")
 
+def _may_match(n: Column, pos: Column, part: Column, m: Column, at: Column, of: Column, least: tuple[int, int]) -> Column:
+    """Whether two sets of sizes n and m that first meet at places pos and at can be similar, and aren't known to be."""
+    num, den = least
+    return (part != of) & (F.least(n, m) * den >= F.greatest(n, m) * num) & (F.least(n - pos, m - at) * (num + den) >= (n + m) * num)
 
-def common(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> np.ndarray:
-    """Shingles that several texts of a sample have, sorted."""
-    share = min(1.0, SAMPLE / max(1, docs.count()))
-    some = docs if share == 1 else docs.sample(share, seed=SEED)
-    items = _sets(some, text, size).dropDuplicates(["fp"]).select(F.explode("items").alias("item"))
-    often = items.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).orderBy(F.desc("n"), "item").limit(MOST_COMMON)
-    return np.sort(np.array([r.item for r in often.select("item").collect()], dtype=np.int64))
-
-
-def prefixes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """``(doc_id, fp, n, items)``, items the first ones of the set, as many as a similar set must meet."""
-    last = common(docs, text, size)
-    slim = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-
-    def one(value: bytes | None) -> tuple:
-        found = shingle_set(value, size)
-        n = len(found)
-        late = np.isin(found, last, assume_unique=True)
-        ordered = np.concatenate([found[~late], found[late]])
-        return set_name(found), n, ordered[: n + least[0] * n // -least[1] + 1]
 
-    run = row_map("text", lambda: one, ["fp", "n", "items"], [pa.int64(), pa.int64(), pa.list_(pa.int64())])
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp bigint, n bigint, items array<bigint>")
+def _paired(members: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs of small buckets ``members(item, fp, n, part, pos)``."""
+    held = members.groupBy("item").agg(F.collect_list(F.struct("fp", "n", "part", "pos")).alias("held"))
+    each = held.select("held", F.explode("held").alias("x"))
+    x = lambda f: F.col(f"x.{f}")
+    fits = F.filter("held", lambda y: (y["fp"] > x("fp")) & _may_match(x("n"), x("pos"), x("part"), y["n"], y["pos"], y["part"], least))
+    return each.select(x("fp").alias("a"), F.explode(F.transform(fits, lambda y: y["fp"])).alias("b"))
 
 
-def links(classes: DataFrame, sets, least: tuple[int, int] = LEAST, direct: int = 32) -> DataFrame:
-    """Edges ``(a, b)`` that connect the similar ones of ``classes(fp, n, items)``; ``sets(names)`` gives
-    ``(fp, items)``, the whole sets of ``names(fp)``."""
-    num, den = least
-    entries = classes.select("fp", "n", F.explode("items").alias("item"))
+def _buckets(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """``entries(item, fp, pos)`` of items that several have, with the bucket's size m and what ``classes`` says."""
     sizes = materialise(entries.groupBy("item").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
-    shared = materialise(entries.join(sizes, "item"), "shared")
-    whole = materialise(sets(shared.select("fp").distinct()), "sets")
-
-    def fits(n: Column, m: Column) -> Column:
-        return F.least(n, m) * den >= F.greatest(n, m) * num
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        """``(a, b, common, all)`` of the different pairs."""
-        a, b = (whole.select(F.col("fp").alias(x), F.col("items").alias(f"of_{x}")) for x in "ab")
-        both = pairs.distinct().join(a, "a").join(b, "b")
-        both = both.select("a", "b", F.size("of_a").alias("na"), F.size("of_b").alias("nb"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
-        return both.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("all"))
-
-    alike = F.col("common") * den >= F.col("all") * num
-    small = shared.where(F.col("m") <= direct).groupBy("item").agg(F.collect_list(F.struct("fp", "n")).alias("held"))
-    pairs = small.select("held", F.explode("held").alias("x")).select(
-        F.col("x.fp").alias("a"), F.explode(F.filter("held", lambda y: (y["fp"] > F.col("x.fp")) & fits(y["n"], F.col("x.n")))).alias("y")
-    ).select("a", F.col("y.fp").alias("b"))
-
-    crowd = shared.where(F.col("m") > direct).select("item", "fp", "n")
-    heads = crowd.groupBy("item").agg(F.min("fp").alias("head"))
-    headed = materialise(crowd.join(heads, "item"), "headed")
-    stars = materialise(compared(headed.where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))), "stars")
-    far = headed.join(stars.select(F.col("a").alias("head"), F.col("b").alias("fp"), "common", "all", alike.alias("near")), ["head", "fp"])
-    x, y = (far.select("item", F.col("fp").alias(f"{s}_fp"), F.col("n").alias(f"{s}_n"), F.col("near").alias(f"{s}_near"), (1 - F.col("common") / F.col("all")).alias(f"{s}_off")) for s in "xy")
-    rest = x.join(y, "item").where("x_fp < y_fp and not (x_near and y_near)").where(fits(F.col("x_n"), F.col("y_n")))
-    rest = rest.where(F.abs(F.col("x_off") - F.col("y_off")) <= 1 - num / den + 1e-9).select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b"))
-    return compared(pairs.union(rest)).union(stars).where(alike).select("a", "b")
-
-
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, least: tuple[int, int] = LEAST, direct: int = 32) -> DataFrame:
-    """``(doc_id, fp, component_id, group)`` for every row of ``docs``, as ``simhash.near_duplicates``."""
-    slim = materialise(prefixes(docs, text, key, size, least), "prefixes")
-    names = materialise(slim.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-
-    def sets(wanted: DataFrame) -> DataFrame:
-        ids = names.join(wanted, "fp").select(F.col("least").alias("_id")).distinct()
-        return _sets(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), "text", size).join(wanted, "fp", "left_semi").dropDuplicates(["fp"]).select("fp", "items")
-
-    edges = links(slim.select("fp", "n", "items").dropDuplicates(["fp"]), sets, least, direct)
-    return slim.select("doc_id", "fp").join(grouped(names, edges), "fp").select("doc_id", "fp", "component_id", "group")
-
-
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, least: tuple[int, int] = LEAST, direct: int = 32) -> DataFrame:
-    """One row of each group, as ``simhash.keep_one``."""
-    return keep_first(docs, near_duplicates(docs, text, key, size, least, direct), lambda t: set_name(shingle_set(t, size)), text, key)
+    return materialise(entries.join(bounded(sizes), "item").join(bounded(classes), "fp"), "shared")
+
+
+def _by_count(crowd: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """``crowd(fp, items)`` to its prefixes ``(fp, pos, item)`` in the order of counts within ``crowd``."""
+    items = crowd.select("fp", F.size("items").alias("n"), F.explode("items").alias("item"))
+    counts = materialise(items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1"), "counts")
+    # items of one set alone come first and meet nothing, so the others' places follow from how many there are
+    rest = items.join(bounded(counts), "item").groupBy("fp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("late"))
+    alone = F.col("n") - F.size("late")
+    length = F.col("n") - F.floor((F.col("n") * least[0] + least[1] - 1) / least[1]) + 1
+    prefix = F.slice("late", F.lit(1), F.greatest(F.lit(0), (length - alone).cast("int")))
+    return rest.select("fp", alone.alias("alone"), F.posexplode(prefix).alias("i", "x")).select("fp", (F.col("alone") + F.col("i")).alias("pos"), F.col("x.item").alias("item"))
+
+
+def links(entries: DataFrame, classes: DataFrame, sets: Callable[[DataFrame], DataFrame], least: tuple[int, int] = LEAST, direct: int = DIRECT) -> DataFrame:
+    """Edges ``(a, b)`` between similar sets of different parts that, with the parts, connect all similar sets.
+
+    ``entries(item, fp, pos)`` are the sets' prefixes in the first round's order, ``classes(fp, n, part, copies)`` the
+    sets, and ``sets(names)`` gives the written table ``(fp, items)`` of whole sets of ``names(fp)``."""
+    shared = _buckets(entries, classes)
+    pairs = materialise(_paired(shared.where(F.col("m") <= direct), least), "pairs")
+    crowd = materialise(shared.where(F.col("m") > direct).select("fp").distinct(), "crowd")
+    wanted = crowd.union(pairs.select("a")).union(pairs.select("b")).distinct()
+    whole = sets(materialise(wanted, "wanted"))
+
+    again = _buckets(materialise(_by_count(whole.join(bounded(crowd), "fp", "left_semi"), least), "prefixes"), classes)
+    pairs = pairs.union(_paired(again.where(F.col("m") <= direct), least))
+    large = again.where(F.col("m") > direct)
+    pivots = large.groupBy("item").agg(F.max(F.struct("copies", (-F.col("n")).alias("size"), "fp", "n", "part")).alias("pivot"))
+    pivots = materialise(pivots.select("item", *(F.col(f"pivot.{c}").alias(f"pivot_{c}") for c in ("fp", "n", "part"))), "pivots")
+    headed = materialise(large.drop("m", "copies").join(bounded(pivots), "item"), "headed")
+    apart = headed.where(F.col("part") != F.col("pivot_part")).where(F.least("n", "pivot_n") * least[1] >= F.greatest("n", "pivot_n") * least[0])
+    stars = materialise(compare(apart.select(F.col("pivot_fp").alias("a"), F.col("fp").alias("b")), whole, least), "stars")
+
+    near = bounded(stars.select(F.col("a").alias("pivot_fp"), F.col("b").alias("fp"), F.lit(True).alias("near")))
+    placed = headed.where(F.col("fp") != F.col("pivot_fp")).join(near, ["pivot_fp", "fp"], "left")
+    placed = placed.withColumn("near", (F.col("part") == F.col("pivot_part")) | F.coalesce("near", F.lit(False)))
+    placed = materialise(placed.select("item", "fp", "n", "part", "pos", "near"), "placed")
+    x, y = (placed.select(*(F.col(c).alias(f"{side}_{c}") for c in placed.columns)) for side in "xy")
+    x_, y_ = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
+    fits = _may_match(x_("n"), x_("pos"), x_("part"), y_("n"), y_("pos"), y_("part"), least)
+    met = x.where("not x_near").join(y, (x_("item") == y_("item")) & (y_("near") | (x_("fp") < y_("fp"))) & fits)
+    pairs = pairs.union(met.select(F.least("x_fp", "y_fp").alias("a"), F.greatest("x_fp", "y_fp").alias("b")))
+    return stars.union(compare(pairs, whole, least))

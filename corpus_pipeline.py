@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brandbook.llm import decontaminate, jaccard, mixture, quality, toxicity
+from brandbook.llm import decontaminate, mixture, quality, simhash, toxicity
 from brandbook.session import materialise, scratch, table
 
 
@@ -29,7 +29,7 @@ def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs)
+    return simhash.keep_one_similar(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline as P
-from brandbook.llm import jaccard as J, simhash as S
+from brandbook.llm import simhash as S
 
 
 def brute(texts):
@@ -40,18 +40,18 @@ def corpus():
     return [*texts, texts[3], texts[3].upper(), None, "", "one two", "One  two", "one three"]
 
 
-@pytest.mark.parametrize(("direct", "known"), [(32, 5), (2, 5), (2, 10**9)])
+@pytest.mark.parametrize(("direct", "known"), [(64, 2), (3, 2), (3, 10**9), (1, 10**9)])
 def test_groups_are_exact(spark, monkeypatch, direct, known):
-    monkeypatch.setattr(J, "COMMON", known)
+    monkeypatch.setattr(S, "COMMON", known)
     texts = corpus()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     group = brute(texts)
     first = {}
     for i, g in enumerate(group):
         first[g] = min(i, first.get(g, i))
-    got = {r.doc_id: r.component_id for r in J.near_duplicates(docs, direct=direct).collect()}
+    got = {r.doc_id: r.component_id for r in S.similar(docs, direct=direct).collect()}
     assert got == {i: first[g] for i, g in enumerate(group)}
-    assert J.near_duplicates(docs.limit(0)).count() == 0
+    assert S.similar(docs.limit(0)).count() == 0
 
 
 def test_stage_finds_what_two_bits_miss(spark):

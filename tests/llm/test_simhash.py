@@ -46,7 +46,7 @@ def test_links_are_exact_in_small_and_large_buckets(spark):
             for b in rng.sample(range(64), rng.choice([1, 2, 3, 4])):
                 v ^= 1 << b
             values.add(v)
-    frame = spark.createDataFrame([(S._signed(v),) for v in values], "fp long")
+    frame = spark.createDataFrame([(S.signed(v),) for v in values], "fp long")
     want = brute_groups(sorted(values))
     for direct in (32, 2):
         edges = {(r.a % (1 << 64), r.b % (1 << 64)) for r in S.links(frame, 2, direct).collect()}
