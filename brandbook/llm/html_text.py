@@ -1,18 +1,22 @@
 """Main text of HTML pages by composite text density.
 
-A tolerant one-pass parser builds the tree of block elements (inline markup only counts as tags of its
-block). Elements that are never article text (scripts, styles, menus, forms and what role, class or id name
-as such) are left out of the tree; class and id names don't count against an article, what holds one or, without one,
-most of the text, and negating and taxonomy names (no-, has-, category-) don't count. Then, for every node, with C characters, T tags, LC link characters, LT
-link tags, and LCb, Cb those of the body:
+A tolerant one-pass parser builds the tree of block elements (inline markup only counts as tags of its block)
+and the runs of text between them. Scripts, styles, form controls and hidden elements are no text of the page. For
+every node and run, with C characters, T tags, LC link characters, LT link tags, and LCb, Cb those of the body:
 
     density = C / T * log(C / LC * T / LT) / log(ln(C / (C - LC) * LC + LCb / Cb * C + e))
 
-(zero counts taken as one), and the density sum is the sum of its children's densities. The node with the
-greatest density sum is the core of the article. The least density on its path to the body is the threshold:
-from the body down, any node as dense as that also gives the part with the greatest density sum beneath it,
-so an article in several parts comes out whole, and lists of links, adverts and notices don't. A core inside
-an ``article`` element stands for the whole element, headline included.
+(zero counts taken as one), and a node's density sum is the sum of its children's and runs' densities. The node
+with the greatest density sum is the core of the article. The least density on its path to the body is the
+threshold: from the body down, any node as dense as that also gives the part with the greatest density sum beneath
+it, so an article in several parts comes out whole, and lists of links, adverts and notices don't. What lies between
+the first and the last part, and, if a part is in an ``article`` element, the rest of that, belongs to the text.
+
+*Evidence by name.* Elements that are menus, asides, footers and the like by tag, role, class or id are marked: their
+characters and tags count as those of links, so their density is zero and that of what holds them is less, and they are
+left out of what is taken. A mark is void on ``article`` and ``main``, on what holds one of them, and on what holds most
+of the plain text of the page, or, inside an article, of the article. Negating and taxonomy names (no-, has-,
+category-) don't mark.
 
 Text is cut into blocks at block elements; character references are decoded, white space (``br`` and no-break
 spaces too) in a block becomes one space, empty blocks go, and blocks are joined by one line end.
@@ -41,7 +45,14 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not markup.
 RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
-NEVER = frozenset("aside audio button canvas datalist dialog footer head map menu nav noscript object select svg template video".split())
+#: Not text of the page, whatever they hold.
+NEVER = frozenset("audio button canvas datalist head map noscript object select svg template video".split())
+#: Marked by their tag; ``header`` is too, outside an article.
+MARKED = frozenset("aside dialog footer form menu nav".split())
+#: Blocks of running text: what is inside them is no element of the page's layout.
+TEXT_BLOCKS = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
+#: Plain characters from which an element that is marked by its name, or by its tag or role, may hold most of the text.
+LEAST_NAMED, LEAST_TAGGED = 100, 200
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Parts of a class or id that name something other than the article.
 NAMES = frozenset(
@@ -68,14 +79,18 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("article", "best", "chars", "density", "doubtful", "items", "link_chars", "link_tags", "links_before", "parent", "sum", "tag", "tags", "taken")
+    __slots__ = ("article", "best", "chars", "density", "items", "link_chars", "link_tags", "links_before", "marked", "parent", "plain", "runs", "sum", "tag", "tags", "taken")
 
     def __init__(self, tag: str, parent: Node | None, links: int):
         self.tag, self.parent, self.links_before = tag, parent, links
         self.items: list = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        #: of each run of text: characters, tags, link characters, link tags
+        self.runs: list[list[int]] = [[0, 0, 0, 0]]
+        self.chars = self.tags = self.link_chars = self.link_tags = self.plain = 0
         self.density = self.sum = 0.0
-        self.best, self.taken, self.doubtful = self, False, False
+        self.best, self.taken = self, False
+        #: 1 by a name, 2 by the tag or role
+        self.marked = 0
         #: the outermost article element that holds this node, itself included
         self.article = parent.article if parent and parent.article else self if tag == "article" else None
 
@@ -84,58 +99,35 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)} if "=" in raw or "hidden" in raw else {}
 
 
-def _unwanted(tag: str, raw: str, in_article: bool) -> bool:
-    """Whether an element is left out for its tag, role or being hidden."""
-    if tag in NEVER or tag == "header" and not in_article:
-        return True
-    found = _attributes(raw)
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
-        return True
-    return found.get("role", "").lower() in ROLES
+def _hidden(found: dict[str, str]) -> bool:
+    return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
 
 
-def _doubtful(raw: str, in_article: bool) -> bool:
-    """Whether a class or id names something other than the article."""
-    found = _attributes(raw)
+def _named(found: dict[str, str], in_article: bool) -> int:
+    """Whether a role (2) or a class or id (1) names something other than the article."""
+    if found.get("role", "").lower() in ROLES:
+        return 2
     names = set()
     for name in (found.get("class", "") + " " + found.get("id", "")).split():
         parts = [x.lower() for x in PART.findall(name)]
         if parts and not (len(parts) > 1 and parts[0] in ASIDE):
             names.update(parts)
     names &= NAMES
-    return bool(names - {"header"} if in_article else names)
-
-
-def _without_doubtful(root: Node, nodes: list[Node]) -> list[Node]:
-    """The nodes left when doubtful ones are cut from the tree. One stays if it is an article, holds an article
-    that isn't doubtful or main, or, on a page without these elsewhere, has most of the body's text."""
-    if not any(n.doubtful for n in nodes):
-        return nodes
-    chars, held = {n: n.chars for n in nodes}, {n: int(n.tag == "main" or n.tag == "article" and not n.doubtful) for n in nodes}
-    for node in reversed(nodes):
-        if node.parent:
-            chars[node.parent] += chars[node]
-            held[node.parent] += held[node]
-    left, gone = [], set()
-    for node in nodes:
-        cut = node.doubtful and node.tag != "article" and not held[node] and (held[root] or 2 * chars[node] <= chars[root])
-        if node.parent in gone or cut:
-            gone.add(node)
-        else:
-            left.append(node)
-    for node in left:
-        node.items = [x for x in node.items if not (isinstance(x, Node) and x in gone)]
-    return left
+    return int(bool(names - {"header"} if in_article else names))
 
 
 def parse(html: str) -> tuple[Node, list[Node]]:
-    """The body and all nodes, parents before children; unwanted elements are not in the tree."""
+    """The body and all nodes, parents before children; what is no text of the page is not in the tree."""
     root = Node("body", None, 0)
     nodes, here, links, at, skip = [root], root, 0, 0, None
-    named = False  # the skipped element is left out for its name alone
     stack: list[str] = []  # names within a skipped element
     held: Counter = Counter()  # open elements by name
 
+    def ended() -> None:
+        """A run of text ends."""
+        if any(here.runs[-1]):
+            here.runs.append([0, 0, 0, 0])
+
     def close(node: Node) -> None:
         nonlocal here, links
         while here is not root:
@@ -144,6 +136,7 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             held[gone.tag] -= 1
             if gone is node:
                 break
+        ended()
 
     def opened(names, stop) -> Node | None:
         node = here if any(held[n] > 0 for n in names) else root
@@ -157,9 +150,10 @@ def parse(html: str) -> tuple[Node, list[Node]]:
         if piece and skip is None:
             n = len(" ".join(piece.split()))
             here.items.append(piece)
-            here.chars += n
+            run = here.runs[-1]
+            run[0] += n
             if links:
-                here.link_chars += n
+                run[2] += n
 
     while (m := TAG.search(html, at)) is not None:
         text(unescape(html[at : m.start()]))
@@ -183,82 +177,109 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                     stack.clear()
                     skip = None
                     close(opened({tag}, ()))
-            elif tag not in VOID and not m[3].endswith("/"):
-                if tag in ("article", "main") and ("form" in stack or named):
-                    # a form around the page isn't a form of the page, nor is a name's word
-                    stack.clear()
-                    skip = None
-                elif not (tag in ("p", "li", "option") and stack[-1] == tag):
-                    stack.append(tag)
-            if skip is not None:
-                continue
+            elif tag not in VOID and not m[3].endswith("/") and not (tag in ("p", "li", "option") and stack[-1] == tag):
+                stack.append(tag)
+            continue
         if closing:
             if tag == "a":
                 links = max(0, links - 1)
-            elif tag in BLOCKS and tag not in ("html", "body") and (node := opened({tag}, () if tag in ("table", "tr", "td", "th", "tbody", "thead", "tfoot") else FENCE)):
+            elif (tag in BLOCKS or held[tag] > 0) and tag not in ("html", "body") and (node := opened({tag}, () if tag in ("table", "tr", "td", "th", "tbody", "thead", "tfoot") else FENCE)):
                 close(node)
             continue
         if tag in ("html", "body"):
             continue
-        if tag not in BLOCKS:
+        found, inside = _attributes(m[3]), here.article is not None
+        gone, named = tag in NEVER or _hidden(found), _named(found, inside)
+        block = tag in BLOCKS
+        if not block and (tag in VOID or tag == "a" or not (gone or named and here.tag not in TEXT_BLOCKS)):
             if tag in ("br", "wbr"):
                 here.items.append(" " if tag == "br" else "")
-            if tag not in VOID and (_unwanted(tag, m[3], here.article is not None) or _doubtful(m[3], here.article is not None)):
-                named = not _unwanted(tag, m[3], here.article is not None)
-                if not m[3].endswith("/"):
-                    skip, stack = tag, [tag]
-                continue
-            here.tags += 1
-            if tag == "a":
+            here.runs[-1][1] += 1
+            if tag == "br":
+                ended()
+            elif tag == "a":
                 links = 1
-                here.link_tags += 1
+                here.runs[-1][3] += 1
             continue
-        if tag not in ("option", "optgroup") and (node := opened({"p"}, FENCE)):
+        if not block and m[3].endswith("/"):
+            continue
+        if block and tag not in ("option", "optgroup") and (node := opened({"p"}, FENCE)):
             close(node)
         if tag in CLOSES:
             names, stop = CLOSES[tag]
             while node := opened(names, stop):
                 close(node)
         here.items.append(None)  # a block ends here, even if what follows is left out
+        ended()
         if tag == "hr":
-            here.tags += 1
+            here.runs[-1][1] += 1
             continue
-        if tag == "form" or tag != "main" and _unwanted(tag, m[3], here.article is not None):
-            skip, stack, named = tag, [tag], False
+        if gone:
+            skip, stack = tag, [tag]
             continue
         node = Node(tag, here, links)
-        node.doubtful = tag != "main" and _doubtful(m[3], here.article is not None)
+        node.marked = 2 if tag in MARKED or tag == "header" and not inside else named
         here.items.append(node)
         nodes.append(node)
         here = node
         held[tag] += 1
     text(unescape(html[at:]))
-    return root, _without_doubtful(root, nodes)
+    return root, nodes
+
+
+def judge_marks(root: Node, nodes: list[Node]) -> None:
+    """Takes void marks off: see the module's text."""
+    holds = dict.fromkeys(nodes, 0)
+    for node in reversed(nodes):
+        node.plain += sum(run[0] - run[2] for run in node.runs)
+        holds[node] += node.tag == "main" or node.tag == "article" and not node.marked
+        if node.parent:
+            node.parent.plain += node.plain
+            holds[node.parent] += holds[node]
+    for node in nodes:
+        if not node.marked:
+            continue
+        most = node.plain >= (LEAST_NAMED if node.marked == 1 else LEAST_TAGGED) and 2 * node.plain > (node.article or root).plain
+        if node.tag in ("article", "main") or holds[node] or most and (node.article or not holds[root]):
+            node.marked = 0
+
+
+def density(c: int, t: int, lc: int, lt: int, body_links: float) -> float:
+    """Composite text density; zero for nothing but links."""
+    if not c:
+        return 0.0
+    plain, t, lc, lt = max(1, c - lc), max(1, t), max(1, lc), max(1, lt)
+    base = log(c / plain * lc + body_links * c + e)
+    return c / t * log(max(1.0, c / lc * t / lt)) / log(base)
 
 
 def measure(root: Node, nodes: list[Node]) -> None:
     """Counts of subtrees, densities, density sums, and the node of each subtree with the greatest sum."""
+    judge_marks(root, nodes)
     for node in reversed(nodes):
+        for c, t, lc, lt in node.runs:
+            node.chars, node.tags, node.link_chars, node.link_tags = node.chars + c, node.tags + t, node.link_chars + lc, node.link_tags + lt
+        if node.marked:
+            node.link_chars, node.link_tags = node.chars, node.tags
         if up := node.parent:
             up.chars += node.chars
             up.tags += node.tags + 1
             up.link_chars += node.link_chars
-            up.link_tags += node.link_tags
+            up.link_tags += node.link_tags + bool(node.marked)
     body_links = root.link_chars / max(1, root.chars)
     for node in reversed(nodes):
-        if node.chars:
-            c, t, lc, lt = node.chars, max(1, node.tags), max(1, node.link_chars), max(1, node.link_tags)
-            base = log(c / max(1, c - node.link_chars) * lc + body_links * c + e)
-            node.density = c / t * log(max(1.0, c / lc * t / lt)) / log(base)
+        node.density = 0.0 if node.marked else density(node.chars, node.tags, node.link_chars, node.link_tags, body_links)
+        if not node.marked:
+            node.sum += sum(density(*run, body_links) for run in node.runs)
         if up := node.parent:
             up.sum += node.density
         for child in node.items:
-            if isinstance(child, Node) and child.best.sum > node.best.sum:
+            if isinstance(child, Node) and not child.marked and child.best.sum > node.best.sum:
                 node.best = child.best
 
 
 def select(root: Node, nodes: list[Node]) -> None:
-    """Marks the nodes whose text is the page's."""
+    """Marks the nodes whose text is the page's as taken."""
     core = root.best
     threshold, node = core.density, core
     while node is not None:
@@ -267,15 +288,28 @@ def select(root: Node, nodes: list[Node]) -> None:
     pending = [root]
     while pending:
         node = pending.pop()
-        if node.taken or node.density < threshold or not node.chars:
+        if node.taken or node.density < threshold or not node.chars or node.marked:
             continue
         part = node.best if node.best.sum else node
         (part.article or part).taken = True
         pending += [x for x in node.items if isinstance(x, Node)]
+    # what lies between the parts: among the children of the lowest node that holds them all
+    whole, below = core.article or core, dict.fromkeys(nodes, 0)
+    for node in reversed(nodes):
+        below[node] += node.taken
+        if node.parent:
+            below[node.parent] += below[node]
+    while below[whole] < below[root]:
+        whole = whole.parent
+    if not whole.taken:
+        children = [x for x in whole.items if isinstance(x, Node)]
+        at = [i for i, x in enumerate(children) if below[x]]
+        for child in children[at[0] : at[-1]] if at else ():
+            child.taken = child.taken or child.density > 0
 
 
 def blocks(root: Node) -> list[str]:
-    """The blocks of taken nodes, in page order."""
+    """The blocks of taken nodes without what is marked in them, in page order."""
     out: list[str] = []
     run: list[str] = []
 
@@ -288,7 +322,7 @@ def blocks(root: Node) -> list[str]:
     while pending:
         item, inside = pending.pop()
         if isinstance(item, Node):
-            inside = inside or item.taken
+            inside = (inside or item.taken) and not item.marked
             flush()
             pending.append((None, inside))
             pending += [(x, inside) for x in reversed(item.items)]
