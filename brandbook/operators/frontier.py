@@ -12,8 +12,8 @@ BACKOFF_STEP, MOST_BACKOFF, STOP_AFTER = 30, 300, 5
 
 def seeded(queue: DataFrame, seeds: DataFrame, depth: int = 0, now: Column | None = None) -> DataFrame:
     """``seeds(association, reg_number, priority[, discovered_from])`` added. A known animal stays as it is, but
-    for its priority, which only rises; of repeated seeds the highest priority counts."""
-    source = F.first("discovered_from") if "discovered_from" in seeds.columns else F.lit(None).cast("string")
+    for its priority, which only rises; of repeated seeds the highest priority counts, and the least source."""
+    source = F.min("discovered_from") if "discovered_from" in seeds.columns else F.lit(None).cast("string")
     new = seeds.groupBy(F.upper("association").alias("association"), F.trim("reg_number").alias("reg_number")).agg(F.max("priority").alias("p"), source.alias("src"))
     both = queue.join(new, KEYS, "full")
     fresh = F.col("status").isNull()
@@ -94,8 +94,13 @@ def refusal_streaks(visits: DataFrame, key: str, order: list[str], refused: Colu
 def allowed(queue: DataFrame, rules: DataFrame, url: Column) -> DataFrame:
     """``queue`` without addresses that the longest fitting of ``rules(prefix, allow)`` forbids; no rule allows.
 
-    An address meets rules by its own prefixes, so this is an equi-join and not a comparison of all with all."""
+    An address meets rules by its own beginnings, those as long as some rule, so this is an equi-join and not a
+    comparison of all with all. The lengths of rules are a handful of numbers."""
+    lengths = sorted(r.n for r in rules.where("prefix is not null").select(F.length("prefix").alias("n")).distinct().collect())
     rows = queue.withColumn("_url", url)
-    prefixes = rows.select("_url").distinct().select("_url", F.explode(F.transform(F.sequence(F.lit(1), F.length("_url")), lambda i: F.substring(F.col("_url"), F.lit(1), i))).alias("prefix"))
+    if not lengths:
+        return rows.drop("_url")
+    own = F.filter(F.array(*(F.substring("_url", 1, n) for n in lengths)), lambda p: p.isNotNull())
+    prefixes = rows.select("_url").distinct().select("_url", F.explode(F.array_distinct(own)).alias("prefix"))
     verdict = prefixes.join(rules, "prefix").groupBy("_url").agg(F.max_by("allow", F.length("prefix")).alias("_allow"))
     return rows.join(verdict.where("not _allow").select("_url"), "_url", "left_anti").drop("_url")

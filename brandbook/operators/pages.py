@@ -329,7 +329,7 @@ def assembled(pages: DataFrame, with_epds: bool = True, with_progeny: bool = Tru
     joined = joined.join(epd_values(tab("epds")), keys, "left") if with_epds else joined.withColumn("epds", none("map<string,string>"))
     joined = joined.join(progenies(tab("progeny")), keys, "left") if with_progeny else joined.withColumn("related", none("array<struct<reg:string,relation:string>>"))
     bag = F.when(F.col("ancestors").isNotNull(), F.map_concat("bag", F.create_map(F.lit("pedigree_ancestors"), F.size("ancestors").cast("string")))).otherwise(F.col("bag"))
-    records = joined.withColumn("attributes", F.to_json(bag)).select(*(c.strip().split(" ")[0] for c in _columns(RECORD)))
+    records = joined.withColumn("attributes", F.to_json(bag)).select(*(c.strip().split(" ")[0] for c in columns_of(RECORD)))
 
     item = lambda order, a, r, relation: F.struct(F.lit(order).alias("o"), a.alias("n_association"), r.alias("n_reg"), F.lit(relation).alias("relation"))
     own = F.col("association")
@@ -344,7 +344,8 @@ def assembled(pages: DataFrame, with_epds: bool = True, with_progeny: bool = Tru
     return records, best.drop("_n", "o")
 
 
-def _columns(ddl: str):
+def columns_of(ddl: str):
+    """The columns of a DDL, each as its text."""
     depth = start = 0
     for i, c in enumerate(ddl):
         depth += (c == "<") - (c == ">")

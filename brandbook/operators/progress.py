@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brandbook.functions import norm
@@ -18,9 +18,14 @@ CRAWL_STALE, LOAD_STALE, HEARTBEAT_STALE = 300, 600, 20
 
 
 def newest(rows: DataFrame, key: str | list[str], at: str, order: str) -> DataFrame:
-    """The row with the greatest ``at`` of each key (null counts as least); of equal ones the first by ``order``."""
-    w = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(F.desc(F.coalesce(F.col(at).cast("string"), F.lit(""))), F.asc(order))
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The row with the greatest ``at`` of each key (null counts as least); of equal ones the first by ``order``.
+
+    Two grouped maxima, each partial in every task, so a key with very many rows is never sorted in one."""
+    keys = [key] if isinstance(key, str) else key
+    value = F.coalesce(F.col(at).cast("string"), F.lit(""))
+    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns if c not in keys))
+    best = rows.groupBy(*keys, value.alias("_at")).agg(F.min_by(row, F.col(order)).alias("_row"))
+    return best.groupBy(*keys).agg(F.max_by("_row", "_at").alias("_row")).select(*keys, "_row.*").select(*rows.columns)
 
 
 def step_of(age: Column) -> Column:
@@ -38,23 +43,28 @@ def compact(points: DataFrame, now: Column, t: str = "t", most: int = MOST_POINT
     return kept.orderBy(F.desc(t)).limit(most)
 
 
-def sample(points: DataFrame, key: str, t: str, every: int = FINEST) -> DataFrame:
-    """The points kept if each is kept only ``every`` seconds or more after the last kept one of its key. Which
-    those are depends on the data, so each key is folded in order, in bounded memory: only the last kept time
-    passes from one point to the next."""
+def _fold(key: str, t: str, every: int):
+    """Of Arrow batches sorted by key and time the rows kept; only the last key and kept time pass on."""
+
+    def run(batches):
+        at, last = None, None
+        for batch in batches:
+            kept = []
+            for i, (k, value) in enumerate(zip(batch.column(key).to_pylist(), batch.column(t).to_pylist(), strict=True)):
+                if last is None or k != at or value - last >= every:
+                    at, last = k, value
+                    kept.append(i)
+            yield batch.take(pa.array(kept, pa.int64()))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        last, keep = None, []
-        for value in pdf[t]:
-            take = last is None or value - last >= every
-            last = value if take else last
-            keep.append(take)
-        return pdf[keep]
+    return run
 
-    def fold_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fold(pdf.sort_values(t, kind="stable"))
 
-    return points.groupBy(key).applyInPandas(fold_sorted, points.schema)
+def sample(points: DataFrame, key: str, t: str, every: int = FINEST) -> DataFrame:
+    """The points kept if each is kept only ``every`` seconds or more after the last kept one of its key. Which
+    those are depends on the data, so each key is folded in order, in bounded memory: rows come sorted, and only the
+    last kept time passes from one to the next. Points without a time are left out."""
+    placed = points.where(F.col(t).isNotNull()).repartition(key).sortWithinPartitions(key, t)
+    return placed.mapInArrow(_fold(key, t, every), points.schema)
 
 
 def carried_forward(readings: DataFrame, key: str = "association", t: str = "t") -> DataFrame:
@@ -181,6 +191,20 @@ def newest_graph(entries: DataFrame) -> DataFrame:
     return entries.where("graph is not null").agg(F.max_by("graph", "publishedAt").alias("graph"), F.max("publishedAt").alias("publishedAt"))
 
 
+def graph_snapshot(tables: dict[str, DataFrame], now: Column, error: Column | None = None) -> DataFrame:
+    """One row of a graph's counts that may be published: animals, registrations that aren't stubs, animals in several
+    registries, polled ones, and defects by status. Of an error only that there is one is told."""
+    animals = tables["animal"].agg(F.count("*").alias("animals"), F.count(F.when(F.col("horn_status") == "Polled", 1)).alias("polled"))
+    papers = tables["registration"].agg(F.count(F.when(~F.coalesce("stub", F.lit(False)), 1)).alias("registrations"))
+    several = tables["registration"].groupBy("uid").agg(F.countDistinct("association").alias("n")).agg(F.count(F.when(F.col("n") > 1, 1)).alias("multi"))
+    defects = tables["animal_defect"].groupBy(F.coalesce("status", F.lit("Unknown")).alias("status")).agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("defects"))
+    rows = animals
+    for one in (papers, several, defects):  # one row each
+        rows = rows.join(F.broadcast(one), F.lit(True))
+    told = F.lit(None).cast("string") if error is None else F.when(error.isNotNull(), "error")
+    return rows.withColumns({"publishedAt": now, "error": told})
+
+
 def merged_boards(entries: DataFrame) -> DataFrame:
     """One board per association out of ``entries(source, boards array<struct<association, ..., updated_at>>)``:
     the newest reading, of equally new ones the first listed."""

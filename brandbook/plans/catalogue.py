@@ -6,39 +6,15 @@ animals, orders as registrations (their priority is the registry), lines as comp
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from brandbook.functions import extract, norm
 from brandbook.operators import frontier, graph, progress, resolve
+from brandbook.plans.registry import ORACLE_SQL, QUERIES, epoch, long, query
 from brandbook.schema import PARENT
 from brandbook.session import materialise, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a function under its name, with its SQL."""
-
-    def add(function):
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLE_SQL[function.__name__] = sql
-        return function
-
-    return add
-
-
-def long(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("bigint")
-
-
-def epoch(c: str) -> Column:
-    """Whole seconds of a time without zone, taken as UTC."""
-    return F.unix_timestamp(F.col(c).cast("timestamp"))
-
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 # ---- scalar functions
 
@@ -130,12 +106,6 @@ def href_registration(spark, d):
     return carried.groupBy("page_id").agg(F.count("*").alias("links"), F.min(decoded).alias("first_href"), F.max(decoded).alias("last_href"))
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS title, len(regexp_extract_all(html, '<a href='))::BIGINT AS links FROM pages""")
-def page_title_pairs(spark, d):
-    title = F.trim(F.regexp_replace(F.regexp_extract("html", "<title>([^<]*)</title>", 1), r"\s+", " "))
-    return table(spark, d, "pages").select("page_id", title.alias("title"), long(F.size(F.regexp_extract_all("html", F.lit("(<a href=)"), F.lit(1)))).alias("links"))
-
-
 @query("""SELECT event_type, json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1, 2""")
 def json_bag(spark, d):
     return table(spark, d, "events").groupBy("event_type", norm.bag(F.col("props"), "k").alias("k")).agg(F.count("*").alias("n"))
@@ -239,11 +209,11 @@ def dup_groups_a(spark, d):
 
 @query(r"""
 WITH named AS (SELECT p_partkey, trim(regexp_replace(regexp_replace(upper(p_name), '[^A-Z0-9 ]', '', 'g'), '\s+', ' ', 'g')) AS name_norm, '2000-' || lpad((p_size % 12 + 1)::VARCHAR, 2, '0') || '-01' AS dob FROM part)
-SELECT name_norm, dob, count(*) AS copies FROM named WHERE contains(name_norm, ' ') AND NOT contains(name_norm, ' X ') AND NOT ends_with(dob, '-01-01') GROUP BY 1, 2 HAVING count(*) > 1""")
+SELECT name_norm, dob, count(*) AS copies, string_agg(p_partkey, ',' ORDER BY p_partkey) AS uids FROM named WHERE contains(name_norm, ' ') AND NOT contains(name_norm, ' X ') AND NOT ends_with(dob, '-01-01') GROUP BY 1, 2 HAVING count(*) > 1""")
 def dup_preview_r(spark, d):
     dob = F.concat(F.lit("2000-"), F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0"), F.lit("-01"))
     rows = table(spark, d, "part").select(F.col("p_partkey").alias("uid"), norm.name(F.col("p_name")).alias("name_norm"), dob.alias("dob"))
-    return graph.duplicate_groups(rows, ["name_norm", "dob"], norm.is_reconcilable(F.col("name_norm"), F.col("dob"))).drop("uids")
+    return graph.duplicate_groups(rows, ["name_norm", "dob"], norm.is_reconcilable(F.col("name_norm"), F.col("dob"))).withColumn("uids", F.concat_ws(",", F.col("uids").cast("array<string>")))
 
 
 @query("""SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep FROM documents""")
@@ -324,7 +294,7 @@ def pedigree_one(spark, d):
 
 
 _SUBGRAPH = f"""
-WITH RECURSIVE {_LINES_SQL}, roots AS (SELECT c_custkey AS root FROM customer WHERE c_custkey % 10 = 7),
+WITH RECURSIVE {_LINES_SQL}, roots AS (SELECT c_custkey AS root FROM customer),
 up AS (SELECT root, root AS uid, 0 AS depth FROM roots UNION ALL SELECT root, parent, depth + 1 FROM up JOIN lines ON child = uid WHERE depth < 4),
 nodes AS (SELECT DISTINCT root, uid FROM (SELECT root, uid FROM up UNION ALL SELECT root, child FROM roots JOIN lines ON parent = root))
 """
@@ -332,7 +302,7 @@ nodes AS (SELECT DISTINCT root, uid FROM (SELECT root, uid FROM up UNION ALL SEL
 
 @query(_SUBGRAPH + "SELECT root, n.uid AS child_uid, l.parent AS parent_uid, l.role FROM nodes n JOIN lines l ON l.child = n.uid JOIN nodes p USING (root) WHERE p.uid = l.parent")
 def subgraph_distinct(spark, d):
-    roots = table(spark, d, "customer").where("c_custkey % 10 = 7").select(F.col("c_custkey").alias("uid"))
+    roots = table(spark, d, "customer").select(F.col("c_custkey").alias("uid"))
     return graph.subgraph(_lines(spark, d), roots, 4)[1]
 
 
@@ -355,7 +325,9 @@ def resolve_closure(spark, d):
     return resolve.closure(customers.select(F.col("c_custkey").alias("mention"), F.explode(keys).alias("key")))
 
 
-@query()
+@query(r"""
+WITH named AS (SELECT c_custkey, regexp_replace(n_name || ' ' || floor(c_acctbal / 5)::BIGINT || 'A', '[^A-Z0-9 ]', '', 'g') AS name_norm FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT 'CHIA:' || min(c_custkey) AS uid, count(*) AS papers, name_norm FROM named GROUP BY name_norm""")
 def resolve_replay(spark, d):
     """Customers as records; those of one nation and balance have the same name and birth date."""
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -459,14 +431,13 @@ def newest_wins(spark, d):
 
 
 @query("""
-WITH RECURSIVE t AS (SELECT event_id, user_id, epoch(date_trunc('second', ts))::BIGINT AS t FROM events),
-kept AS (
-  SELECT user_id, min(t) AS t FROM t GROUP BY user_id
-  UNION ALL SELECT user_id, nt FROM (SELECT k.user_id, (SELECT min(x.t) FROM t x WHERE x.user_id = k.user_id AND x.t >= k.t + 86400) AS nt FROM kept k) WHERE nt IS NOT NULL)
-SELECT user_id, t FROM kept""")
+WITH RECURSIVE t AS (SELECT DISTINCT event_type, epoch(date_trunc('second', ts))::BIGINT AS t FROM events),
+next AS (SELECT event_type, t, min(t) OVER (PARTITION BY event_type ORDER BY t RANGE BETWEEN 600 FOLLOWING AND UNBOUNDED FOLLOWING) AS nt FROM t),
+kept AS (SELECT event_type, min(t) AS t FROM t GROUP BY 1 UNION ALL SELECT k.event_type, nt FROM kept k JOIN next n ON n.event_type = k.event_type AND n.t = k.t WHERE nt IS NOT NULL)
+SELECT event_type, t FROM kept""")
 def history_sample(spark, d):
-    points = table(spark, d, "events").select("user_id", epoch("ts").alias("t"))
-    return progress.sample(points, "user_id", "t", 86_400)
+    points = table(spark, d, "events").select("event_type", epoch("ts").alias("t"))
+    return progress.sample(points, "event_type", "t")
 
 
 @query("""

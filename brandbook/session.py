@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,12 @@ def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     A cluster names it in ``spark.checkpoint.dir`` (or by ``setCheckpointDir``). Only where neither is
-    set, as in tests on one machine, a temporary folder is made and registered for the session.
+    set and all runs in one process, as in tests, a temporary folder is made and registered for the session.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="brandbook-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -61,6 +65,17 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def tidied(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query(spark, ...)``, whose intermediate tables are deleted but for those that its result reads."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args, **options) -> DataFrame:
+        with scratch(spark) as keep:
+            return keep(query(spark, *args, **options))
+
+    return run
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Within it, intermediate tables are made as ever; at its end they are deleted, but for those of frames
@@ -68,11 +83,15 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     start, kept = len(_made), set()
 
     def keep(df: DataFrame) -> DataFrame:
-        kept.update(name.rsplit("/", 1)[0].removeprefix("file:").lstrip("/") for name in df.inputFiles())
+        for folder in {name.rsplit("/", 1)[0].removeprefix("file:").lstrip("/") for name in df.inputFiles()}:
+            parts = folder.split("/")
+            kept.update("/".join(parts[:n]) for n in range(1, len(parts) + 1))  # a table may be partitioned
         return df
 
-    yield keep
-    for path in _made[start:]:
-        if path.removeprefix("file:").lstrip("/") not in kept:
-            discard(spark, path)
-            _made.remove(path)
+    try:
+        yield keep
+    finally:
+        for path in _made[start:]:
+            if path.removeprefix("file:").lstrip("/") not in kept:
+                discard(spark, path)
+                _made.remove(path)

@@ -24,6 +24,13 @@ def scan(spark: SparkSession, path: str, association: str | None = None, suffixe
     return rows if suffixes is None else rows.where(F.col("suffix").isin(suffixes))
 
 
+def latest(rows: DataFrame) -> DataFrame:
+    """Each page as it was saved last."""
+    values = [c for c in rows.columns if c not in ("association", "reg", "suffix")]
+    last = rows.groupBy("association", "reg", "suffix").agg(F.max_by(F.struct(*values), "saved_at").alias("x"))
+    return last.select("association", "reg", "suffix", "x.*")
+
+
 def load(spark: SparkSession, path: str, association: str, reg: str, suffix: str) -> DataFrame:
     """One page, the latest that was saved; its shard names the only folder that is read."""
     shard = spark.range(1).select(norm.shard(F.lit(reg))).first()[0]

@@ -1,5 +1,7 @@
-"""The sampled history of progress as a stream: a reading is kept if ten minutes have passed since the last
-kept one. That depends on what was kept, so it is state and not a window; late and repeated readings fall."""
+"""The sampled history of progress as a stream: a point, the readings of all associations at one time, is kept if ten
+minutes have passed since the last kept one. That depends on what was kept, so it is state and not a window; late and
+repeated points fall. There is one clock for all associations, since a chart needs their readings at the same times;
+the readings of one trigger are a few a minute."""
 
 from __future__ import annotations
 
@@ -17,15 +19,15 @@ OUTPUT = "association string, t bigint, done bigint, pending bigint"
 def _keep(every: int):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("t", kind="stable")
-        kept = []
-        for row in rows.itertuples(index=False):
-            if last is None or row.t - last >= every:
-                last = row.t
-                kept.append(row)
+        rows = pd.concat(list(batches)).drop(columns="clock").sort_values(["t", "association"], kind="stable")
+        times = []
+        for t in rows["t"].unique():
+            if last is None or t - last >= every:
+                last = int(t)
+                times.append(t)
         if last is not None:
-            state.update((int(last),))
-        yield pd.DataFrame(kept, columns=rows.columns)
+            state.update((last,))
+        yield rows[rows["t"].isin(times)]
 
     return run
 
@@ -33,7 +35,7 @@ def _keep(every: int):
 def sampled(readings: DataFrame, every: int = FINEST) -> DataFrame:
     """Of a stream ``readings(association, t, done, pending)`` those that are kept; readings of nothing never are."""
     rows = readings.select("association", F.col("t").cast("bigint"), F.col("done").cast("bigint"), F.col("pending").cast("bigint")).where("association is not null and t is not null")
-    return rows.groupBy("association").applyInPandasWithState(_keep(every), OUTPUT, "last bigint", "append", GroupStateTimeout.NoTimeout)
+    return rows.withColumn("clock", F.lit(0)).groupBy("clock").applyInPandasWithState(_keep(every), OUTPUT, "last bigint", "append", GroupStateTimeout.NoTimeout)
 
 
 def stale(heartbeats: DataFrame, within: str = "300 seconds") -> DataFrame:

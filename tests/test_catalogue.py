@@ -1,6 +1,6 @@
 import pytest
 
-from brandbook.plans import catalogue
+from brandbook.plans import catalogue, catalogue_functions, catalogue_records  # noqa: F401  they register their queries
 from tests import oracle
 
 pytestmark = pytest.mark.skipif(not oracle.DATA.exists(), reason="the driver's tables aren't here")
