@@ -43,7 +43,8 @@ def prefix_length(n: int, least: tuple[int, int]) -> int:
 
 def ordered(found: np.ndarray, late: np.ndarray) -> np.ndarray:
     """The items of a sorted set, those of the sorted ``late`` last."""
-    last = np.isin(found, late, assume_unique=True)
+    at = np.searchsorted(late, found)
+    last = late[np.minimum(at, len(late) - 1)] == found if len(late) else np.zeros(len(found), dtype=bool)
     return np.concatenate([found[~last], found[last]])
 
 
