@@ -38,17 +38,22 @@ def texts(batch: pa.RecordBatch, path: str) -> list[bytes | None]:
     return field(batch, path).to_pylist()
 
 
-def with_scan(docs: DataFrame, kept: list[str], text: str, *more: Column) -> tuple[DataFrame, str]:
-    """``docs`` with the columns ``kept`` and ``more``, and the path at which a task finds the text: in a kept
-    column if it is there (a dotted path into a struct too), else in a column ``_scan``."""
-    columns = [F.col(f"`{c}`") for c in kept]
+def carried(docs: DataFrame, kept: list[str], text: str, *more: Column) -> tuple[DataFrame, str]:
+    """The columns ``kept`` of ``docs`` as one struct ``row``, so that no name of theirs meets one used on the way,
+    with ``more``, and the path at which a task finds the text: in the struct if it is kept (a dotted path into a
+    struct column too), else in a column ``scan``. ``uncarried`` takes the struct apart again."""
+    row = [F.struct(*(F.col(f"`{c}`").alias(c) for c in kept)).alias("row")] if kept else []
     if text.split(".")[0] in kept:
-        return docs.select(*columns, *more), text
-    return docs.select(*columns, *more, F.col(text).cast("binary").alias("_scan")), "_scan"
+        return docs.select(*row, *more), f"row.{text}"
+    return docs.select(*row, *more, F.col(text).cast("binary").alias("scan")), "scan"
 
 
 def without_scan(batch: pa.RecordBatch) -> list[str]:
-    return [n for n in batch.schema.names if n != "_scan"]
+    return [n for n in batch.schema.names if n != "scan"]
+
+
+def uncarried(rows: DataFrame, *results: Column | str) -> DataFrame:
+    return rows.select(*(["row.*"] if "row" in rows.columns else []), *results)
 
 
 def row_map(column: str, make: Callable[[], Callable[[bytes | None], tuple]], names: list[str], types: list[pa.DataType], drop: tuple[str, ...] = ()):

@@ -7,29 +7,33 @@ m - 2 words at once. Where the shift is zero, the block's bucket names the patte
 first words are looked at, and a word-by-word comparison confirms each occurrence. Long and short patterns
 have matchers of their own, so that one short item does not shorten every shift.
 
-The benchmark is the stated query set. It is read in blocks of at most ``block_windows`` windows; each block
-is one broadcast of bounded size and one pass, and passes follow each other on the same rows without a
-shuffle, so a benchmark of any size is searched whole.
+The benchmark is the stated query set. It is read in blocks of at most ``block_windows`` windows, one partition at
+a time; ``PASS_BLOCKS`` blocks are searched in one pass over the rows, each a broadcast of bounded size. Where more
+follow, the rows are written with what was found and the broadcasts released before the next pass. So a benchmark of
+any size is searched whole, without a shuffle, and neither driver nor tasks hold more than a pass's blocks.
 
 Edge cases: a null or empty text, and one without words, has no words and no hits; items without words or
 without text have no windows; an item without ``item_id`` still marks words but is not counted or named;
-several rows with one id are one item; rows of ``docs`` stay as they are, repeated ones too; a column of
-``docs`` that is named like a result column is replaced, one named ``_scan`` isn't kept.
+several rows with one id are one item; rows of ``docs`` stay as they are, repeated ones too; a text's length isn't
+limited; an empty table of either gives no rows or no hits; a column of ``docs`` that is named like a result column
+is replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brandbook.llm.arrow import slices, texts, with_scan
+from brandbook.llm.arrow import carried, slices, texts, uncarried
 from brandbook.session import materialise
 
 WINDOW = 13
 BLOCK = 3
 BLOCK_WINDOWS = 100_000
+PASS_BLOCKS = 2
 SPAN = "array<struct<start:int,stop:int>>"
 
 #: Bytes to bytes: A-Z to a-z, other ASCII but digits and letters to a space, the rest as it is.
@@ -125,22 +129,26 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_windows:
         yield block
 
 
-def _scan_pass(shared, window: int, text: str):
-    """One pass over Arrow batches: counts words, adds this block's spans and items to those before."""
+def _scan_pass(shared: list, window: int, text: str):
+    """One pass over Arrow batches: counts words, adds these blocks' spans and items to those before."""
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
-        matcher = Matcher(shared.value, window)
+        matchers = [Matcher(block.value, window) for block in shared]
         for whole in batches:
             for batch in slices(whole, text):
                 counts, spans, items = [], [], []
                 before = zip(batch.column("hit_spans").to_pylist(), batch.column("items").to_pylist(), strict=True)
                 for value, (old_spans, old_items) in zip(texts(batch, text), before, strict=True):
                     words = words_of(value)
-                    found, named = matcher.scan(words)
+                    found, named = [(s["start"], s["stop"]) for s in old_spans or ()], set(old_items or ())
+                    for matcher in matchers:
+                        more, names = matcher.scan(words)
+                        found += more
+                        named |= names
                     counts.append(len(words))
-                    spans.append([{"start": a, "stop": b} for a, b in merged([(s["start"], s["stop"]) for s in old_spans or ()] + found)])
-                    items.append(sorted(named | set(old_items or ())))
+                    spans.append([{"start": a, "stop": b} for a, b in merged(found)])
+                    items.append(sorted(named))
                 made = {"n_words": pa.array(counts, pa.int64()), "hit_spans": pa.array(spans, span_type), "items": pa.array(items, pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([made.get(n, batch.column(i)) for i, n in enumerate(batch.schema.names)], names=batch.schema.names)
 
@@ -151,19 +159,24 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     """The columns ``keep`` (all by default) of ``docs`` with n_words, hit_spans (disjoint word positions),
     items (sorted ids of the items that occur), n_hit, n_items and contaminated."""
     results = ["n_words", "hit_spans", "items", "n_hit", "n_items", "contaminated"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*results, "_scan")]
-    spark = docs.sparkSession
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in results]
+    context = docs.sparkSession.sparkContext
     start = [F.lit(0).cast("bigint").alias("n_words"), F.array().cast(SPAN).alias("hit_spans"), F.array().cast("array<string>").alias("items")]
-    scanned, path = with_scan(docs, kept, text, *start)
-    for number, block in enumerate([*benchmark_blocks(benchmark, window, block_windows)] or [[]]):
-        if number and number % 4 == 0:
+    scanned, path = carried(docs, kept, text, *start)
+    blocks = benchmark_blocks(benchmark, window, block_windows)
+    group, more = list(islice(blocks, PASS_BLOCKS)), True
+    while more:
+        following = list(islice(blocks, PASS_BLOCKS))
+        shared = [context.broadcast(block) for block in group]
+        scanned = scanned.mapInArrow(_scan_pass(shared, window, path), scanned.schema)
+        if more := bool(following):
             scanned = materialise(scanned, "overlaps")
-        scanned = scanned.mapInArrow(_scan_pass(spark.sparkContext.broadcast(block), window, path), scanned.schema)
+            for block in shared:
+                block.destroy()
+        group = following
     hit = F.aggregate("hit_spans", F.lit(0).cast("bigint"), lambda total, s: total + s["stop"] - s["start"])
-    return (
-        scanned.select(*(F.col(f"`{c}`") for c in kept), "n_words", "hit_spans", "items", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-    )
+    counted = uncarried(scanned, "n_words", "hit_spans", "items", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"))
+    return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def digest(overlaps: DataFrame) -> DataFrame:

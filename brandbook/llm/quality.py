@@ -19,7 +19,7 @@ sides are shuffled and skewed paths split.
 Edge cases: a null or empty text has all statistics zero and counts as any other; null hosts and paths are
 sites of their own; ids without label aren't learned from, several labels of an id are rows of their own;
 without labels of both kinds every p is their mean (1 without any); repeated rows stay; an empty table gives
-no rows; a column named like a result column is replaced, those named in ``OWN`` aren't kept.
+no rows; a text's length isn't limited; a column named like a result column is replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import slices, texts, with_scan, without_scan
+from brandbook.llm.arrow import carried, slices, texts, uncarried, without_scan
 from brandbook.session import materialise
 
 SAMPLE = 20_000
@@ -40,8 +40,6 @@ BINS = 12
 THRESHOLD = 0.5
 LEAST_P = 0.001
 RESULTS = ("p_doc", "p_host", "p_path", "posterior", "kept")
-#: Names that are used on the way.
-OWN = ("_host", "_path", "_n", "_s", "_host_n", "_host_s", "_site", "_page", "_text", "_scan")
 SYMBOL = re.compile(r"[#*$%&|<>{}\[\]\\^~=_@]")
 DIGIT, UPPER = re.compile(r"\d"), re.compile(r"[^\W\d_a-zß-öø-ÿ]")
 STOP = re.compile(r"[.!?…][\"')\]]*(?:\s|$)")
@@ -70,8 +68,8 @@ WIDTH = 24
 
 def _statistics_pass(batches):
     for whole in batches:
-        for batch in slices(whole, "_scan"):
-            rows = [statistics((v or b"").decode("utf-8", "replace")) for v in texts(batch, "_scan")]
+        for batch in slices(whole, "scan"):
+            rows = [statistics((v or b"").decode("utf-8", "replace")) for v in texts(batch, "scan")]
             keep = without_scan(batch)
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "stats"])
 
@@ -103,8 +101,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         return {"mean": 1.0 if mean is None else float(mean)}
     chosen = chosen.withColumn("h", F.xxhash64("id")).orderBy("h", "id", "good").limit(sample)
     # bounded by ``sample``, so small enough to broadcast at any size of the corpus
-    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("_scan")).join(F.broadcast(materialise(chosen, "labelled")), "id")
-    got = rows.select("h", "good", "_scan").mapInArrow(_statistics_pass, "h bigint, good int, stats array<double>").toPandas()
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("scan")).join(F.broadcast(materialise(chosen, "labelled")), "id")
+    got = rows.select("h", "good", "scan").mapInArrow(_statistics_pass, "h bigint, good int, stats array<double>").toPandas()
     if len(got) == 0 or got["good"].nunique() < 2:
         return {"mean": float(mean)}
     stats = np.round(np.stack(got["stats"].to_numpy()), 9)
@@ -129,11 +127,11 @@ def _evidence_pass(shared, path: str):
     return run
 
 
-def evidence(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) with p_doc."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*RESULTS, "_scan")]
-    rows, path = with_scan(docs, kept, text)
-    schema = rows.drop("_scan").schema.add("p_doc", "double")
+def evidence(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None, *more: Column) -> DataFrame:
+    """The columns ``keep`` (all by default) as one struct ``row``, ``more`` columns, and p_doc."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    rows, path = carried(docs, kept, text, *more)
+    schema = rows.drop("scan").schema.add("p_doc", "double")
     return rows.mapInArrow(_evidence_pass(docs.sparkSession.sparkContext.broadcast(model), path), schema)
 
 
@@ -173,7 +171,7 @@ def posterior(scored: DataFrame, table: DataFrame, prior: dict, host: str, path:
     joined = joined.withColumn("p_path", F.round(F.least(F.lit(1 - LEAST_P), F.greatest(F.lit(LEAST_P), p_path)), 6))
     both = odds(F.col("p_doc")) + odds(F.col("p_path")) - F.lit(float(np.log(mean / (1 - mean))))
     joined = joined.withColumn("posterior", F.round(1 / (1 + F.exp(-both)), 6)).withColumn("kept", F.col("posterior") >= threshold)
-    return joined.drop(*OWN[:6])
+    return joined.drop("_host", "_path", "_n", "_s", "_host_n", "_host_s")
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", text: str = "text", key: str = "doc_id", keep: list[str] | None = None, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
@@ -181,13 +179,10 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
 
     Two passes over the texts: one for the sites' sums, one for the rows themselves, so that texts aren't
     shuffled; where ``keep`` is given, its rows are written once and the second pass reads those."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*RESULTS, *OWN)]
     model = train(docs, labels, text, key, sample)
     place = [F.col(host).alias("_site"), F.col(path).alias("_page")]
-    slim = docs.select(*(F.col(f"`{c}`") for c in (kept if keep is not None else [])), *place, F.col(text).alias("_text"))
-    scored = materialise(evidence(slim, model, "_text", [c for c in slim.columns if c != "_text"]), "evidence")
+    scored = materialise(evidence(docs, model, text, [] if keep is None else keep, *place), "evidence")
     table, prior = sites(scored, "_site", "_page")
     if keep is None:
-        rows = docs.select(*(F.col(f"`{c}`") for c in kept), *place, *([] if text.split(".")[0] in kept else [F.col(text).alias("_text")]))
-        scored = evidence(rows, model, text if text.split(".")[0] in kept else "_text", [*kept, "_site", "_page"])
-    return posterior(scored, table, prior, "_site", "_page", threshold).drop("_site", "_page")
+        scored = evidence(docs, model, text, None, *place)
+    return uncarried(posterior(scored, table, prior, "_site", "_page", threshold), *RESULTS)

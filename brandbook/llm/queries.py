@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from brandbook.llm import decision_list, decontaminate, html_text, mixture, oracle, quality, simhash, token_counts, toxicity, url_filter, warc
-from brandbook.session import table
+from brandbook.session import table, tidied
 
 
 #: The date that fresh headers carry; a parameter, so that a query gives the same archive every time.
@@ -57,16 +57,8 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_warc": op1_warc,
-    "op2_html_text": op2_html_text,
-    "op3_decontaminate": op3_decontaminate,
-    "op4_toxicity": op4_toxicity,
-    "op5_simhash": op5_simhash,
-    "op6_mixture": op6_mixture,
-    "op7_token_counts": op7_token_counts,
-    "op8_quality": op8_quality,
-    "op9_url_filter": op9_url_filter,
-    "op10_decision_list": op10_decision_list,
+    f.__name__: tidied(f)
+    for f in (op1_warc, op2_html_text, op3_decontaminate, op4_toxicity, op5_simhash, op6_mixture, op7_token_counts, op8_quality, op9_url_filter, op10_decision_list)
 }
 
 ORACLE_SQL = oracle.ORACLE_SQL

@@ -21,7 +21,7 @@ Edge cases: a null or empty text, or one without known features, gets the interc
 whole; ids without text or label are skipped in learning; several labels of an id confirm it if one does;
 without positives every score is the prior (0 without labels); rows stay as they are, repeated ones too, a
 null id is never held out; an empty table gives no rows; a column named like a result
-column is replaced, one named ``_scan`` isn't kept.
+column is replaced.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import slices, texts as texts_of, with_scan, without_scan
+from brandbook.llm.arrow import carried, slices, texts as texts_of, uncarried, without_scan
 from brandbook.session import materialise
 
 SPACE = 1 << 20
@@ -242,8 +242,9 @@ def _scorer(shared, path: str):
 
 def score(docs: DataFrame, model: dict, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """The columns ``keep`` (all by default) of ``docs`` with held_out, score and predicted."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted", "_scan")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows, path = with_scan(docs, kept, text, held_out(F.col(key)).alias("held_out"))
-    schema = rows.drop("_scan").schema.add("score", "double")
-    return rows.mapInArrow(_scorer(shared, path), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    rows, path = carried(docs, kept, text, held_out(F.col(key)).alias("held_out"))
+    schema = rows.drop("scan").schema.add("score", "double")
+    scored = rows.mapInArrow(_scorer(shared, path), schema)
+    return uncarried(scored, "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
