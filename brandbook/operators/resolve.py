@@ -1,14 +1,22 @@
 """Entity resolution: which records and parent references are one animal.
 
 ``replay`` gives exactly what reading the records one by one gives: a ladder of keys, strongest first, over
-the state that earlier records left. Mentions are first put into blocks that share no key whatsoever (connected
-components over every key that the ladder could compare), so blocks can be replayed apart from each other, in
-parallel, each in order of ``seq``. ``closure`` is the set-based variant: components over the ladder's keys
+the state that earlier records left. Mentions are first put into blocks that cannot touch each other, so blocks
+are replayed apart, in parallel, each in order of ``seq``. Blocks start as connected components over the keys that
+identify by themselves (international id, registration, case, cross reference). An animal's other values may come
+from any mention of its block, so blocks are then joined where they share a tattoo with birth date and sex, or a name
+with birth date, in any combination, and where a name that identifies by itself is also on a mention without birth
+date; that is repeated until nothing joins. ``closure`` is the set-based variant: components over the ladder's keys
 as they are in the records, whatever their order.
+
+A block is read as a sorted stream: what is held is its animals and their keys, not its mentions, so a sire that a
+third of all records name is one animal and a stream of references. No block is refused or cut; its mentions are
+read by one task, since each depends on those before it.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -20,8 +28,6 @@ from brandbook.operators.components import connected_components
 from brandbook.schema import TABLES
 from brandbook.session import materialise
 
-#: Mentions that one block may have; beyond it the replay refuses instead of running out of memory.
-MOST_MENTIONS = 200_000
 FIELDS = ("intl_id", "name", "name_norm", "sex", "dob", "tattoo", "color", "horn_status")
 OUTPUT = "kind string, payload string"
 OUT_ROWS = 5_000
@@ -59,91 +65,196 @@ def prepared(records: DataFrame, skip_steers: bool = False, preserve_affected: b
     )
 
 
-def block_keys(rows: DataFrame, tattoo_key: str = "tattoo") -> DataFrame:
-    """(mention, key): every key that may ever join mentions. A mention is three times ``seq`` plus 0 for the
-    record, 1 for its sire, 2 for its dam. ``tattoo_key='tds'`` (with birth date and sex) makes smaller blocks
-    but isn't exact, since an animal's values may come from several records."""
-    own = [
-        F.when(F.col("intl") != "", F.concat(F.lit("I:"), F.col("intl"))), F.concat_ws(":", F.lit("R"), "assoc", "reg"),
-        F.when(F.col("tattoo").isNotNull(), F.concat(F.lit("T:"), F.col("tattoo")) if tattoo_key == "tattoo" else F.concat_ws("|", F.lit("T"), "tattoo", "dob", "sex")),
-        F.when(~F.col("generic"), F.concat(F.lit("N:"), F.col("norm"))),
-    ]
+def block_keys(rows: DataFrame) -> DataFrame:
+    """(mention, key): the keys that identify by themselves. A mention is three times ``seq`` plus 0 for the
+    record, 1 for its sire, 2 for its dam."""
+    own = [F.when(F.col("intl") != "", F.concat(F.lit("I:"), F.col("intl"))), F.concat_ws(":", F.lit("R"), "assoc", "reg")]
     lists = F.concat(F.array(*own), F.transform("cases", lambda c: F.concat(F.lit("D:"), c)), F.transform("xrefs", lambda x: F.concat_ws(":", F.lit("R"), x["assoc"], x["reg"])))
 
     def parent(role: str) -> Column:
         p = F.col(role)
-        return F.array(
-            F.when(p["intl"] != "", F.concat(F.lit("I:"), p["intl"])), F.when(p["reg"].isNotNull(), F.concat_ws(":", F.lit("R"), p["assoc"], p["reg"])), F.when((p["norm"] != "") & ~norm.is_generic(p["norm"]), F.concat(F.lit("N:"), p["norm"]))
-        )
+        return F.array(F.when(p["intl"] != "", F.concat(F.lit("I:"), p["intl"])), F.when(p["reg"].isNotNull(), F.concat_ws(":", F.lit("R"), p["assoc"], p["reg"])))
 
     mentions = F.array(*(F.struct(F.lit(i).alias("i"), keys.alias("keys")) for i, keys in enumerate((lists, parent("sire"), parent("dam")))))
     exploded = rows.select("seq", F.explode(mentions).alias("m")).select((3 * F.col("seq") + F.col("m.i")).alias("mention"), F.explode("m.keys").alias("key"))
     return exploded.where("key is not null").distinct()
 
 
+def facts(rows: DataFrame) -> DataFrame:
+    """(mention, tattoo, dob, sex, name, specific, dated) of every mention; a generic name is no name."""
+    own = rows.select((3 * F.col("seq")).alias("mention"), "tattoo", "dob", "sex", F.when(~F.col("generic"), F.col("norm")).alias("name"), F.col("specific") & ~F.col("generic"), F.col("dob").isNotNull().alias("dated"))
+    none = F.lit(None).cast("string")
+
+    def parent(i: int, role: str) -> DataFrame:
+        p = F.col(role)
+        name = F.when((p["norm"] != "") & ~norm.is_generic(p["norm"]), p["norm"])
+        return rows.where(p.isNotNull()).select((3 * F.col("seq") + i).alias("mention"), none, none, none, name.alias("name"), p["specific"], F.lit(False))
+
+    return own.union(parent(1, "sire")).union(parent(2, "dam")).toDF("mention", "tattoo", "dob", "sex", "name", "specific", "dated")
+
+
+def linked(keys: DataFrame, node: str) -> DataFrame:
+    """Edges (a, b) from ``keys(node, key)``: a key links its nodes to the least of them."""
+    least = materialise(keys.groupBy("key").agg(F.min(node).alias("least"), F.max(node).alias("most")).where("least <> most"), "least")
+    return keys.join(least, "key").select(F.col(node).alias("a"), F.col("least").alias("b")).where("a <> b")
+
+
 def blocks(keys: DataFrame) -> DataFrame:
-    """(mention, block) for every mention with a key. A key links its mentions to the least of them."""
+    """(mention, block) for every mention of ``keys(mention, key)``, the least mention of each component."""
     keys = materialise(keys, "keys")
-    least = materialise(keys.groupBy("key").agg(F.min("mention").alias("least"), F.count("*").alias("n")).where("n > 1"), "least")
-    edges = keys.join(least, "key").select(F.col("mention").alias("a"), F.col("least").alias("b"))
-    found = connected_components(edges)
+    found = connected_components(linked(keys, "mention"))
     return keys.select("mention").distinct().join(found, F.col("mention") == F.col("node"), "left").select("mention", F.coalesce("component", "mention").alias("block"))
 
 
+def _weak_keys(placed: DataFrame) -> DataFrame:
+    """(block, key) that may join blocks of ``placed(block, ...facts)``; values of several mentions combine, and only
+    values that several blocks have are looked at."""
+    several = lambda df, c: df.join(df.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(c), c)
+    values = lambda c: placed.where(F.col(c).isNotNull()).select("block", c).distinct()
+    dobs, sexes = values("dob"), values("sex")
+    marks = several(values("tattoo"), "tattoo").join(dobs, "block").join(sexes, "block").select("block", F.concat_ws("|", F.lit("T"), "tattoo", "dob", "sex").alias("key"))
+    names = materialise(several(values("name"), "name"), "names")
+    dated = names.join(dobs, "block").select("block", F.concat_ws("|", F.lit("D"), "name", "dob").alias("key"))
+    loose = placed.where("name is not null and specific and not dated").select("name").distinct()
+    alone = names.join(loose, "name").select("block", F.concat(F.lit("N|"), "name").alias("key"))
+    return marks.union(dated).union(alone).distinct()
+
+
+def mention_blocks(rows: DataFrame) -> DataFrame:
+    """(mention, block) of all mentions of ``prepared`` rows that any rung may resolve."""
+    known = materialise(facts(rows), "facts")
+    home = materialise(blocks(block_keys(rows).union(known.select("mention", F.concat(F.lit("M:"), F.col("mention").cast("string"))))), "blocks")
+    while True:
+        placed = materialise(known.join(home, "mention").select("block", "tattoo", "dob", "sex", "name", "specific", "dated").distinct(), "placed")
+        joined = materialise(connected_components(linked(materialise(_weak_keys(placed), "weak"), "block")), "joined")
+        if joined.limit(1).count() == 0:
+            return home
+        home = materialise(home.join(joined, F.col("block") == F.col("node"), "left").select("mention", F.coalesce("component", "block").alias("block")), "blocks")
+
+
 class _Herd:
-    """The animals of one block while its mentions are replayed."""
+    """The animals of one block while its mentions are replayed; ``out`` takes rows that are settled."""
 
-    def __init__(self):
+    def __init__(self, out: list[tuple[str, dict]]):
+        self.out = out
         self.animals: dict[str, dict] = {}
-        self.by_intl: dict[str, str] = {}
-        self.by_reg: dict[tuple, str] = {}
-        self.by_case: dict[str, str] = {}
+        self.index: dict[str, dict] = {"intl": {}, "reg": {}, "case": {}}
+        #: keys of each index by animal
+        self.keys: dict[tuple[str, str], set] = {}
         self.papers: dict[tuple, dict] = {}
         self.breeds: dict[str, set[tuple]] = {}
-        self.defects: dict[tuple, str] = {}
-        #: parent mention -> [child, parent] while both are of this block and the line stands
+        #: by animal and code: when the pair first came, and the status
+        self.defects: dict[str, dict[str, tuple[int, str]]] = {}
+        #: parent mention -> [child, parent] while both are of this block and the line stands, and mentions by animal
         self.lines: dict[int, list[str]] = {}
+        self.lines_of: dict[str, set[int]] = {}
         self.renamed: dict[str, str] = {}
-        self.log: list[tuple] = []
-        #: animals by name and by tattoo, and the order in which they came
+        #: animals by what they are found by, the order in which they came, and dated animals of a name as a heap
         self.marked: dict[tuple, set[str]] = {}
         self.rank: dict[str, int] = {}
-
-    def like(self, field: str, value: str, test) -> list[str]:
-        """Animals with that name or tattoo that pass, the earliest first."""
-        return sorted((u for u in self.marked.get((field, value), ()) if u in self.animals and test(self.animals[u])), key=self.rank.get)
+        self.dated: dict[str, list[tuple[int, str]]] = {}
+        self.clock = 0
+
+    def tick(self) -> int:
+        self.clock += 1
+        return self.clock
+
+    def log(self, mention: int, uid: str, rung: str) -> None:
+        self.out.append(("log", {"mention": mention, "step": self.tick(), "uid": uid, "rung": rung}))
+
+    def _marks(self, uid: str) -> Iterator[tuple]:
+        a = self.animals[uid]
+        name, dob, tattoo, sex = (a.get(f) for f in ("name_norm", "dob", "tattoo", "sex"))
+        if tattoo and dob and sex:
+            yield "tattoo", tattoo, dob, sex
+        if name and dob:
+            yield "name", name, dob
+        if name and not dob:
+            yield "stub", name
 
     def _mark(self, uid: str) -> None:
-        for field in ("name_norm", "tattoo"):
-            if value := self.animals[uid].get(field):
-                self.marked.setdefault((field, value), set()).add(uid)
+        for mark in self._marks(uid):
+            found = self.marked.setdefault(mark, set())
+            if uid not in found:
+                found.add(uid)
+                if mark[0] == "name":
+                    heapq.heappush(self.dated.setdefault(mark[1], []), (self.rank[uid], uid))
+
+    def _unmark(self, uid: str) -> None:
+        for mark in self._marks(uid):
+            self.marked.get(mark, set()).discard(uid)
+
+    def like(self, *mark) -> list[str]:
+        """Animals with a mark, the earliest first."""
+        return sorted(self.marked.get(mark, ()), key=self.rank.get)
+
+    def first_dated(self, name: str) -> str | None:
+        """The earliest animal of a name that has a birth date."""
+        heap = self.dated.get(name, [])
+        while heap and (heap[0][1] not in self.animals or self.rank[heap[0][1]] != heap[0][0]):
+            heapq.heappop(heap)
+        return heap[0][1] if heap else None
+
+    def own(self, index: str, key, uid: str) -> None:
+        if (old := self.index[index].get(key)) is not None:
+            self.keys[index, old].discard(key)
+        self.index[index][key] = uid
+        self.keys.setdefault((index, uid), set()).add(key)
 
     def add(self, uid: str, values: dict) -> None:
-        if uid not in self.animals:
-            self.rank[uid] = len(self.rank) + len(self.renamed)
+        if uid in self.animals:
+            self._unmark(uid)
+        else:
+            self.rank[uid] = self.tick()
         self.animals[uid] = dict(values)
         self._mark(uid)
         if values.get("intl_id"):
-            self.by_intl[values["intl_id"]] = uid
+            self.own("intl", values["intl_id"], uid)
 
     def fill(self, uid: str, values: dict) -> None:
         known = self.animals[uid]
-        known.update({k: v for k, v in values.items() if v and not known.get(k)})
-        self._mark(uid)
+        more = {k: v for k, v in values.items() if v and not known.get(k)}
+        if more:
+            self._unmark(uid)
+            known.update(more)
+            self._mark(uid)
 
     def paper(self, uid: str, key: tuple, values: dict) -> None:
         self.papers.setdefault(key, {}).update(values)
-        self.by_reg[key] = uid
+        self.own("reg", key, uid)
+
+    def defect(self, uid: str, code: str, status: str) -> None:
+        own = self.defects.setdefault(uid, {})
+        own[code] = (own[code][0] if code in own else self.tick(), status)
+
+    def line(self, mention: int, child: str, parent: str) -> None:
+        self.lines[mention] = [child, parent]
+        for uid in {child, parent}:
+            self.lines_of.setdefault(uid, set()).add(mention)
 
     def merge(self, keep: str, drop: str) -> None:
+        """Everything of ``drop`` goes to ``keep``, in the time that ``drop``'s own things take."""
+        self._unmark(drop)
         self.fill(keep, self.animals.pop(drop))
-        now = lambda uid: keep if uid == drop else uid
-        for index in (self.by_intl, self.by_reg, self.by_case):
-            index.update({k: keep for k, uid in index.items() if uid == drop})
+        for name, index in self.index.items():
+            moved = self.keys.pop((name, drop), set())
+            index.update(dict.fromkeys(moved, keep))
+            self.keys.setdefault((name, keep), set()).update(moved)
         self.breeds.setdefault(keep, set()).update(self.breeds.pop(drop, ()))
-        self.defects = {(now(u), c): s for (u, c), s in self.defects.items()}
-        # a line from the dropped animal to itself falls; one that only now joins an animal to itself stays
-        self.lines = {m: [now(c), now(p)] for m, (c, p) in self.lines.items() if not c == p == drop}
+        own = self.defects.setdefault(keep, {})
+        for code, (at, status) in self.defects.pop(drop, {}).items():
+            # of two the later one counts, at the place of the earlier
+            before = own.get(code, (at, status))
+            own[code] = min(at, before[0]), status if at > before[0] else before[1]
+        for mention in self.lines_of.pop(drop, ()):
+            child, parent = self.lines[mention]
+            if child == parent == drop:
+                # a line from the dropped animal to itself falls; one that only now joins an animal to itself stays
+                del self.lines[mention]
+                self.out.append(("fallen", {"mention": mention}))
+            else:
+                self.lines[mention] = [keep if x == drop else x for x in (child, parent)]
+                self.lines_of.setdefault(keep, set()).add(mention)
         self.renamed[drop] = keep
 
     def current(self, uid: str) -> str:
@@ -158,20 +269,20 @@ def _values(r) -> dict:
 
 def _climb(herd: _Herd, r: dict) -> tuple[str | None, str]:
     """The animal that a record is by the ladder, and the rung that says so."""
-    if r["intl"] and (uid := herd.by_intl.get(r["intl"])):
+    intl, reg, case = (herd.index[k].get for k in ("intl", "reg", "case"))
+    if r["intl"] and (uid := intl(r["intl"])):
         return uid, "intl_id"
-    if uid := herd.by_reg.get((r["assoc"], r["reg"])):
+    if uid := reg((r["assoc"], r["reg"])):
         return uid, "registration"
-    for case in r["cases"]:
-        if case in herd.by_case:
-            return herd.by_case[case], "dna"
+    for one in r["cases"]:
+        if uid := case(one):
+            return uid, "dna"
     for x in r["xrefs"]:
-        if uid := herd.by_reg.get((x["assoc"], x["reg"])):
+        if uid := reg((x["assoc"], x["reg"])):
             return uid, "cross_ref"
-    marks = (r["tattoo"], r["dob"], r["sex"])
-    if all(marks) and (found := herd.like("tattoo", r["tattoo"], lambda a: (a.get("dob"), a.get("sex")) == marks[1:])):
+    if r["tattoo"] and r["dob"] and r["sex"] and (found := herd.like("tattoo", r["tattoo"], r["dob"], r["sex"])):
         return found[0], "tattoo_dob_sex"
-    if r["norm"] and r["dob"] and not r["generic"] and (found := herd.like("name_norm", r["norm"], lambda a: a.get("dob") == r["dob"])):
+    if r["norm"] and r["dob"] and not r["generic"] and (found := herd.like("name", r["norm"], r["dob"])):
         return found[0], "name_dob"
     return None, "created"
 
@@ -184,129 +295,124 @@ def _replay_record(herd: _Herd, r: dict) -> str:
         herd.add(uid, values)
     else:
         herd.fill(uid, values)
-        if values["intl_id"]:
-            herd.by_intl.setdefault(values["intl_id"], uid)
-    herd.log.append((3 * r["seq"], uid, rung))
-    same_name = lambda test: [u for u in herd.like("name_norm", r["norm"], lambda a: test(a.get("dob"))) if u != uid]
-    twins = same_name(lambda d: d == r["dob"]) if r["norm"] and r["dob"] and not r["generic"] else []
-    for other in twins:
-        herd.merge(uid, other)
-    stubs = same_name(lambda d: not d) if r["dob"] and r["specific"] else []
-    for other in stubs:
-        herd.merge(uid, other)
-    herd.log += [(3 * r["seq"], uid, "name_dob")] * (len(twins) + len(stubs))
+        if values["intl_id"] and values["intl_id"] not in herd.index["intl"]:
+            herd.own("intl", values["intl_id"], uid)
+    herd.log(3 * r["seq"], uid, rung)
+    named = r["norm"] and r["dob"] and not r["generic"]
+    for marks in ([("name", r["norm"], r["dob"])] if named else []) + ([("stub", r["norm"])] if r["dob"] and r["specific"] else []):
+        for other in herd.like(*marks):
+            if other != uid:
+                herd.merge(uid, other)
+                herd.log(3 * r["seq"], uid, "name_dob")
     herd.paper(uid, (r["assoc"], r["reg"]), {"name_as_recorded": r["name"], **{k: r[k] for k in ("breeder", "owner", "epds", "attributes", "source_url", "scraped_at")}, "stub": False})
     for case in r["cases"]:
-        herd.by_case[case] = uid
+        herd.own("case", case, uid)
     herd.breeds.setdefault(uid, set()).update((b["breed"], b["percent"]) for b in r["breeds"])
     for d in r["defects"]:
-        herd.defects[uid, d["code"]] = d["status"]
+        herd.defect(uid, d["code"], d["status"])
     for x in r["xrefs"]:
-        if (x["assoc"], x["reg"]) not in herd.by_reg:
+        if (x["assoc"], x["reg"]) not in herd.index["reg"]:
             herd.paper(uid, (x["assoc"], x["reg"]), {"stub": True, "via_cross_ref": True})
     return uid
 
 
-def _replay_parent(herd: _Herd, seq: int, role: int, p: dict) -> str | None:
+def _replay_parent(herd: _Herd, mention: int, p: dict) -> str | None:
     key = (p["assoc"], p["reg"]) if p["reg"] else None
-    uid = (herd.by_intl.get(p["intl"]) if p["intl"] else None) or (herd.by_reg.get(key) if key else None)
+    uid = (herd.index["intl"].get(p["intl"]) if p["intl"] else None) or (herd.index["reg"].get(key) if key else None)
     if uid:
         return uid
     if not key and not p["intl"]:
         return None
-    if p["specific"] and (found := herd.like("name_norm", p["norm"], lambda a: a.get("dob"))):
+    if p["specific"] and (found := herd.first_dated(p["norm"])):
         if key:
-            herd.paper(found[0], key, {"stub": True})
-        return found[0]
+            herd.paper(found, key, {"stub": True})
+        return found
     uid = ":".join(key) if key else p["intl"]
     herd.add(uid, {"intl_id": p["intl"] or None, "name": p["name"], "name_norm": p["norm"]})
     if key:
         herd.paper(uid, key, {"stub": True})
-    herd.log.append((3 * seq + role, uid, "created"))
+    herd.log(mention, uid, "created")
     return uid
 
 
-def _replay_block(mentions: list[dict]) -> Iterator[tuple[str, dict]]:
-    """Table rows of one block, its mentions in order. Lines of descent come out per mention, since a parent
-    may be of another block."""
-    herd, homes = _Herd(), {}
-    for m in sorted(mentions, key=lambda m: m["mention"]):
-        body = json.loads(m["body"])
-        seq, role = divmod(m["mention"], 3)
-        uid = _replay_record(herd, body) if role == 0 else _replay_parent(herd, seq, role, body)
-        if uid:
-            homes[m["mention"]] = uid
-            if role and 3 * seq in homes:
-                herd.lines[m["mention"]] = [herd.current(homes[3 * seq]), uid]
-    for uid, a in herd.animals.items():
-        yield "animal", {"uid": uid, **{f: a.get(f) for f in FIELDS}}
-    for (assoc, reg), v in herd.papers.items():
-        yield "registration", {"association": assoc, "regNumber": reg, "uid": herd.by_reg[assoc, reg], **v}
-    for case, uid in herd.by_case.items():
-        yield "animal_dna", {"case_id": case, "uid": uid}
-    for uid, breeds in herd.breeds.items():
-        for breed, percent in breeds:
-            yield "animal_breed", {"uid": uid, "breed": breed, "percent": percent}
-    for (uid, code), status in herd.defects.items():
-        yield "animal_defect", {"uid": uid, "code": code, "status": status}
-    for mention, uid in homes.items():
-        fallen = mention % 3 > 0 and mention - mention % 3 in homes and mention not in herd.lines
-        yield "mention", {"mention": mention, "uid": herd.current(uid), "fallen": fallen}
-    for step, (mention, uid, rung) in enumerate(herd.log):
-        yield "log", {"mention": mention, "step": step, "uid": uid, "rung": rung}
-
-
-def _replay_sorted(most: int):
-    """Replays blocks one after another from rows sorted by block and mention; of a task's rows only one block
-    and the results not yet handed on are held."""
-
-    def run(batches):
-        held, block, rows = [], None, []
-
-        def finish():
-            rows.extend((kind, json.dumps(row)) for kind, row in _replay_block(held))
-            held.clear()
-
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("block", "mention", "body"))
-            for at, mention, body in zip(*columns, strict=True):
-                if at != block and held:
-                    finish()
-                block = at
-                held.append({"mention": mention, "body": body})
-                if len(held) > most:
-                    raise ValueError(f"block {block} has more than {most} mentions, which are not replayed together")
-                if len(rows) >= OUT_ROWS:
-                    yield _told(rows)
-                    rows = []
-        finish()
-        if rows:
-            yield _told(rows)
-
-    return run
-
-
-def _told(rows: list[tuple[str, str]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["kind", "payload"])
-
-
-def replay(records: DataFrame, skip_steers: bool = False, tattoo_key: str = "tattoo", most_mentions: int = MOST_MENTIONS, preserve_affected: bool = False) -> dict[str, DataFrame]:
+class _Replay:
+    """One block: mentions go in by ``take`` in order, rows of the tables come out of ``out``. Mentions come out as
+    they were resolved at their time; ``finish`` tells what those animals are called in the end. Lines of descent come
+    out per mention, since a parent may be of another block."""
+
+    def __init__(self):
+        self.out: list[tuple[str, dict]] = []
+        self.herd = _Herd(self.out)
+        self.child: tuple[int, str] | None = None
+
+    def take(self, mention: int, body: dict) -> None:
+        seq, role = divmod(mention, 3)
+        uid = _replay_record(self.herd, body) if role == 0 else _replay_parent(self.herd, mention, body)
+        if not uid:
+            return
+        self.out.append(("mention", {"mention": mention, "uid": uid}))
+        if role == 0:
+            self.child = seq, uid
+        elif self.child and self.child[0] == seq:
+            self.herd.line(mention, self.herd.current(self.child[1]), uid)
+
+    def finish(self) -> list[tuple[str, dict]]:
+        herd, out = self.herd, self.out
+        for uid, a in herd.animals.items():
+            out.append(("animal", {"uid": uid, **{f: a.get(f) for f in FIELDS}}))
+        for (assoc, reg), v in herd.papers.items():
+            out.append(("registration", {"association": assoc, "regNumber": reg, "uid": herd.index["reg"][assoc, reg], **v}))
+        out += [("animal_dna", {"case_id": case, "uid": uid}) for case, uid in herd.index["case"].items()]
+        out += [("animal_breed", {"uid": uid, "breed": breed, "percent": percent}) for uid, breeds in herd.breeds.items() for breed, percent in breeds]
+        out += [("animal_defect", {"uid": uid, "code": code, "status": status}) for uid, codes in herd.defects.items() for code, (_, status) in codes.items()]
+        out += [("renamed", {"old": old, "uid": herd.current(old)}) for old in herd.renamed]
+        return out
+
+
+def _replay_sorted(batches):
+    """Replays blocks one after another from rows sorted by block and mention; of a task's rows only the animals of
+    one block and the results not yet handed on are held."""
+    block, replay = None, _Replay()
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("block", "mention", "body"))
+        for at, mention, body in zip(*columns, strict=True):
+            if at != block:
+                yield from _handed(replay.finish())
+                block, replay = at, _Replay()
+            replay.take(mention, json.loads(body))
+            if len(replay.out) >= OUT_ROWS:
+                yield from _handed(replay.out)
+                replay.out.clear()
+    yield from _handed(replay.finish())
+
+
+def _handed(rows: list[tuple[str, dict]]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), OUT_ROWS):
+        part = rows[at : at + OUT_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array([kind for kind, _ in part], pa.string()), pa.array([json.dumps(row) for _, row in part], pa.string())], names=["kind", "payload"])
+
+
+def replay(records: DataFrame, skip_steers: bool = False, preserve_affected: bool = False) -> dict[str, DataFrame]:
     """``records`` with ``seq`` to the graph's tables, plus ``log(mention, step, uid, rung)`` and
-    ``mention(mention, uid)``. Raises if a block is larger than ``most_mentions``."""
+    ``mention(mention, uid)``."""
     rows = materialise(prepared(records, skip_steers, preserve_affected), "records")
     own = F.to_json(F.struct(*(c for c in rows.columns if c not in ("sire", "dam"))), {"ignoreNullFields": "false"})
     bodies = F.array(F.struct(F.lit(0).alias("i"), own.alias("body")), *(F.struct(F.lit(i).alias("i"), F.to_json(F.col(role), {"ignoreNullFields": "false"}).alias("body")) for i, role in ((1, "sire"), (2, "dam"))))
     mentions = rows.select("seq", F.explode(bodies).alias("m")).select((3 * F.col("seq") + F.col("m.i")).alias("mention"), F.col("m.body").alias("body")).where("body is not null")
-    placed = mentions.join(materialise(blocks(block_keys(rows, tattoo_key)), "blocks"), "mention")
+    placed = mentions.join(mention_blocks(rows), "mention")
     in_order = placed.select("block", "mention", "body").repartition("block").sortWithinPartitions("block", "mention")
-    told = materialise(in_order.mapInArrow(_replay_sorted(most_mentions), OUTPUT), "told")
+    # by kind: each table is read from its own folder
+    told = materialise(in_order.mapInArrow(_replay_sorted, OUTPUT), "told", partition_by=["kind"])
     table = lambda kind, ddl: told.where(F.col("kind") == kind).select(F.from_json("payload", ddl).alias("x")).select("x.*")
     out = {name: table(name, ddl) for name, ddl in TABLES.items() if name != "parentage"}
-    out["log"], out["mention"] = table("log", "mention bigint, step bigint, uid string, rung string"), table("mention", "mention bigint, uid string, fallen boolean")
-    home = materialise(out["mention"], "homes")
+    out["log"] = table("log", "mention bigint, step bigint, uid string, rung string")
+    renamed = materialise(table("renamed", "old string, uid string").select("old", F.col("uid").alias("now")), "renamed")
+    home = table("mention", "mention bigint, uid string").join(renamed, F.col("uid") == F.col("old"), "left").select("mention", F.coalesce("now", "uid").alias("uid"))
+    out["mention"] = home = materialise(home, "homes")
     ends = home.withColumn("seq", F.expr("mention div 3")).withColumn("role", F.pmod("mention", F.lit(3)))
     child = ends.where("role = 0").select("seq", F.col("uid").alias("child_uid"))
-    parent = ends.where("role > 0 and not fallen").select("seq", F.col("uid").alias("parent_uid"), F.when(F.col("role") == 1, "SIRE").otherwise("DAM").alias("role"))
+    stands = ends.where("role > 0").join(table("fallen", "mention bigint"), "mention", "left_anti")
+    parent = stands.select("seq", F.col("uid").alias("parent_uid"), F.when(F.col("role") == 1, "SIRE").otherwise("DAM").alias("role"))
     out["parentage"] = child.join(parent, "seq").select("child_uid", "parent_uid", "role").distinct()
     return out
 

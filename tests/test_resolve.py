@@ -41,28 +41,17 @@ def test_a_parent_seen_before_or_after_is_one_animal(spark, records):
     assert len(jenna) == 1 and papers == {"CHIA:337003", "MAINE:378987"}
 
 
-def test_steers_and_limits(spark):
+def test_steers(spark):
     records = [*herd.SEVEN, herd.record("CHIA", "S1", "STEER 1", sex="S")]
     assert "CHIA:S1" not in uids(load(spark, records, skip_steers=True)) and "CHIA:S1" in uids(load(spark, records))
-    with pytest.raises(Exception, match="mentions"):
-        load(spark, herd.SEVEN, most_mentions=1)["animal"].count()
 
 
-def whole(spark, records):
-    """All records in one block: the sequential run."""
-    import json
-
-    rows = R.prepared(herd.frame(spark, records)).toJSON().collect()
-    mentions = []
-    for text in rows:
-        r = json.loads(text)
-        r = {k: r.get(k) for k in ("seq", "assoc", "reg", "name", "norm", "generic", "specific", "intl", "sex", "dob", "tattoo", "color", "horn", "cases", "xrefs", "breeds", "defects", "sire", "dam", "breeder", "owner", "epds", "attributes", "source_url", "scraped_at")}
-        mentions.append({"mention": 3 * r["seq"], "body": json.dumps(r)})
-        for i, role in ((1, "sire"), (2, "dam")):
-            if r[role]:
-                p = {k: r[role].get(k) for k in ("intl", "assoc", "reg", "name", "norm", "specific")}
-                mentions.append({"mention": 3 * r["seq"] + i, "body": json.dumps(p)})
-    return list(R._replay_block(mentions))
+def model(spark, records):
+    """The same records read one by one by the slow model."""
+    m = herd.Model()
+    for r in sorted(R.prepared(herd.frame(spark, records)).collect(), key=lambda r: r.seq):
+        m.record(r.asDict(recursive=True))
+    return m
 
 
 def test_blocks_equal_the_sequential_run(spark):
@@ -80,11 +69,26 @@ def test_blocks_equal_the_sequential_run(spark):
                     r[role] = dict(r[role], association=mark(r[role]["association"]), intl_id=mark(r[role]["intl_id"]), name=mark(r[role]["name"]) if r[role]["name"] != "ANGUS" else "ANGUS")
             spaced.append(r)
     rng.shuffle(spaced)
-    want = whole(spark, spaced)
+    m = model(spark, spaced)
+    want = m.tables()
     t = load(spark, spaced)
-    for kind, fields in (("animal", ["uid", *R.FIELDS]), ("animal_defect", ["uid", "code", "status"]), ("animal_dna", ["case_id", "uid"]), ("animal_breed", ["uid", "breed", "percent"]), ("registration", ["association", "regNumber", "uid", "stub", "via_cross_ref"]), ("mention", ["mention", "uid"])):
-        assert sorted(str(tuple(r[f] for f in fields)) for r in t[kind].collect()) == sorted(str(tuple(v.get(f) for f in fields)) for k, v in want if k == kind), kind
-    assert R.blocks(R.block_keys(R.prepared(herd.frame(spark, spaced)))).select("block").distinct().count() > 25
+    for kind, fields in (("animal", ["uid", *R.FIELDS]), ("animal_defect", ["uid", "code", "status"]), ("animal_dna", ["case_id", "uid"]), ("animal_breed", ["uid", "breed", "percent"]), ("registration", ["association", "regNumber", "uid", "stub", "via_cross_ref"]), ("mention", ["mention", "uid"]), ("parentage", ["child_uid", "parent_uid", "role"])):
+        assert sorted(str(tuple(r[f] for f in fields)) for r in t[kind].collect()) == sorted(map(str, want[kind])), kind
+    assert {r.rung: r.n for r in R.stats(t).collect()} == Counter(m.rungs)
+    assert R.mention_blocks(R.prepared(herd.frame(spark, spaced))).select("block").distinct().count() > 25
+
+
+def test_values_of_several_records_meet(spark):
+    """Tattoo, birth date and sex from three records of one animal find a fourth; a stub's name is swept up."""
+    rec = herd.record
+    records = [
+        rec("A", "1", "ONE A 1", intl_id="I", tattoo="T"), rec("B", "2", None, intl_id="I", dob="2001-01-02"), rec("C", "3", None, intl_id="I", sex="M"), rec("D", "4", "OTHER B 2", tattoo="T", dob="2001-01-02", sex="M"),
+        rec("E", "5", "CALF", dam=herd.parent("F", "6", "LATE COW 7")), rec("G", "8", "LATE COW 7", dob="2002-01-01"), rec("H", "9", "SIRE C 3", sex="M", dob="2000-01-01"), *(rec("Z", str(i), f"YOUNG {i}A", sire=herd.parent("H", "9", "SIRE C 3")) for i in range(40)),
+    ]
+    t, m = load(spark, records), model(spark, records)
+    assert sorted((r.uid, r.name_norm) for r in t["animal"].collect()) == sorted((a.uid, a.values["name_norm"]) for a in m.animals)
+    assert {r.rung: r.n for r in R.stats(t).collect()} == Counter(m.rungs) and len(m.animals) == 44
+    assert sum(r.parent_uid == "H:9" for r in t["parentage"].collect()) == 40
 
 
 def test_closure(spark):
