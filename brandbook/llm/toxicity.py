@@ -42,12 +42,12 @@ from brandbook.session import materialise
 SPACE = 1 << 20
 POSITIVES, UNLABELLED, FEATURES = 4_000, 12_000, 8_192
 #: A slot speaks for the positives if more of them have it than its share of the unlabelled lets expect, by this deviance.
-LEAST_SUPPORT, LEAST_DEVIANCE = 4, 20.0
+LEAST_SUPPORT, LEAST_DEVIANCE = 3, 10.0
 #: The weight of presence against rate: small, so that decay prefers the rate where either would do.
 PRESENCE = 0.08
 THRESHOLD = 0.3
 #: Words of which a task remembers the features.
-MEMORY = 300_000
+MEMORY = 150_000
 WORD = re.compile(r"\w+")
 
 
@@ -112,7 +112,7 @@ def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, positives: i
 
 def _count_slots(batches):
     counts = np.zeros((2, SPACE), dtype=np.int64)
-    memory = Memory(lambda s: np.fromiter(s, dtype=np.int32), MEMORY // 3)
+    memory = Memory(lambda s: np.fromiter(s, dtype=np.int32), MEMORY // 2)
     for whole in batches:
         for batch in slices(whole, "text"):
             for positive, value in zip(batch.column("positive").to_pylist(), texts_of(batch, "text"), strict=True):
@@ -176,7 +176,7 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(p: Rows, u: Rows, prior: float, steps: int = 800, rate: float = 0.03, decay: float = 0.01) -> tuple[float, np.ndarray]:
+def fit(p: Rows, u: Rows, prior: float, steps: int = 300, rate: float = 0.06, decay: float = 0.01) -> tuple[float, np.ndarray]:
     """Intercept and weights with the least non-negative risk, by Adam; ``decay`` is shared by the positives."""
     decay /= max(1, p.n)
     theta = np.zeros(2 * p.width + 2)

@@ -1,3 +1,4 @@
+import math
 import random
 from zlib import crc32
 
@@ -69,3 +70,43 @@ def test_learns_from_as_many_examples_as_stated(spark):
     labels = docs.selectExpr("doc_id", "int(doc_id < 6000) as toxic")
     n = {r.positive: r["count"] for r in T.sample(docs, labels, "text", "doc_id", T.POSITIVES, T.UNLABELLED).groupBy("positive").count().collect()}
     assert n == {True: 4_000, False: 12_000} and T.FEATURES == 8_192
+
+
+def slow_fit(p, u, prior, steps, rate, decay):
+    """The same descent over plain lists, the gradient of the risk by differences."""
+    def g(theta, row):
+        (pairs, words) = row
+        out = theta[0] + theta[-1] * math.log1p(words)
+        width = (len(theta) - 2) // 2
+        for slot, hits in pairs:
+            out += theta[1 + slot] * T.PRESENCE * math.log1p(hits) + theta[1 + width + slot] * hits / math.sqrt(words + 20)
+        return out
+
+    soft = lambda x: math.log1p(math.exp(-abs(x))) + max(x, 0)
+    mean = lambda rows, f: sum(map(f, rows)) / len(rows)
+    width = 1 + max(s for r in (*p, *u) for s, _ in r[0])
+    theta = [math.log(prior / (1 - prior))] + [0.0] * (2 * width + 1)
+    m, v = [0.0] * len(theta), [0.0] * len(theta)
+    for step in range(1, steps + 1):
+        negative = lambda th: mean(u, lambda r: soft(g(th, r))) - prior * mean(p, lambda r: soft(g(th, r)))
+        whole = lambda th: prior * mean(p, lambda r: soft(-g(th, r))) + negative(th)
+        risk = whole if negative(theta) >= 0 else lambda th: -negative(th)
+        for i in range(len(theta)):
+            up, down = list(theta), list(theta)
+            up[i] += 1e-6
+            down[i] -= 1e-6
+            slope = (risk(up) - risk(down)) / 2e-6 + (decay / len(p) * theta[i] if i else 0)
+            m[i], v[i] = 0.9 * m[i] + 0.1 * slope, 0.999 * v[i] + 0.001 * slope**2
+        theta = [x - rate * (a / (1 - 0.9**step)) / (math.sqrt(b / (1 - 0.999**step)) + 1e-8) for x, a, b in zip(theta, m, v)]
+    return theta
+
+
+def test_fit_against_a_slow_reference():
+    rng = random.Random(2)
+    row = lambda slots: (sorted((s, rng.randrange(1, 5)) for s in slots), rng.randrange(5, 60))
+    p = [row({0, *rng.sample(range(1, 5), 2)}) for _ in range(12)]
+    u = [row(set(rng.sample(range(1, 5), 2)) | ({0} if i % 6 == 0 else set())) for i in range(30)]
+    rows = lambda x: T.Rows([[s for s, _ in r] for r, _ in x], [[h for _, h in r] for r, _ in x], [w for _, w in x], 5)
+    for prior in (0.2, 0.9):  # with the second the negative risk turns below zero
+        intercept, weights = T.fit(rows(p), rows(u), prior, steps=25, rate=0.06, decay=0.01)
+        assert [intercept, *weights] == pytest.approx(slow_fit(p, u, prior, 25, 0.06, 0.01), abs=2e-3)
