@@ -13,19 +13,21 @@ is compared with a threshold that lies as many standard deviations below the acc
 the rejected sample's. Differences are kept as whole millionths, so sums don't depend on their order.
 
 Every position of every URL is counted once, as the longest gram that ends there; shorter contexts are sums
-over those grams, and probabilities are worked out once for each different gram. Occurrences meet the gram
-table in one equi-join that adaptive execution can split where a gram (such as ``http`` hosts have) is very
-frequent, and counts are summed in each task before they are shuffled.
+over those grams, and probabilities are worked out once for each different gram. The different URLs are dealt to all
+tasks before their positions are listed. Positions meet the gram table where they are, by broadcast, if its measured
+bytes allow, else in one equi-join that adaptive execution can split where a gram (such as ``http`` hosts have) is
+very frequent; counts are summed in each task before they are shuffled.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no rule, and is scored as an
 empty string; without rows of either sample that model is uniform and the threshold 0; repeated rows count
-and come out as often as they are there; an empty table gives no rows; other columns are ignored.
+and come out as often as they are there; a url's length isn't limited, but its positions are one row's array; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from brandbook.llm.joins import bounded
 from brandbook.session import materialise
 
 ORDER = 4
@@ -37,7 +39,7 @@ RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substr({u}, instr({u}, '://') + 3)".format(u="url"))).otherwise(F.lit(""))
+    rest = F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3)).otherwise(F.lit(""))
     rest = F.coalesce(rest, F.lit(""))
     return F.translate(F.regexp_extract(rest, "^([^/?#]*)", 1), UPPER, LOWER), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
@@ -66,10 +68,15 @@ def _grams(text: Column, order: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substr(marked, i, F.lit(order + 1)))
 
 
+def _dealt(urls: DataFrame) -> DataFrame:
+    """A small table in as many parts as a shuffle has: each of its rows becomes many."""
+    return urls.repartition(int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
+
+
 def gram_ratios(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """``urls(text, verdict, copies)`` to ``(gram, ratio)``: the log of the accepted over the rejected model's
     probability of the gram's last character after the others, in millionths."""
-    counts = urls.select(F.explode(_grams(F.col("text"), order)).alias("gram"), "copies", "verdict").groupBy("gram").agg(
+    counts = _dealt(urls).select(F.explode(_grams(F.col("text"), order)).alias("gram"), "copies", "verdict").groupBy("gram").agg(
         *(F.sum(F.when(F.col("verdict") == v, F.col("copies")).otherwise(0)).alias(f"{c}{order}") for v, c in (("allow", "a"), ("block", "r")))
     )
     counts = materialise(counts, "grams")
@@ -93,8 +100,8 @@ def gram_ratios(urls: DataFrame, order: int = ORDER) -> DataFrame:
 
 def scores(urls: DataFrame, ratios: DataFrame, order: int = ORDER) -> DataFrame:
     """``(text, score)``: the mean ratio over each different text's positions, in millionths."""
-    places = urls.select("text", F.explode(_grams(F.col("text"), order)).alias("gram"))
-    return places.join(ratios, "gram").groupBy("text").agg((F.sum("ratio") / F.count("*")).alias("score"))
+    places = _dealt(urls).select("text", F.explode(_grams(F.col("text"), order)).alias("gram"))
+    return places.join(bounded(ratios), "gram").groupBy("text").agg((F.sum("ratio") / F.count("*")).alias("score"))
 
 
 def threshold(scored: DataFrame) -> float:
