@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from brandbook.functions import norm
 from brandbook.operators.components import connected_components
@@ -211,6 +211,19 @@ def cardinalities(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, (df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table"), "n") for t, df in tables.items()))
 
 
+def duplicate_preview(animals: DataFrame, most: int = 50) -> DataFrame:
+    """What a reconcile would merge: the largest groups first, ``most`` of them."""
+    found = duplicate_groups(animals, ["name_norm", "dob"], norm.is_reconcilable(F.col("name_norm"), F.col("dob")))
+    return found.orderBy(F.desc("copies"), "name_norm", "dob").limit(most)
+
+
+def kids_shown(lines: DataFrame, most: int = 60) -> DataFrame:
+    """(root, uid): the first ``most`` young of every animal by uid, each once."""
+    kids = lines.select(F.col("parent_uid").alias("root"), F.col("child_uid").alias("uid")).distinct()
+    place = F.row_number().over(Window.partitionBy("root").orderBy("uid"))
+    return kids.withColumn("_n", place).where(F.col("_n") <= most).drop("_n")
+
+
 def view(nodes: DataFrame, most_nodes: int = 200) -> DataFrame:
     """What a drawing shows of each root's nodes: the first by uid, the root itself always."""
     own = (F.col("uid") != F.col("root")).alias("other")

@@ -151,6 +151,15 @@ def problems(crawl: DataFrame, lag: DataFrame, load_age: int | None = None) -> D
     return reduce(DataFrame.unionAll, found).where("problem is not null")
 
 
+def heartbeats(queue: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
+    """What a crawler tells of itself: ``runs(association, state, current, processed, elapsed)`` with the counts of its
+    ``queue(association, status)``, rate_per_min, pct and updated_at; ``records.snapshot`` writes it."""
+    counts = queue.groupBy("association", "status").agg(F.count("*").alias("n")).groupBy("association").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("counts"))
+    rows = runs.join(counts, "association", "left")
+    of = lambda k: F.coalesce(F.try_element_at("counts", F.lit(k)), F.lit(0))
+    return rows.select("association", "state", "current", "counts", "processed", norm.rate_per_minute(F.col("processed"), F.col("elapsed")).alias("rate_per_min"), norm.percent_done(of("done"), of("pending")).alias("pct"), now.alias("updated_at"))
+
+
 #: What a status may publish, and what of its current animal.
 PUBLIC = ("association", "state", "done", "pending", "failed", "processed", "rate_per_min", "pct", "updated_at")
 PUBLIC_CURRENT = ("association", "reg", "name")

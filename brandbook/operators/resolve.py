@@ -392,31 +392,75 @@ def _handed(rows: list[tuple[str, dict]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([kind for kind, _ in part], pa.string()), pa.array([json.dumps(row) for _, row in part], pa.string())], names=["kind", "payload"])
 
 
-def replay(records: DataFrame, skip_steers: bool = False, preserve_affected: bool = False) -> dict[str, DataFrame]:
-    """``records`` with ``seq`` to the graph's tables, plus ``log(mention, step, uid, rung)`` and
-    ``mention(mention, uid)``."""
-    rows = materialise(prepared(records, skip_steers, preserve_affected), "records")
+def _mentions(rows: DataFrame) -> DataFrame:
+    """(mention, body) of ``prepared`` rows."""
     own = F.to_json(F.struct(*(c for c in rows.columns if c not in ("sire", "dam"))), {"ignoreNullFields": "false"})
     bodies = F.array(F.struct(F.lit(0).alias("i"), own.alias("body")), *(F.struct(F.lit(i).alias("i"), F.to_json(F.col(role), {"ignoreNullFields": "false"}).alias("body")) for i, role in ((1, "sire"), (2, "dam"))))
-    mentions = rows.select("seq", F.explode(bodies).alias("m")).select((3 * F.col("seq") + F.col("m.i")).alias("mention"), F.col("m.body").alias("body")).where("body is not null")
-    placed = mentions.join(mention_blocks(rows), "mention")
+    return rows.select("seq", F.explode(bodies).alias("m")).select((3 * F.col("seq") + F.col("m.i")).alias("mention"), F.col("m.body").alias("body")).where("body is not null")
+
+
+def _played(placed: DataFrame) -> dict[str, DataFrame]:
+    """Tables of the blocks of ``placed(block, mention, body)``, without parentage."""
     in_order = placed.select("block", "mention", "body").repartition("block").sortWithinPartitions("block", "mention")
     # by kind: each table is read from its own folder
     told = materialise(in_order.mapInArrow(_replay_sorted, OUTPUT), "told", partition_by=["kind"])
     table = lambda kind, ddl: told.where(F.col("kind") == kind).select(F.from_json("payload", ddl).alias("x")).select("x.*")
     out = {name: table(name, ddl) for name, ddl in TABLES.items() if name != "parentage"}
-    out["log"] = table("log", "mention bigint, step bigint, uid string, rung string")
+    out["log"], out["fallen"] = table("log", "mention bigint, step bigint, uid string, rung string"), table("fallen", "mention bigint")
     renamed = materialise(table("renamed", "old string, uid string").select("old", F.col("uid").alias("now")), "renamed")
     home = table("mention", "mention bigint, uid string").join(renamed, F.col("uid") == F.col("old"), "left").select("mention", F.coalesce("now", "uid").alias("uid"))
-    out["mention"] = home = materialise(home, "homes")
+    out["mention"] = materialise(home, "homes")
+    return out
+
+
+def _parentage(home: DataFrame, fallen: DataFrame) -> DataFrame:
+    """Lines of descent between where a record's mentions are."""
     ends = home.withColumn("seq", F.expr("mention div 3")).withColumn("role", F.pmod("mention", F.lit(3)))
     child = ends.where("role = 0").select("seq", F.col("uid").alias("child_uid"))
-    stands = ends.where("role > 0").join(table("fallen", "mention bigint"), "mention", "left_anti")
+    stands = ends.where("role > 0").join(fallen, "mention", "left_anti")
     parent = stands.select("seq", F.col("uid").alias("parent_uid"), F.when(F.col("role") == 1, "SIRE").otherwise("DAM").alias("role"))
-    out["parentage"] = child.join(parent, "seq").select("child_uid", "parent_uid", "role").distinct()
+    return child.join(parent, "seq").select("child_uid", "parent_uid", "role").distinct()
+
+
+def replay(records: DataFrame, skip_steers: bool = False, preserve_affected: bool = False) -> dict[str, DataFrame]:
+    """``records`` with ``seq`` to the graph's tables, plus ``log(mention, step, uid, rung)``,
+    ``mention(mention, uid)`` and ``fallen(mention)``, the lines that fell."""
+    rows = materialise(prepared(records, skip_steers, preserve_affected), "records")
+    out = _played(_mentions(rows).join(mention_blocks(rows), "mention"))
+    out["parentage"] = _parentage(out["mention"], out["fallen"])
     return out
 
 
+def extend(tables: dict[str, DataFrame], records: DataFrame, since: int, skip_steers: bool = False, preserve_affected: bool = False) -> dict[str, DataFrame]:
+    """The tables of ``records``, from the ``tables`` of those before ``since``: what ``replay`` of all gives. Only blocks
+    that a mention of a later record is in are replayed; animals of the others stay as they are."""
+    rows = materialise(prepared(records, skip_steers, preserve_affected), "records")
+    home = materialise(mention_blocks(rows), "blocks")
+    fresh = materialise(home.where(F.col("mention") >= 3 * since).select("block").distinct(), "fresh")
+    touched = materialise(home.join(fresh, "block"), "touched")
+    new = _played(_mentions(rows).join(touched, "mention"))
+    again = touched.select("mention")
+    gone = materialise(tables["mention"].join(again, "mention", "left_semi").select(F.col("uid").alias("gone")).distinct(), "gone")
+    out = {}
+    for name in (n for n in TABLES if n != "parentage"):
+        out[name] = tables[name].join(gone, F.col("uid") == F.col("gone"), "left_anti").unionByName(new[name])
+    for name in ("log", "mention", "fallen"):
+        out[name] = tables[name].join(again, "mention", "left_anti").unionByName(new[name])
+    out["parentage"] = _parentage(out["mention"], out["fallen"])
+    return out
+
+
+def trace(records: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """(seq, part, step, type, uid, detail) in the order in which a load does things: each record's start, the animals
+    made and joined for it and its parents, and its end; ``write.json`` makes the file."""
+    steps = tables["log"].select(F.expr("mention div 3").alias("seq"), F.lit(1).alias("part"), "step", F.when(F.col("rung") == "created", F.when(F.pmod("mention", F.lit(3)) == 0, "animal").otherwise("stub")).otherwise("merge").alias("type"), "uid", F.col("rung").alias("detail"))
+    own = tables["mention"].where("pmod(mention, 3) = 0").select(F.expr("mention div 3").alias("seq"), "uid")
+    none = F.lit(None).cast("string")
+    starts = records.select("seq", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("step"), F.lit("record_start").alias("type"), none.alias("uid"), F.concat_ws(":", "association", "regNumber").alias("detail"))
+    ends = own.select("seq", F.lit(2).alias("part"), F.lit(0).cast("bigint").alias("step"), F.lit("record_end").alias("type"), "uid", none.alias("detail"))
+    return starts.unionByName(steps).unionByName(ends)
+
+
 def stats(tables: dict[str, DataFrame]) -> DataFrame:
     """(rung, n): animals created and merges by rung of the ladder."""
     return tables["log"].groupBy("rung").agg(F.count("*").alias("n"))

@@ -336,9 +336,64 @@ def subgraph_view(spark, d):
     return graph.view(graph.subgraph(lines, tables["animal"].select(long("uid").alias("uid")), 4)[0], 6)
 
 
+@query("""
+WITH lines AS (SELECT DISTINCT c_custkey // 2 AS root, c_custkey AS uid FROM customer WHERE c_custkey // 2 >= 1 UNION SELECT c_custkey // 3, c_custkey FROM customer WHERE c_custkey // 3 >= 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY uid) AS n FROM lines) SELECT root, uid FROM placed WHERE n <= 3""")
+def kids_capped(spark, d):
+    lines = _herd(spark, d)["parentage"]
+    return graph.kids_shown(lines.select(long("child_uid").alias("child_uid"), long("parent_uid").alias("parent_uid")), 3)
+
+
+@query(_RECONCILED + """SELECT name_norm, dob, count(*) AS copies FROM a WHERE NOT ends_with(dob, '-01-01') GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY copies DESC, name_norm, dob LIMIT 50""")
+def duplicate_groups_shown(spark, d):
+    return Herd(_herd(spark, d)).duplicates().select("name_norm", "dob", "copies")
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_custkey // 2 AS pair FROM customer), r AS (SELECT k, pair, min(k) OVER (PARTITION BY pair) AS first FROM c)
+SELECT k AS seq, 'CHIA:' || first AS uid, CASE WHEN k = first THEN 'created' ELSE 'dna' END AS rung FROM r""")
+def resolve_extended(spark, d):
+    """A load of half of the records and one that adds the rest: customers in pairs that a case joins, every second pair
+    over the seam."""
+    c = table(spark, d, "customer")
+    half = c.count() // 2 + 1
+    key = F.col("c_custkey").cast("string")
+    rows = as_records(c, F.col("c_custkey"), association=F.lit("CHIA"), regNumber=key, dna_cases=F.array(F.concat(F.lit("AGI"), F.expr("cast(c_custkey div 2 as string)"))), sex=F.lit("F"))
+    before = resolve.replay(rows.where(F.col("seq") < half))
+    tables = resolve.extend(before, rows, half)
+    uid = tables["mention"].select(F.expr("mention div 3").alias("seq"), "uid")
+    return uid.join(tables["log"].select(F.expr("mention div 3").alias("seq"), "rung"), "seq")
+
+
+@query("""
+SELECT c_custkey AS seq, 'record_start' AS type, 'CHIA:' || c_custkey AS detail FROM customer UNION ALL SELECT c_custkey, 'record_end', NULL FROM customer
+UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'animal' ELSE 'merge' END, CASE WHEN c_custkey % 2 = 0 THEN 'created' ELSE 'intl_id' END FROM customer""")
+def load_trace(spark, d):
+    """What a load does, step by step: customers in pairs of one international id."""
+    c = table(spark, d, "customer")
+    rows = as_records(c, F.col("c_custkey"), association=F.lit("CHIA"), regNumber=F.col("c_custkey"), intl_id=F.concat(F.lit("I"), F.expr("cast(c_custkey div 2 as string)")), sex=F.lit("F"))
+    return resolve.trace(rows, resolve.replay(rows)).select("seq", "type", "detail")
+
+
 # ---- progress and frontier
 
 
+@query("""
+WITH q AS (SELECT event_type, CASE WHEN user_id % 3 = 0 THEN 'done' ELSE 'pending' END AS status FROM events), c AS (SELECT event_type, count(*) FILTER (WHERE status = 'done') AS done, count(*) AS n FROM q GROUP BY 1)
+SELECT event_type AS association, done, n - done AS pending, n AS processed, round(n / 3600.0 * 60, 1)::DOUBLE AS rate_per_min, round(done / n * 100, 1) AS pct FROM c""")
+def heartbeats_written(spark, d):
+    """Heartbeats written as a snapshot over an older one, and read back."""
+    events = table(spark, d, "events").withColumnRenamed("event_type", "association")
+    queue = events.select("association", F.when(F.col("user_id") % 3 == 0, "done").otherwise("pending").alias("status"))
+    runs = events.groupBy("association").agg(F.count("*").alias("processed")).select("association", F.lit("running").alias("state"), none("string").alias("current"), "processed", F.lit(3600).alias("elapsed"))
+    path = workspace(spark, "heartbeats")
+    told = progress.heartbeats(queue, runs, F.lit("2024-01-01T00:00:00Z"))
+    records.snapshot(told.limit(1), path)
+    records.snapshot(told, path)
+    back = records.read_snapshot(spark, path, "association string, counts map<string,bigint>, processed bigint, rate_per_min double, pct double")
+    return back.select("association", F.col("counts")["done"].alias("done"), F.col("counts")["pending"].alias("pending"), "processed", "rate_per_min", "pct")
+
+
 @query("""
 WITH b AS (SELECT event_type AS association, user_id % 5 AS source, event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS u FROM events),
 r AS (SELECT *, row_number() OVER (PARTITION BY association ORDER BY u DESC, source, event_id) AS n FROM b) SELECT association, source, event_id, u AS updated_at FROM r WHERE n = 1""")

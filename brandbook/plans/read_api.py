@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brandbook.operators import graph, resolve
 from brandbook.schema import TABLES
+from brandbook.session import published
 
 
 class Herd:
@@ -23,6 +24,11 @@ class Herd:
     def open(cls, spark: SparkSession, path: str) -> Herd:
         return cls({name: spark.read.schema(ddl).parquet(f"{path}/{name}") for name, ddl in TABLES.items()})
 
+    @classmethod
+    def current(cls, spark: SparkSession, path: str) -> Herd:
+        """The graph that a following load (``tail.load_graph``) published last."""
+        return cls.open(spark, published(spark, path))
+
     def save(self, path: str) -> None:
         """A new version: all tables into an empty folder."""
         for name, df in self.tables.items():
@@ -49,6 +55,9 @@ class Herd:
     def find(self, text: str) -> DataFrame:
         return graph.find(self.tables["animal"], self.tables["registration"], text)
 
+    def duplicates(self, most: int = 50) -> DataFrame:
+        return graph.duplicate_preview(self.tables["animal"], most)
+
     def reconciled(self) -> Herd:
         return Herd(graph.reconcile(self.tables))
 

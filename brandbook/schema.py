@@ -16,7 +16,6 @@ STATUS = (
     "association string, state string, current struct<association:string,reg:string,name:string,color:string,dob:string,sex:string,defects:array<struct<code:string,status:string>>>, "
     "counts map<string,bigint>, processed bigint, rate_per_min double, pct double, pid bigint, updated_at string"
 )
-HISTORY = ("t bigint, association string, done bigint, pending bigint")
 TABLES = {
     "animal": "uid string, intl_id string, name string, name_norm string, sex string, dob string, tattoo string, color string, horn_status string",
     "registration": "association string, regNumber string, uid string, name_as_recorded string, breeder string, owner string, epds string, attributes string, source_url string, scraped_at string, stub boolean, via_cross_ref boolean",
@@ -25,10 +24,12 @@ TABLES = {
     "animal_defect": "uid string, code string, status string",
     "parentage": "child_uid string, parent_uid string, role string",
 }
+#: What a load keeps beside the graph, for the next one.
+RESOLUTION = {"log": "mention bigint, step bigint, uid string, rung string", "mention": "mention bigint, uid string", "fallen": "mention bigint"}
 #: Key columns that hold one row each.
 UNIQUE = {"animal": ["uid"], "registration": ["association", "regNumber"], "animal_dna": ["case_id"], "animal_defect": ["uid", "code"]}
 
-# They must equal what registries print.
+# Fixed values, all that follow: they must equal what registries print.
 SUBDOMAINS = {
     "MAINE": "maine-anjou", "CHIA": "chianina", "SHORT": "shorthorn", "GELB": "gelbvieh", "SIMM": "simmental",
     "RED": "redangus", "HERF": "hereford", "SALERS": "salers", "LIMI": "limousin", "BRAUN": "braunvieh",
@@ -50,4 +51,3 @@ RESULTS = {
     "free by test": "F", "free by pedigree": "F", "free": "F", "suspect": "S", "suspected carrier": "S", "carrier by test": "C", "carrier": "C", "affected by test": "A", "affected": "A",
 }
 TRAITS = ["CED", "BW", "WW", "YW", "MILK", "TM", "CEM", "STAY", "DOC", "YG", "CW", "CREA", "MARB", "CFAT", "API", "TI", "REA", "FAT", "IMF", "CE"]
-CODE = r"^[A-Z]{2,10}$"

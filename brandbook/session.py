@@ -65,6 +65,41 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _rename_over(spark: SparkSession, source: str, target: str) -> None:
+    """Put one file in another's place, in one step where the file system can."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(target).toUri(), conf).rename(path(source), path(target), how)
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``path``/``version`` what ``published`` says; readers see the version before or this one, never a part."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}/_next-{uuid.uuid4().hex}")
+    out = aside.getFileSystem(conf).create(aside, True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    _rename_over(spark, aside.toString(), f"{path}/_current")
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The folder that ``publish`` named last, or None."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    fs = at.getFileSystem(conf)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return f"{path}/{bytes(stream.readAllBytes()).decode()}"
+    finally:
+        stream.close()
+
+
 def tidied(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """``query(spark, ...)``, whose intermediate tables are deleted but for those that its result reads."""
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brandbook.functions import extract
 from brandbook.operators.ordered import numbered
 from brandbook.schema import BREED_TOKENS, FRONTIER, PREFIXES, RECORD, STATUS, SUBDOMAINS
+from brandbook.session import discard, publish, published
 
 
 def read_records(spark: SparkSession, paths: str | list[str], array: bool = False) -> DataFrame:
@@ -40,8 +43,26 @@ def append_records(records: DataFrame, path: str) -> None:
 
 
 def snapshot(df: DataFrame, path: str) -> None:
-    """A small JSON table replaced as a whole; readers see the old or the new one, by the committer's rename."""
-    df.write.mode("overwrite").json(path)
+    """A small JSON table replaced as a whole: a new folder is written and then named, so readers by
+    ``read_snapshot`` see the old or the new one. The folder before stays for readers that have begun."""
+    spark, before = df.sparkSession, published(df.sparkSession, path)
+    version = uuid.uuid4().hex
+    df.write.json(f"{path}/{version}")
+    publish(spark, path, version)
+    for old in set(_versions(spark, path)) - {version, (before or "/").rsplit("/", 1)[1]}:
+        discard(spark, f"{path}/{old}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table that ``snapshot`` wrote last; without one, no rows."""
+    at = published(spark, path)
+    return spark.createDataFrame([], schema) if at is None else spark.read.schema(schema).json(at)
 
 
 def loadable(records: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
+from brandbook.operators import resolve
 from brandbook.operators.ordered import numbered
-from brandbook.schema import RECORD
+from brandbook.schema import RECORD, RESOLUTION, TABLES
+from brandbook.session import publish, published, scratch
 
 MOST_LINES = 20_000
 READ_BYTES = 1 << 20
@@ -103,7 +105,7 @@ def follow(spark: SparkSession, paths: list[str], sink, checkpoint: str, once: b
 
 
 def store(path: str):
-    """A sink that keeps each registration's latest record: one folder per batch, written over if it comes again."""
+    """A sink that keeps all records, one folder per batch, written over if the batch comes again."""
 
     def sink(records: DataFrame, batch_id: int) -> None:
         records.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -115,3 +117,33 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
     """All records that ``store`` holds, with ``seq`` in the order in which they came."""
     rows = spark.read.option("mergeSchema", True).parquet(path)
     return numbered(rows.drop("batch_id"), ["batch", "file", "at"]).drop("batch", "file", "at")
+
+
+def load_graph(store_path: str, graph_path: str, **options):
+    """A sink that keeps the records in ``store_path`` and brings the graph in ``graph_path`` up to date with them: of each
+    batch only the blocks that it touches are resolved again. A version is written whole and then named, so readers
+    (``Herd.current``) see the graph before or after a batch. A batch that comes again gives the same graph."""
+    keep = store(store_path)
+
+    def sink(records: DataFrame, batch_id: int) -> None:
+        spark = records.sparkSession
+        keep(records, batch_id)
+        with scratch(spark):
+            rows = stored(spark, store_path)
+            before = published(spark, graph_path)
+            at = -1 if before is None else int(before.rsplit("-", 1)[1])
+            if batch_id <= at:
+                return
+            since = spark.read.parquet(store_path).where(F.col("batch") <= at).count() if at >= 0 else 0
+            tables = resolve.replay(rows, **options) if at < 0 else resolve.extend(read_tables(spark, before), rows, since, **options)
+            version = f"v-{batch_id}"
+            for name, df in tables.items():
+                df.write.mode("overwrite").parquet(f"{graph_path}/{version}/{name}")
+        publish(spark, graph_path, version)
+
+    return sink
+
+
+def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """All tables of a version, those of the resolution too."""
+    return {name: spark.read.schema(ddl).parquet(f"{path}/{name}") for name, ddl in {**TABLES, **RESOLUTION}.items()}
