@@ -21,12 +21,12 @@ def field(batch: pa.RecordBatch, path: str) -> pa.Array:
     return column.cast(pa.binary())
 
 
-def slices(batch: pa.RecordBatch, path: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about ``SLICE_BYTES`` of the text at ``path`` each, one row at least."""
+def slices(batch: pa.RecordBatch, path: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``most`` bytes of the text at ``path`` each, one row at least."""
     lengths = pc.binary_length(field(batch, path)).fill_null(0).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
-        if size and size + n > SLICE_BYTES:
+        if size and size + n > most:
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += n

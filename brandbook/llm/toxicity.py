@@ -27,8 +27,7 @@ column is replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from math import log1p
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -46,8 +45,10 @@ LEAST_SUPPORT, LEAST_DEVIANCE = 3, 10.0
 #: The weight of presence against rate: small, so that decay prefers the rate where either would do.
 PRESENCE = 0.08
 THRESHOLD = 0.3
-#: Words of which a task remembers the features.
-MEMORY = 150_000
+#: Bytes of a run within a word, and of the beginnings of a word, the mark at its start counted.
+RUN, BEGINNINGS = 5, (4, 6, 7, 8)
+#: Words of which a task remembers the features, and bytes of texts that are worked on at a time.
+MEMORY, SLICE_BYTES = 150_000, 4 << 20
 WORD = re.compile(r"\w+")
 
 
@@ -56,26 +57,80 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def slots(word: str) -> set[int]:
-    """The slots of a lower-cased word."""
-    marked = b"^" + word.encode("utf-8", "replace") + b"$"
-    found = {crc32(marked[i : i + 5]) % SPACE for i in range(len(marked) - 4)}
-    found.update(crc32(marked[:n]) % SPACE for n in (4, 6, 7, 8, len(marked)))
-    return found
-
-
-def _words(value: bytes | None) -> Counter:
-    """How often each lower-cased word is in a text."""
-    return Counter(WORD.findall((value or b"").decode("utf-8", "replace").lower()))
-
-
-def _hits(words: Counter, memory: dict) -> Counter:
-    """How many of the words have each slot; memory: word -> numbers of chosen slots."""
-    hits: Counter = Counter()
-    for word, n in words.items():
-        for i in memory[word]:
-            hits[i] += n
-    return hits
+def word_slots(words: list[str], place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the word, slot) of the slots of lower-cased words, in order; with ``place``, what it gives for slots
+    where that isn't negative."""
+    marked = [b"^" + w.encode("utf-8", "replace") + b"$" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    stops = np.cumsum(sizes)
+    starts = stops - sizes
+    data = np.frombuffer(b"".join(marked) + bytes(8), np.uint8).astype(np.uint64)
+    eight = sum((data[i : len(data) - 8 + i] << np.uint64(8 * i) for i in range(1, 8)), data[:-8])
+    owner = np.repeat(np.arange(len(marked)), sizes)
+
+    def slot(values: np.ndarray, kind: int) -> np.ndarray:
+        mixed = (values ^ (values >> np.uint64(29)) ^ np.uint64(kind << 56)) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(44)).astype(np.int64)
+
+    every = np.arange(len(marked))
+    inside = np.arange(len(owner)) + RUN <= stops[owner]
+    parts = [(every, slot(np.fromiter(map(crc32, marked), np.uint64, len(marked)), 0)), (owner[inside], slot(eight[inside] & np.uint64((1 << 8 * RUN) - 1), 1))]
+    for n in BEGINNINGS:
+        long = sizes > n
+        parts.append((every[long], slot(eight[starts[long]] & np.uint64((1 << 8 * n) - 1), n)))
+    if place is not None:
+        parts = [(o[known], at[known]) for o, s in parts for at in (place[s],) for known in (at >= 0,)]
+    keys = np.sort(np.concatenate([o * SPACE + s for o, s in parts]))
+    return np.divmod(keys[np.diff(keys, prepend=-1) > 0], SPACE)
+
+
+class Words(dict):
+    """Numbers of words in the order in which they come, and of each word its slots: all, or the numbers that ``place``
+    gives them where it isn't negative."""
+
+    def __init__(self, place: np.ndarray | None = None):
+        super().__init__()
+        self.place, self.new = place, []
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+    def _learn(self) -> None:
+        """Slots of the words that have come since the last call."""
+        if not self.new:
+            return
+        owner, slot = word_slots(self.new, self.place)
+        sizes = np.bincount(owner, minlength=len(self.new))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, slot])
+        self.new = []
+
+    def hits(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text and slot that a word of it has: the text's number, the slot, and how many of its words have the
+        slot, in order; and the words of each text. Above ``MEMORY`` words all are forgotten before the next call."""
+        if len(self) > MEMORY:
+            self._forget()
+        number = self.__getitem__
+        numbers = [[*map(number, WORD.findall((t or b"").decode("utf-8", "replace").lower()))] for t in texts]
+        self._learn()
+        totals = np.fromiter(map(len, numbers), np.int64, len(numbers))
+        words = np.fromiter(chain.from_iterable(numbers), np.int64, totals.sum())
+        pairs, times = np.unique(np.repeat(np.arange(len(texts)), totals) * max(1, len(self)) + words, return_counts=True)
+        row, word = np.divmod(pairs, max(1, len(self)))
+        first = self.starts[word]
+        many = self.starts[word + 1] - first if len(word) else first
+        inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        slot = self.flat[np.repeat(first, many) + inner]
+        keys, place = np.unique(np.repeat(row, many) * SPACE + slot, return_inverse=True)
+        counts = np.bincount(place, weights=np.repeat(times, many), minlength=len(keys)).astype(np.int64)
+        return keys // SPACE, keys % SPACE, counts, totals
 
 
 def _values(hits, total):
@@ -83,20 +138,6 @@ def _values(hits, total):
     return PRESENCE * np.log1p(hits), hits / np.sqrt(total + 20.0)
 
 
-class Memory(dict):
-    """word -> what ``make`` says of its slots, for the latest words."""
-
-    def __init__(self, make, most: int = MEMORY):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, word: str):
-        if len(self) >= self.most:
-            self.clear()
-        out = self[word] = self.make(slots(word))
-        return out
-
-
 def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, positives: int, unlabelled: int) -> DataFrame:
     """(h, positive, text) of the two samples; a positive can be in both."""
     rank = F.xxhash64(F.col("id"))
@@ -112,12 +153,13 @@ def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, positives: i
 
 def _count_slots(batches):
     counts = np.zeros((2, SPACE), dtype=np.int64)
-    memory = Memory(lambda s: np.fromiter(s, dtype=np.int32), MEMORY // 2)
+    memory = Words()
     for whole in batches:
-        for batch in slices(whole, "text"):
-            for positive, value in zip(batch.column("positive").to_pylist(), texts_of(batch, "text"), strict=True):
-                if words := _words(value):
-                    counts[int(positive), np.unique(np.concatenate([memory[w] for w in words]))] += 1  # once a text
+        for batch in slices(whole, "text", SLICE_BYTES):
+            row, slot, _, _ = memory.hits(texts_of(batch, "text"))
+            positive = np.array(batch.column("positive").to_pylist(), dtype=bool)[row]
+            for side in (0, 1):  # once a text
+                counts[side] += np.bincount(slot[positive == side], minlength=SPACE)
     used = np.flatnonzero(counts.sum(axis=0))
     for at in range(0, len(used), 1 << 16):
         part = used[at : at + (1 << 16)]
@@ -133,17 +175,22 @@ def choose(texts: DataFrame, n_p: int, n_u: int, features: int) -> list[int]:
     return [r.slot for r in ranked.orderBy(F.desc("deviance"), "slot").limit(features).collect()]
 
 
+def _places(chosen: list[int]) -> np.ndarray:
+    """Of every slot its number among the chosen ones, or -1."""
+    place = np.full(SPACE, -1, dtype=np.int64)
+    place[np.asarray(chosen, dtype=np.int64)] = np.arange(len(chosen))
+    return place
+
+
 def _present(shared):
     def run(batches):
-        place = {slot: i for i, slot in enumerate(shared.value)}
-        memory = Memory(lambda s: [place[x] for x in s if x in place])
+        memory = Words(_places(shared.value))
         for whole in batches:
-            for batch in slices(whole, "text"):
-                words = [_words(v) for v in texts_of(batch, "text")]
-                hits = [sorted(_hits(w, memory).items()) for w in words]
-                numbers, counts = pa.array([[i for i, _ in r] for r in hits], pa.list_(pa.int32())), pa.array([[n for _, n in r] for r in hits], pa.list_(pa.int32()))
-                totals = pa.array([w.total() for w in words], pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("positive"), numbers, counts, totals], names=["h", "positive", "slots", "hits", "words"])
+            for batch in slices(whole, "text", SLICE_BYTES):
+                row, slot, hits, totals = memory.hits(texts_of(batch, "text"))
+                ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (slot, hits)]
+                yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("positive"), *lists, pa.array(totals, pa.int32())], names=["h", "positive", "slots", "hits", "words"])
 
     return run
 
@@ -200,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """A model: prior, intercept, and weights by slot."""
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    empty = {"prior": prior, "intercept": None, "slots": {}, "weights": []}
+    empty = {"prior": prior, "intercept": None, "slots": [], "weights": []}
     if not 0 < prior < 1:
         return empty
     texts = sample(docs, labels, text, key, positives, unlabelled)
@@ -214,28 +261,27 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     groups = [got.filter(got["positive"] if side else pc.invert(got["positive"])) for side in (True, False)]
     sides = [Rows(g["slots"].to_numpy(), g["hits"].to_numpy(), g["words"].to_numpy(), len(chosen)) for g in groups]
     intercept, weights = fit(*sides, prior)
-    return {"prior": prior, "intercept": intercept, "slots": {s: i for i, s in enumerate(chosen)}, "weights": [round(float(w), 6) for w in weights]}
+    return {"prior": prior, "intercept": intercept, "slots": chosen, "weights": [round(float(w), 6) for w in weights]}
 
 
 def _scorer(shared, path: str):
     def run(batches):
         model = shared.value
-        place, weights, base = model["slots"], model["weights"], model["intercept"]
-        memory = Memory(lambda s: [place[x] for x in s if x in place])
+        weights, base, width = np.array(model["weights"]), model["intercept"], len(model["slots"])
+        memory = Words(_places(model["slots"]))
 
-        def one(value: bytes | None) -> float:
+        def scores(texts: list[bytes | None]) -> np.ndarray:
             if base is None:
-                return float(model["prior"])
-            words = _words(value)
-            total, g = words.total(), base + weights[-1] * log1p(words.total())
-            for i, n in sorted(_hits(words, memory).items()):
-                g += weights[i] * PRESENCE * log1p(n) + weights[len(place) + i] * n / (total + 20.0) ** 0.5
-            return float(sigmoid(g))
+                return np.full(len(texts), float(model["prior"]))
+            row, slot, hits, totals = memory.hits(texts)
+            presence, rate = _values(hits, totals[row].astype(np.float64))
+            g = np.bincount(row, weights=weights[slot] * presence + weights[width + slot] * rate, minlength=len(texts))
+            return sigmoid(base + weights[-1] * np.log1p(totals) + g)
 
         for whole in batches:
-            for batch in slices(whole, path):
+            for batch in slices(whole, path, SLICE_BYTES):
                 keep = without_scan(batch)
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array([one(v) for v in texts_of(batch, path)], pa.float64())], names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(scores(texts_of(batch, path)), pa.float64())], names=[*keep, "score"])
 
     return run
 
