@@ -1,7 +1,7 @@
 """Quality rules as a decision list learned by sequential covering. DataFrame functions only.
 
-*Statistics.* ``statistics`` works out the counts of a text inside its own row with array functions, whatever
-its length: repeated windows of three words are found by sorting the windows' 64-bit hashes with their
+*Statistics.* ``statistics`` works out the counts of a text inside its own row with array functions, so its words and
+their windows are arrays of one row (some fifty bytes a word): repeated windows of three words are found by sorting the windows' 64-bit hashes with their
 positions, so a row costs n log n and no occurrence is shuffled.
 
 *Learning.* Rows with labels are cut into bins of exact quantiles and split by a hash into a growing and a

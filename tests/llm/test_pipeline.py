@@ -54,3 +54,18 @@ def test_stages_against_brute_force(spark, tmp_path):
     total = sum(x**0.5 for x in n.values())
     assert sorted(str(r.doc_id) for r in final) == sorted(str(r[0]) for r in free for _ in range(copies(r[0], n[r[3]] ** 0.5 / total * len(free) / n[r[3]])))
     assert sorted(str(tuple(r)) for r in P.run(spark, d).collect()) == sorted(str(tuple(r)) for r in final)
+
+
+def test_stages_over_nothing(spark, tmp_path):
+    """No labels, no benchmark items, and documents of nulls and empties, or none at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, predicted int"
+    rows = [(None, None, None, None, None, None), (1, "", "en", "s", 0, 1), (1, "", "en", "s", 0, 1), (2, "w " * 40_000, None, "s", 1, 2), (3, "a b c d e f g", "en", None, 1, 3)]
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in P.STAGES:
+        kept = stage(spark, docs, str(tmp_path))
+        assert set(docs.columns) <= set(kept.columns), name
+        n = kept.count()
+        assert n == {"near_duplicates": 3}.get(name, 5) or name == "mixture", name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
