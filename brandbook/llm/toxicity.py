@@ -47,6 +47,8 @@ PRESENCE = 0.08
 THRESHOLD = 0.3
 #: Bytes of a run within a word, and of the beginnings of a word, the mark at its start counted.
 RUN, BEGINNINGS = 5, (4, 6, 7, 8)
+#: Pairs of text and slot that the fit works on at a time.
+PART = 1 << 20
 #: Words of which a task remembers the features, and bytes of texts that are worked on at a time.
 MEMORY, SLICE_BYTES = 150_000, 4 << 20
 WORD = re.compile(r"\w+")
@@ -200,23 +202,41 @@ class Rows:
 
     Weights are laid out as presence by slot, rate by slot, length."""
 
-    def __init__(self, slots: list, hits: list, words, width: int):
-        """Of each text the slots, their hits, and its words; ``width`` slots in all."""
-        self.n, self.width = len(slots), width
-        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(x) for x in slots])
-        self.slot = np.concatenate([np.asarray(x, dtype=np.int32) for x in slots] or [np.zeros(0, np.int32)])
-        words = np.asarray(words, dtype=np.float64)
-        flat = np.concatenate([np.asarray(x, dtype=np.float64) for x in hits] or [np.zeros(0)])
-        self.presence, self.rate = (x.astype(np.float32) for x in _values(flat, words[self.row]))
-        self.length = np.log1p(words)
+    def __init__(self, sizes: np.ndarray, slots: np.ndarray, hits: np.ndarray, words: np.ndarray, width: int):
+        """Of each text the number of its slots and of its words, and the slots and hits of all, one text after another;
+        ``width`` slots in all."""
+        self.n, self.width = len(sizes), width
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        self.slot = slots.astype(np.int32)
+        self.presence, self.rate = np.empty(len(slots), np.float32), np.empty(len(slots), np.float32)
+        for part in self._parts():
+            self.presence[part], self.rate[part] = _values(hits[part].astype(np.float64), words[self.row[part]].astype(np.float64))
+        self.length = np.log1p(words.astype(np.float64))
+
+    @classmethod
+    def of(cls, table: pa.Table, width: int) -> Rows:
+        """From columns slots, hits and words."""
+        slots, hits = (table[c].combine_chunks() for c in ("slots", "hits"))
+        return cls(pc.list_value_length(slots).to_numpy(), slots.flatten().to_numpy(), hits.flatten().to_numpy(), table["words"].to_numpy(), width)
+
+    def _parts(self) -> list[slice]:
+        """Parts of the pairs, so that what is worked out on the way stays small."""
+        return [slice(at, at + PART) for at in range(0, len(self.slot), PART)]
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         a, b = w[: self.width].astype(np.float32), w[self.width : -1].astype(np.float32)
-        return np.bincount(self.row, weights=self.presence * a[self.slot] + self.rate * b[self.slot], minlength=self.n) + self.length * w[-1]
+        out = self.length * w[-1]
+        for x in self._parts():
+            out += np.bincount(self.row[x], weights=self.presence[x] * a[self.slot[x]] + self.rate[x] * b[self.slot[x]], minlength=self.n)
+        return out
 
     def back(self, d: np.ndarray) -> np.ndarray:
-        at = d.astype(np.float32)[self.row]
-        return np.concatenate([np.bincount(self.slot, weights=x * at, minlength=self.width) for x in (self.presence, self.rate)] + [[self.length @ d]])
+        out, single = np.zeros((2, self.width)), d.astype(np.float32)
+        for x in self._parts():
+            at = single[self.row[x]]
+            for i, values in enumerate((self.presence, self.rate)):
+                out[i] += np.bincount(self.slot[x], weights=values[x] * at, minlength=self.width)
+        return np.concatenate([*out, [self.length @ d]])
 
 
 def sigmoid(x):
@@ -258,8 +278,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
     rows = texts.mapInArrow(_present(shared), "h bigint, positive boolean, slots array<int>, hits array<int>, words int")
     got = rows.orderBy("positive", "h", "words", F.hash("slots", "hits")).toArrow()
-    groups = [got.filter(got["positive"] if side else pc.invert(got["positive"])) for side in (True, False)]
-    sides = [Rows(g["slots"].to_numpy(), g["hits"].to_numpy(), g["words"].to_numpy(), len(chosen)) for g in groups]
+    sides = [Rows.of(got.filter(got["positive"] if side else pc.invert(got["positive"])).drop(["positive", "h"]), len(chosen)) for side in (True, False)]
+    del got
     intercept, weights = fit(*sides, prior)
     return {"prior": prior, "intercept": intercept, "slots": chosen, "weights": [round(float(w), 6) for w in weights]}
 

@@ -51,8 +51,8 @@ def test_held_out_labels_are_not_learned(spark):
 
 def test_risk_is_not_negative():
     rng = np.random.default_rng(1)
-    positive = T.Rows([[0]] * 50, [[9]] * 50, [9] * 50, 2)
-    unlabelled = T.Rows([[int(rng.random() > 0.3)] for _ in range(500)], [[9]] * 500, [9] * 500, 2)
+    positive = T.Rows(np.ones(50, int), np.zeros(50, int), np.full(50, 9), np.full(50, 9), 2)
+    unlabelled = T.Rows(np.ones(500, int), np.array([int(rng.random() > 0.3) for _ in range(500)]), np.full(500, 9), np.full(500, 9), 2)
     base, w = T.fit(positive, unlabelled, 0.3)
     assert T.sigmoid(base + positive.dot(w)[0]) > 0.8 and T.sigmoid(base + unlabelled.dot(w)).min() < 0.1
 
@@ -106,7 +106,8 @@ def test_fit_against_a_slow_reference():
     row = lambda slots: (sorted((s, rng.randrange(1, 5)) for s in slots), rng.randrange(5, 60))
     p = [row({0, *rng.sample(range(1, 5), 2)}) for _ in range(12)]
     u = [row(set(rng.sample(range(1, 5), 2)) | ({0} if i % 6 == 0 else set())) for i in range(30)]
-    rows = lambda x: T.Rows([[s for s, _ in r] for r, _ in x], [[h for _, h in r] for r, _ in x], [w for _, w in x], 5)
+    flat = lambda x, i: np.array([pair[i] for r, _ in x for pair in r])
+    rows = lambda x: T.Rows(np.array([len(r) for r, _ in x]), flat(x, 0), flat(x, 1), np.array([w for _, w in x]), 5)
     for prior in (0.2, 0.9):  # with the second the negative risk turns below zero
         intercept, weights = T.fit(rows(p), rows(u), prior, steps=25, rate=0.06, decay=0.01)
         assert [intercept, *weights] == pytest.approx(slow_fit(p, u, prior, 25, 0.06, 0.01), abs=2e-3)
