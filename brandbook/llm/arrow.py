@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of input that are turned into Python objects at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def field(batch: pa.RecordBatch, path: str) -> pa.Array:

@@ -124,7 +124,8 @@ def common(docs: DataFrame, text: str = "text", size: int = SET_SHINGLE) -> np.n
     """Shingles that several texts of a sample have, sorted; at most ``MOST_COMMON``."""
     share = min(1.0, SAMPLE / max(1, docs.count()))
     some = docs if share == 1 else docs.sample(share, seed=SEED)
-    items = _sets(some.select(F.col(text).cast("binary").alias("text")), size).dropDuplicates(["fp"]).select(F.explode("items").alias("item"))
+    # copies aren't told apart here: that their shingles come last costs nothing, sorting whole sets would
+    items = _sets(some.select(F.col(text).cast("binary").alias("text")), size).select(F.explode("items").alias("item"))
     often = items.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).orderBy(F.desc("n"), "item").limit(MOST_COMMON)
     return np.sort(often.select("item").toArrow()["item"].to_numpy())
 
