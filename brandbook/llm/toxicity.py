@@ -13,7 +13,7 @@ for the positives (by Poisson deviance) are kept.
 
 *Risk.* With logistic loss l, prior p and a linear model g, each step minimises
 ``p E_P[l(g)] + max(0, E_U[l(-g)] - p E_P[l(-g)])``; where the second term turns negative, the step goes up its
-gradient instead. Fitted with numpy on the driver from rows of a few slot numbers each.
+gradient instead. Fitted with numpy in one task, from rows of a few slot numbers each that the samples bound.
 
 *Score.* The logistic function of g: a probability of label 1.
 
@@ -263,6 +263,19 @@ def fit(p: Rows, u: Rows, prior: float, steps: int = 300, rate: float = 0.06, de
     return float(theta[0]), theta[1:]
 
 
+def _fit_pass(prior: float, width: int):
+    """``fit`` over the rows of ``_present``, all in one task."""
+
+    def run(batches):
+        got = pa.Table.from_batches(list(batches))
+        sides = [Rows.of(got.filter(got["positive"] if side else pc.invert(got["positive"])).drop(["positive", "h"]), width) for side in (True, False)]
+        del got
+        intercept, weights = fit(*sides, prior)
+        yield pa.RecordBatch.from_arrays([pa.array([intercept]), pa.array([weights], pa.list_(pa.float64()))], names=["intercept", "weights"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", positives: int = POSITIVES, unlabelled: int = UNLABELLED, features: int = FEATURES) -> dict:
     """A model: prior, intercept, and weights by slot."""
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
@@ -277,10 +290,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     chosen = choose(texts, n[True], n[False], features)
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
     rows = texts.mapInArrow(_present(shared), "h bigint, positive boolean, slots array<int>, hits array<int>, words int")
-    got = rows.orderBy("positive", "h", "words", F.hash("slots", "hits")).toArrow()
-    sides = [Rows.of(got.filter(got["positive"] if side else pc.invert(got["positive"])).drop(["positive", "h"]), len(chosen)) for side in (True, False)]
-    del got
-    intercept, weights = fit(*sides, prior)
+    # one task, for the rows are bounded by the samples: the driver holds nothing of them
+    placed = rows.repartition(1).sortWithinPartitions("positive", "h", "words", F.hash("slots", "hits"))
+    found = placed.mapInArrow(_fit_pass(prior, len(chosen)), "intercept double, weights array<double>").first()
+    intercept, weights = found.intercept, found.weights
     return {"prior": prior, "intercept": intercept, "slots": chosen, "weights": [round(float(w), 6) for w in weights]}
 
 
