@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brandbook.llm import decontaminate, mixture, url_filter
+from brandbook.llm import decontaminate, infill, mixture, resampling, url_filter
 
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 10 * (i // 8) + 1, 10))::BIGINT >> (5 * (7 - i % 8))) & 31) + 1)::BIGINT, 1)"
 
@@ -65,4 +65,4 @@ SELECT page_id, host, path, rule, coalesce(own, CASE WHEN score >= cut THEN 'all
 """
 
 
-ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_decontaminate": DECONTAMINATE_SQL, "op6_mixture": mixture.MIX_SQL, "op9_url_filter": _url_sql()}
+ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_decontaminate": DECONTAMINATE_SQL, "op6_mixture": mixture.MIX_SQL, "op9_url_filter": _url_sql(), "op11_infill": infill.INFILL_SQL, "op12_resampling": resampling.RESAMPLING_SQL}

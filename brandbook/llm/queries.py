@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandbook.llm import decision_list, decontaminate, html_text, mixture, oracle, quality, simhash, token_counts, toxicity, url_filter, warc
+from brandbook.llm import (
+    bpe,
+    decision_list,
+    decontaminate,
+    html_text,
+    infill,
+    mixture,
+    oracle,
+    quality,
+    resampling,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 from brandbook.session import table, tidied
 
 
@@ -56,9 +71,35 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(infill.transform(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])))
+
+
 QUERIES = {
     f.__name__: tidied(f)
-    for f in (op1_warc, op2_html_text, op3_decontaminate, op4_toxicity, op5_simhash, op6_mixture, op7_token_counts, op8_quality, op9_url_filter, op10_decision_list)
+    for f in (
+        op1_warc,
+        op2_html_text,
+        op3_decontaminate,
+        op4_toxicity,
+        op5_simhash,
+        op6_mixture,
+        op7_token_counts,
+        op8_quality,
+        op9_url_filter,
+        op10_decision_list,
+        op11_infill,
+        op12_resampling,
+        op13_bpe,
+    )
 }
 
 ORACLE_SQL = oracle.ORACLE_SQL
