@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from brandbook.session import materialise
+
 #: Bytes of input that are turned into Python objects at a time.
 SLICE_BYTES = 4 << 20
 
@@ -48,6 +50,16 @@ def carried(docs: DataFrame, kept: list[str], text: str, *more: Column) -> tuple
     return docs.select(*row, *more, F.col(text).cast("binary").alias("scan")), "scan"
 
 
+def one_text_each(rows: DataFrame, chosen: DataFrame, *named: str) -> DataFrame:
+    """(``named``, text) of ``rows(id, text)`` whose id is in ``chosen(id, ...)``, a table small enough to broadcast: one row for each row
+    of it, of the texts of a repeated id the one with the least hash. Only repeated ids are shuffled, at most one text an id and task."""
+    counts = rows.select("id").join(F.broadcast(chosen.select("id").distinct()), "id").groupBy("id").agg(F.count("*").alias("n"))
+    again = F.broadcast(materialise(counts.where("n > 1").select("id"), "repeated"))  # no more rows than ``chosen``
+    single = rows.join(again, "id", "left_anti")
+    least = rows.join(again, "id").groupBy("id").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    return single.unionByName(least).join(F.broadcast(chosen), "id").select(*named, "text")
+
+
 def without_scan(batch: pa.RecordBatch) -> list[str]:
     return [n for n in batch.schema.names if n != "scan"]
 

@@ -1,8 +1,8 @@
 """Quality by hierarchical empirical Bayes over documents, hosts and paths.
 
 *Document evidence.* A logistic classifier over some two dozen shape statistics of the whole text, each cut
-into bins at quantiles of the sample, fitted with numpy on at most ``sample`` labelled rows (those with the
-least hashes). It gives each document a probability p of being good.
+into bins at quantiles of the sample, fitted with numpy, in one task, on at most ``sample`` labelled ids (those with the
+least hashes), of each id one text. It gives each document a probability p of being good.
 
 *Sites.* For every host and every path of a host, the number of documents and the sum of p come from one
 grouped sum (partial sums in each task, so a host with a third of all rows is one row a task). The global mean
@@ -17,7 +17,8 @@ The table of paths is written before the documents join it: Spark broadcasts it
 sides are shuffled and skewed paths split.
 
 Edge cases: a null or empty text has all statistics zero and counts as any other; null hosts and paths are
-sites of their own; ids without label aren't learned from, several labels of an id are rows of their own;
+sites of their own; ids without label aren't learned from, an id with labels of both kinds counts as bad, of several texts
+of an id the one with the least hash is learned from;
 without labels of both kinds every p is their mean (1 without any); repeated rows stay; an empty table gives
 no rows; a text's length isn't limited; a column named like a result column is replaced.
 """
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import carried, slices, texts, uncarried, without_scan
+from brandbook.llm.arrow import carried, one_text_each, slices, texts, uncarried, without_scan
 from brandbook.session import materialise
 
 SAMPLE = 20_000
@@ -95,19 +96,33 @@ def fit(stats: np.ndarray, good: np.ndarray, steps: int = 400, rate: float = 0.0
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE) -> dict:
     """A classifier, or the labels' mean where there is only one kind."""
-    chosen = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("good")).where("id is not null and good is not null")
-    mean = chosen.agg(F.avg("good")).first()[0]
+    known = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("good")).where("id is not null and good is not null")
+    mean = known.agg(F.avg("good")).first()[0]
     if mean is None or not 0 < mean < 1:
         return {"mean": 1.0 if mean is None else float(mean)}
-    chosen = chosen.withColumn("h", F.xxhash64("id")).orderBy("h", "id", "good").limit(sample)
-    # bounded by ``sample``, so small enough to broadcast at any size of the corpus
-    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("scan")).join(F.broadcast(materialise(chosen, "labelled")), "id")
-    got = rows.select("h", "good", "scan").mapInArrow(_statistics_pass, "h bigint, good int, stats array<double>").toPandas()
-    if len(got) == 0 or got["good"].nunique() < 2:
+    once = known.groupBy("id").agg(F.min("good").alias("good"))
+    # one row an id, so bounded by ``sample`` at any size of the corpus
+    chosen = materialise(once.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample), "labelled")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
+    stats = one_text_each(rows, chosen, "h", "good").withColumnRenamed("text", "scan").mapInArrow(_statistics_pass, "h bigint, good int, stats array<double>")
+    found = stats.repartition(1).mapInArrow(_fit_pass, "cuts array<array<double>>, weights array<double>, base double").first()
+    if found is None:
         return {"mean": float(mean)}
+    return {"cuts": np.array(found.cuts), "weights": np.array(found.weights), "base": found.base}
+
+
+def _fit_pass(batches):
+    """``fit`` over the labelled rows, at most ``sample``, in one task; nothing where they are of one kind."""
+    batches = list(batches)
+    got = pa.Table.from_batches(batches) if batches else None
+    if got is None or len(set(got["good"].to_pylist())) < 2:
+        return
+    good = got["good"].to_numpy().astype(float)
     stats = np.round(np.stack(got["stats"].to_numpy()), 9)
-    order = np.lexsort((*stats.T, got["good"].to_numpy(), got["h"].to_numpy()))
-    return fit(stats[order], got["good"].to_numpy(dtype=float)[order])
+    order = np.lexsort((*stats.T, good, got["h"].to_numpy()))
+    found = fit(stats[order], good[order])
+    columns = [pa.array([found["cuts"].tolist()], pa.list_(pa.list_(pa.float64()))), pa.array([found["weights"].tolist()], pa.list_(pa.float64())), pa.array([found["base"]])]
+    yield pa.RecordBatch.from_arrays(columns, names=["cuts", "weights", "base"])
 
 
 def _evidence_pass(shared, path: str):

@@ -18,7 +18,8 @@ gradient instead. Fitted with numpy in one task, from rows of a few slot numbers
 *Score.* The logistic function of g: a probability of label 1.
 
 Edge cases: a null or empty text, or one without known features, gets the intercept's score; texts are read
-whole; ids without text or label are skipped in learning; several labels of an id confirm it if one does;
+whole; ids without text or label are skipped in learning; several labels of an id confirm it if one does, of several texts of an id the one
+with the least hash is learned from;
 without positives every score is the prior (0 without labels); rows stay as they are, repeated ones too, a
 null id is never held out; an empty table gives no rows; a column named like a result
 column is replaced.
@@ -35,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import carried, slices, texts as texts_of, uncarried, without_scan
+from brandbook.llm.arrow import carried, one_text_each, slices, texts as texts_of, uncarried, without_scan
 from brandbook.session import materialise
 
 SPACE = 1 << 20
@@ -141,16 +142,16 @@ def _values(hits, total):
 
 
 def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, positives: int, unlabelled: int) -> DataFrame:
-    """(h, positive, text) of the two samples; a positive can be in both."""
+    """(h, positive, text) of the two samples, one row an id in each; a positive can be in both."""
     rank = F.xxhash64(F.col("id"))
     toxic = labels.where("toxic = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).where(~held_out(F.col("id"))).distinct()
     all_ids = docs.select(F.col(key).alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id"))).distinct()
     named = toxic.join(all_ids, "id", "left_semi").select("id", rank.alias("h")).orderBy("h", "id").limit(positives).withColumn("positive", F.lit(True))
     plain = all_ids.select("id", rank.alias("h")).orderBy("h", "id").limit(unlabelled).withColumn("positive", F.lit(False))
-    # bounded by the two limits, so small enough to broadcast at any size of the corpus
-    chosen = F.broadcast(materialise(named.union(plain), "sample"))
+    # one row an id, so bounded by the two limits at any size of the corpus
+    chosen = materialise(named.union(plain), "sample")
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text")).where("text is not null")
-    return materialise(rows.join(chosen, "id").select("h", "positive", "text"), "texts")
+    return materialise(one_text_each(rows, chosen, "h", "positive"), "texts")
 
 
 def _count_slots(batches):

@@ -1,9 +1,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brandbook.llm import quality as Q
+from brandbook.llm.arrow import one_text_each
 
 
 def corpus(n=900):
@@ -77,3 +80,43 @@ def test_sites_earn_their_place(spark):
         return -sum(math.log(max(1e-9, r[field] if r.good else 1 - r[field])) for r in own) / len(own)
 
     assert loss(False, "posterior") < 0.93 * loss(False, "p_doc") and loss(True, "posterior") < 1.01 * loss(True, "p_doc")
+
+
+def test_a_hot_id_is_one_example(spark):
+    """Of twenty labelled ids, one of them on 5,001 rows, the fit sees twenty rows at most, in a task."""
+    rows = [(i, f"text of {i}. " * (i + 1)) for i in range(20)] + [(0, f"again {k}") for k in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(0, 1), (1, 1)], "doc_id long, quality int")
+    chosen = labels.groupBy(labels.doc_id.alias("id")).agg(F.min("quality").alias("good"))
+    texts = docs.selectExpr("doc_id AS id", "cast(text AS binary) AS text")
+    assert one_text_each(texts, chosen, "id", "good").count() == 20
+    model = Q.train(docs, labels, sample=8)
+    few = chosen.selectExpr("id", "good", "xxhash64(id) AS h").orderBy("h", "id").limit(8)
+    least = docs.groupBy("doc_id").agg(F.expr("min_by(text, struct(xxhash64(cast(text AS binary)), text))").alias("text"))
+    picked = sorted((r.h, r.good, r.text) for r in few.join(least, few.id == least.doc_id).collect())
+    want = Q.fit(np.round(np.array([Q.statistics(t) for _, _, t in picked]), 9), np.array([float(g) for _, g, _ in picked]))
+    assert np.allclose(model["weights"], want["weights"]) and np.allclose(model["cuts"], want["cuts"]) and np.isclose(model["base"], want["base"])
+
+
+def slow_judge(p, where, mean, host_strength, path_strength):
+    """The posteriors by the formulas, one document after another over plain lists."""
+    odds = lambda x: math.log(x / (1 - x))
+    inside = lambda x: round(min(1 - Q.LEAST_P, max(Q.LEAST_P, x)), 6)
+    for i, (host, path) in enumerate(where):
+        others_h = [p[k] for k in range(len(p)) if k != i and where[k][0] == host]
+        others_p = [p[k] for k in range(len(p)) if k != i and where[k] == (host, path)]
+        p_host = inside((sum(others_h) + host_strength * mean) / (len(others_h) + host_strength))
+        p_path = inside((sum(others_p) + path_strength * p_host) / (len(others_p) + path_strength))
+        yield p_host, p_path, round(1 / (1 + math.exp(-(odds(p[i]) + odds(p_path) - odds(mean)))), 6)
+
+
+def test_posteriors_against_brute_force(spark):
+    rng = random.Random(9)
+    where = [(rng.choice(["a", "b", None, "c"]), rng.choice(["x", None, "y"])) for _ in range(120)]
+    p = [round(min(0.99, max(0.01, rng.gauss({"a": 0.8, "b": 0.3}.get(h, 0.5), 0.2))), 6) for h, _ in where]
+    scored = spark.createDataFrame([(i, h, q, x) for i, ((h, q), x) in enumerate(zip(where, p))], "i int, host string, path string, p_doc double").repartition(3)
+    table, prior = Q.sites(scored, "host", "path")
+    assert abs(prior["mean"] - sum(p) / len(p)) < 1e-9
+    got = sorted((r.i, r.p_host, r.p_path, r.posterior) for r in Q.posterior(scored, table, prior, "host", "path").collect())
+    want = list(slow_judge(p, where, prior["mean"], prior["host"], prior["path"]))
+    assert all(abs(a - b) < 2e-6 for (_, *g), w in zip(got, want, strict=True) for a, b in zip(g, w))

@@ -72,6 +72,18 @@ def test_learns_from_as_many_examples_as_stated(spark):
     assert n == {True: 4_000, False: 12_000} and T.FEATURES == 8_192
 
 
+def test_a_hot_id_is_one_example(spark):
+    """Twenty labelled ids, one of them on 5,001 rows: the samples hold an id once, with its text of least hash."""
+    ids = [i for i in range(200) if crc32(str(i).encode()) % 4 != 2][:20]
+    rows = [(i, f"text of {i}") for i in ids] + [(ids[0], f"again {k}") for k in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, int(i in ids[:4])) for i in ids] + [(ids[0], 1)] * 3, "doc_id long, toxic int")
+    got = T.sample(docs, labels, "text", "doc_id", 4, 8).collect()
+    assert len(got) == 4 + 8 and sum(r.positive for r in got) == 4
+    first = docs.where(f"doc_id = {ids[0]}").selectExpr("text", "xxhash64(cast(text as binary)) h").orderBy("h").first().text
+    assert {bytes(r.text).decode() for r in got if r.positive} == {first, *(f"text of {i}" for i in ids[1:4])}
+
+
 def slow_fit(p, u, prior, steps, rate, decay):
     """The same descent over plain lists, the gradient of the risk by differences."""
     def g(theta, row):
