@@ -1,9 +1,10 @@
 """Byte-pair encoding of whole texts with a word-end vocabulary, and decoding.
 
 White space separates the words of such a vocabulary and is dropped, so a text is the sequence of its runs without
-white space, and equal runs have equal ids wherever they stand: a task looks runs up in a bounded memo and
-works only on new ones. A run is cut at special tokens, then normalised and split into pieces by the rules
-that the vocabulary file states (their Unicode tables are those of its library). Each piece is merged here:
+white space, and equal runs have equal ids wherever they stand: a task looks runs, and then their pieces, up in bounded memos
+and works only on new ones. A run is cut at special tokens, then normalised and split into pieces by the rules
+that the vocabulary file states: below U+0250, where they are plain, by a pattern of this module, else by the vocabulary's
+library, whose Unicode tables they are. Each piece is merged here:
 
 * a short piece is a contiguous array of part boundaries with the rank of each adjacent pair beside it; the least rank
   (of equal ones the leftmost) is found by a scan, its inner boundary deleted, and the two neighbouring ranks made anew;
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -37,14 +40,37 @@ from brandbook.llm.arrow import carried, slices, texts, uncarried, without_scan
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Parts up to which a piece is scanned.
 SHORT = 64
-#: Runs that a task remembers, and the characters of the longest one that it does.
-MEMO, MEMO_CHARS = 200_000, 64
+#: Runs, and pieces, that a task remembers in each of two generations, and the characters of the longest one that it does.
+MEMO, MEMO_CHARS = 150_000, 64
+#: How the vocabulary's rules split lower-cased runs of characters below U+0250.
+PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_²³¹¼½¾]+|[\\d²³¹¼½¾]|[\\W_]+")
+NOT_PLAIN = re.compile("[^\x00-\u024f]")
+STATED = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: What the vocabulary's rules hold for white space; and what str.split takes for white space besides.
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 MORE_SPACE = re.compile("[\x1c-\x1f]")
 NO_RANK = 1 << 62
 
 
+class Memo(dict):
+    """Bytes by text. It never has more than ``MEMO`` entries, nor does the generation before it, from which what is still in use is
+    taken back; the rest falls."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.old.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(text) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.old = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+
 class Vocabulary:
     """What a vocabulary file holds, and the ids of a run by it."""
 
@@ -64,47 +90,66 @@ class Vocabulary:
         self.cut = re.compile("(" + "|".join(re.escape(token) for token in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         rules = Tokenizer.from_file(path)
         self.normalise, self.split = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
-        self.memo: dict[str, bytes] = {}
+        lowers = any(step.get("type") == "Lowercase" for step in (said["normalizer"] or {}).get("normalizers", []))
+        self.plain = lowers and steps[0].get("pattern") == {"Regex": STATED}
+        # bytes as characters: the printable ones stand for themselves, the others for characters from U+0100 on
+        shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+        hidden = [b for b in range(256) if b not in shown]
+        chars = {**{b: chr(b) for b in shown}, **{b: chr(256 + n) for n, b in enumerate(hidden)}}
+        self.bytes = {ord(c): chr(b) for b, c in chars.items()}
+        self.inner = [self.ids.get(chars[b]) for b in range(256)]
+        self.last = [self.ids.get(chars[b] + self.end) for b in range(256)]
+        self.runs, self.pieces = Memo(self.of_run), Memo(self.of_piece)
         names = {**{i: token for token, i in self.ids.items()}, **{i: token for token, i in self.special.items()}}
         self.names = np.array([names.get(i) for i in range(max(names) + 1)], dtype=object)
 
-    def start(self, piece: str) -> list[int]:
-        """The ids of a piece's characters, the last with the word end; characters without an id fall."""
-        found = [self.ids.get(char) for char in piece[:-1]] + [self.ids.get(piece[-1] + self.end)]
-        return [i for i in found if i is not None]
+    def of_piece(self, piece: str) -> bytes:
+        """The packed ids of a piece; bytes without an id fall."""
+        *inner, last = piece.encode()
+        found = [*map(self.inner.__getitem__, inner), self.last[last]]
+        if None in found:
+            found = [i for i in found if i is not None]
+        return packed(merged(found, self.merges))
+
+    def pieces_of(self, run: str) -> list[str]:
+        """A run without special tokens, normalised and split."""
+        if self.plain and not NOT_PLAIN.search(run):
+            return PLAIN_PIECE.findall(run.lower())
+        return [shown.translate(self.bytes).encode("latin-1").decode() for shown, _ in self.split(self.normalise(run))]
 
     def of_run(self, run: str) -> bytes:
         """The packed ids of a text without white space."""
-        ids: list[int] = []
-        for n, part in enumerate(self.cut.split(run) if self.cut else [run]):
+        pieces = self.pieces
+        if not self.cut or not self.cut.search(run):
+            return b"".join([pieces[piece] for piece in self.pieces_of(run)]) if run else b""
+        parts = []
+        for n, part in enumerate(self.cut.split(run)):
             if n % 2:
-                ids.append(self.special[part])
+                parts.append(packed([self.special[part]]))
             elif part:
-                for piece, _ in self.split(self.normalise(part)):
-                    ids += merged(self.start(piece), self.merges)
-        return np.asarray(ids, dtype="<u4").tobytes()
+                parts += [pieces[piece] for piece in self.pieces_of(part)]
+        return b"".join(parts)
 
     def of_text(self, text: str) -> bytes:
         """The packed ids of a text."""
-        memo, packed = self.memo, []
-        for run in SPACE.split(text) if MORE_SPACE.search(text) else text.split():
-            found = memo.get(run)
-            if found is None:
-                found = self.of_run(run)
-                if len(run) <= MEMO_CHARS:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[run] = found
-            packed.append(found)
-        return b"".join(packed)
-
-    def spelled(self, packed: bytes | None) -> str:
+        runs = self.runs
+        return b"".join([runs[run] for run in (SPACE.split(text) if MORE_SPACE.search(text) else text.split())])
+
+    def spelled(self, ids: bytes | None) -> str:
         """The tokens of packed ids, with one space between them."""
-        ids = np.frombuffer(packed or b"", dtype="<u4")
+        ids = np.frombuffer(ids or b"", dtype="<u4")
         found = self.names[ids[ids < len(self.names)]]
         return " ".join(token for token in found.tolist() if token is not None)
 
 
+def packed(ids: list[int]) -> bytes:
+    """``ids`` as little-endian unsigned 32-bit integers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 def merged(parts: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """``parts`` after all merges, least rank first, of equal ranks the leftmost."""
     return scanned(parts, merges) if len(parts) <= SHORT else heaped(parts, merges)
