@@ -1,5 +1,5 @@
 """python -m brandbook load RECORDS... --to DIR | animal DIR UID | pedigree DIR UID | carriers DIR CODE | breeds DIR BREED PERCENT | shared DIR |
-duplicates DIR | reconcile DIR --to DIR | without-steers DIR --to DIR | tail FILE... --store DIR --graph DIR | state DIR | schema"""
+duplicates DIR | reconcile DIR --to DIR | without-steers DIR --to DIR | tail FILE... --graph DIR | rebuild FILE... --graph DIR | state DIR | schema"""
 
 from __future__ import annotations
 
@@ -29,11 +29,12 @@ def main(args: list[str] | None = None) -> None:
             verb.add_argument(field)
         if name in ("reconcile", "without-steers"):
             verb.add_argument("--to", required=True)
-    follow = verbs.add_parser("tail")
-    follow.add_argument("files", nargs="+")
-    follow.add_argument("--store", required=True)
-    follow.add_argument("--graph", required=True)
-    follow.add_argument("--once", action="store_true")
+    for name in ("tail", "rebuild"):
+        follow = verbs.add_parser(name)
+        follow.add_argument("files", nargs="+")
+        follow.add_argument("--graph", required=True)
+        if name == "tail":
+            follow.add_argument("--once", action="store_true")
     verbs.add_parser("schema")
     got = parser.parse_args(args)
     spark = SparkSession.builder.appName("brandbook").getOrCreate()
@@ -45,9 +46,13 @@ def main(args: list[str] | None = None) -> None:
             print(f"{name}: {ddl}; unique by {', '.join(schema.UNIQUE.get(name, [])) or 'whole row'}")
         return
     if got.verb == "tail":
-        query = tail.follow(spark, got.files, tail.load_graph(got.store, got.graph), f"{got.store}/_checkpoint", got.once)
+        epoch = tail.current_epoch(spark, got.graph)
+        query = tail.follow(spark, got.files, tail.load_graph(got.graph, epoch), f"{got.graph}/{epoch}/_checkpoint", got.once)
         query.awaitTermination()
         return
+    if got.verb == "rebuild":
+        print(tail.rebuild(spark, got.files, got.graph))
+        return
     if got.verb == "state":
         print(published(spark, got.path))
         graph.cardinalities(Herd.current(spark, got.path).tables).show(truncate=False)

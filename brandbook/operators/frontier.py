@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from brandbook.operators.ordered import scanned
 from brandbook.session import materialise
 
 KEYS = ["association", "reg_number"]
@@ -81,11 +82,8 @@ def breadth_first(neighbours: DataFrame, seeds: DataFrame, max_depth: int, scope
 
 def refusal_streaks(visits: DataFrame, key: str, order: list[str], refused: Column, retry_after: Column | None = None) -> DataFrame:
     """``visits`` with streak (refusals in a row so far), wait (seconds: what the host asks, else 30 a refusal,
-    300 at most) and stop (five in a row)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    rows = visits.withColumn("_run", F.sum(F.when(refused, 0).otherwise(1)).over(w))
-    streak = F.sum(F.when(refused, 1).otherwise(0)).over(Window.partitionBy(key, "_run").orderBy(*order))
-    rows = rows.withColumn("streak", F.when(refused, streak).otherwise(0)).drop("_run")
+    300 at most) and stop (five in a row). A host with any share of the visits is on many tasks."""
+    rows = scanned(visits, key, order, flag=refused).withColumnRenamed("run", "streak")
     asked = F.lit(None).cast("int") if retry_after is None else retry_after
     wait = F.when(F.col("streak") > 0, F.coalesce(asked, F.least(BACKOFF_STEP * F.col("streak"), F.lit(MOST_BACKOFF)))).otherwise(0)
     return rows.withColumn("wait", wait).withColumn("stop", F.col("streak") >= STOP_AFTER)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brandbook.functions import norm
-from brandbook.operators.ordered import running_sums
+from brandbook.operators.ordered import ordered, running_sums, scanned
+from brandbook.session import materialise
 
 #: (age in seconds up to which, step in seconds); the last has no bound.
 STEPS = ((86_400, 600), (14 * 86_400, 3_600), (None, 21_600))
@@ -43,28 +45,96 @@ def compact(points: DataFrame, now: Column, t: str = "t", most: int = MOST_POINT
     return kept.orderBy(F.desc(t)).limit(most)
 
 
-def _fold(key: str, t: str, every: int):
-    """Of Arrow batches sorted by key and time the rows kept; only the last key and kept time pass on."""
+def _jumps(t: np.ndarray, every: int) -> np.ndarray:
+    """Of each time the place of the first one ``every`` later, itself where there is none."""
+    found = np.searchsorted(t, t + every, "left")
+    return np.where(found < len(t), found, np.arange(len(t)))
 
-    def run(batches):
-        at, last = None, None
-        for batch in batches:
-            kept = []
-            for i, (k, value) in enumerate(zip(batch.column(key).to_pylist(), batch.column(t).to_pylist(), strict=True)):
-                if last is None or k != at or value - last >= every:
-                    at, last = k, value
-                    kept.append(i)
-            yield batch.take(pa.array(kept, pa.int64()))
+
+def _segments(batch: pa.Table, key: str, t: str):
+    """(key, first row, times) of each key of a table sorted by key and time."""
+    keys, times = batch.column(key).combine_chunks(), batch.column(t).combine_chunks().to_numpy(zero_copy_only=False)
+    codes = keys.dictionary_encode(null_encoding="encode").indices.to_numpy()
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1]) if len(codes) else []
+    for a, b in zip(starts, [*starts[1:], len(codes)], strict=True):
+        yield keys[int(a)].as_py(), int(a), times[a:b]
+
+
+def _entries(key: str, t: str, every: int):
+    """Of each key's stretch in a partition: where a walk may enter it, and the last point that it keeps there then."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        part = table.column("_part")[0].as_py()
+        rows: list[tuple] = []
+        for name, _, times in _segments(table, key, t):
+            jump = _jumps(times, every)
+            last = jump
+            while (further := last[last] != last).any():  # pointers are doubled until all stand
+                last = np.where(further, last[last], last)
+            near = min(len(times), np.searchsorted(times, times[0] + every, "left") + 1)
+            rows += [(name, part, int(times[i]), int(times[last[i]])) for i in range(near)]
+        kinds = [table.schema.field(key).type, pa.int32(), pa.int64(), pa.int64()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[key, "part", "entry", "exit"])
+
+    return run
+
+
+def _walk(key: str, t: str, every: int):
+    """The rows that a walk keeps that enters each key's stretch in a partition at its ``_entry``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        entries, kept = table.column("_entry"), []
+        for _, first, times in _segments(table, key, t):
+            jump, at = _jumps(times, every), int(np.searchsorted(times, entries[first].as_py(), "left"))
+            kept.append(first + at)
+            while jump[at] != at:
+                at = int(jump[at])
+                kept.append(first + at)
+        return table.take(pa.array(kept, pa.int64())).drop(["_part", "_id", "_entry"])
 
     return run
 
 
 def sample(points: DataFrame, key: str, t: str, every: int = FINEST) -> DataFrame:
-    """The points kept if each is kept only ``every`` seconds or more after the last kept one of its key. Which
-    those are depends on the data, so each key is folded in order, in bounded memory: rows come sorted, and only the
-    last kept time passes from one to the next. Points without a time are left out."""
-    placed = points.where(F.col(t).isNotNull()).repartition(key).sortWithinPartitions(key, t)
-    return placed.mapInArrow(_fold(key, t, every), points.schema)
+    """The points kept if each is kept only ``every`` seconds or more after the last kept one of its key, by whole
+    seconds ``t``. Which those are depends on the data before, so it is a walk of jumps to the first point ``every`` later.
+
+    No task walks a whole key. Points are range-sorted, and each partition works out where a walk leaves its
+    stretch of a key for each point at which one may enter it: that is within ``every`` of the stretch's first, since the
+    point kept before lies ahead of that, so it tells at most ``every`` + 1 places and not its points. On the table of these
+    places jumps are doubled from each key's first point, in as many joins as the number of partitions has binary
+    digits; then each partition walks from where it is entered. Points without a time are left out, of equal times one stays."""
+    rows = points.where(F.col(t).isNotNull()).dropDuplicates([key, t]).withColumn(t, F.col(t).cast("bigint"))
+    kept = ordered(rows, [key, t])
+    kind = rows.schema[key].dataType.simpleString()
+    found = materialise(kept.select("_part", "_id", key, t).groupBy("_part").applyInArrow(_entries(key, t, every), f"`{key}` {kind}, part int, entry bigint, exit bigint"), "entries")
+    same = lambda a, b: F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}"))
+    # of each place the first place that is ``every`` after its exit, in one sorted walk over places and goals together
+    places = found.select(key, F.col("entry").alias("at"), F.lit(None).cast("bigint").alias("goal"))
+    goals = found.select(key, (F.col("exit") + every).alias("at"), F.col("entry").alias("goal"))
+    ahead = Window.partitionBy(key).orderBy(F.desc("at"), F.col("goal").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = places.withColumn("place", F.col("at")).unionByName(goals.withColumn("place", F.lit(None).cast("bigint")))
+    nexts = both.withColumn("next", F.last("place", ignorenulls=True).over(ahead))
+    jumps = materialise(nexts.where("goal is not null and next is not null").select(key, F.col("goal").alias("entry"), "next"), "jumps")
+    reached = materialise(found.groupBy(key).agg(F.min("entry").alias("entry")), "reached")
+    while True:
+        on = reached.alias("r").join(jumps.alias("j"), same("r", "j") & (F.col("r.entry") == F.col("j.entry")))
+        new = on.select(f"r.{key}", F.col("j.next").alias("entry"))
+        grown = materialise(reached.union(new).distinct(), "reached")
+        if grown.count() == reached.count():
+            break
+        reached = grown
+        twice = jumps.alias("a").join(jumps.alias("b"), same("a", "b") & (F.col("a.next") == F.col("b.entry")))
+        jumps = materialise(twice.select(f"a.{key}", "a.entry", "b.next"), "jumps")
+    # the entry of each stretch: of what is reached the least in it
+    inside = reached.alias("r").join(found.alias("f"), same("r", "f") & (F.col("r.entry") == F.col("f.entry")))
+    entered = materialise(inside.groupBy(F.col(f"f.{key}").alias(key), "f.part").agg(F.min("r.entry").alias("_entry")), "entered")
+    walked = kept.alias("k").join(F.broadcast(entered).alias("e"), same("k", "e") & (F.col("k._part") == F.col("e.part"))).select("k.*", "e._entry")
+    schema = kept.drop("_part", "_id").schema
+    return walked.groupBy("_part").applyInArrow(_walk(key, t, every), schema).select(*points.columns)
 
 
 def carried_forward(readings: DataFrame, key: str = "association", t: str = "t") -> DataFrame:
@@ -72,17 +142,18 @@ def carried_forward(readings: DataFrame, key: str = "association", t: str = "t")
 
     A reading changes the sum by its difference from the key's one before, so the sum is a running sum of the
     differences of each time, and no grid of times and keys is built."""
-    w = Window.partitionBy(key).orderBy(t)
-    change = [(F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(0))).alias(c) for c in ("done", "pending")]
-    moves = readings.select(t, *change).groupBy(t).agg(F.sum("done").alias("done"), F.sum("pending").alias("pending"))
+    rows = scanned(readings.select(key, t, "done", "pending"), key, [t], ("done", "pending"))
+    change = [(F.col(c) - F.coalesce(f"prev_{c}", F.lit(0))).alias(c) for c in ("done", "pending")]
+    moves = rows.select(t, *change).groupBy(t).agg(F.sum("done").alias("done"), F.sum("pending").alias("pending"))
     return running_sums(moves, t, ["done", "pending"]).where("done <> 0 or pending <> 0")
 
 
 def rates(readings: DataFrame, key: str = "association", t: str = "t", done: str = "done", digits: int = 2) -> DataFrame:
     """Done per minute since the reading before."""
-    w = Window.partitionBy(key).orderBy(t)
-    gap = F.col(t) - F.lag(t).over(w)
-    return readings.withColumn("rate_per_min", F.when(gap > 0, F.round((F.col(done) - F.lag(done).over(w)) / gap * 60, digits)))
+    rows = scanned(readings, key, [t], (t, done))
+    gap = F.col(t) - F.col(f"prev_{t}")
+    rate = F.when(gap > 0, F.round((F.col(done) - F.col(f"prev_{done}")) / gap * 60, digits))
+    return rows.withColumn("rate_per_min", rate).drop(f"prev_{t}", f"prev_{done}")
 
 
 def eta_days(pending: Column, rate: Column) -> Column:

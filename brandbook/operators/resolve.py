@@ -29,8 +29,10 @@ from brandbook.schema import TABLES
 from brandbook.session import materialise
 
 FIELDS = ("intl_id", "name", "name_norm", "sex", "dob", "tattoo", "color", "horn_status")
-OUTPUT = "kind string, payload string"
+OUTPUT = "kind string, block bigint, payload string"
 OUT_ROWS = 5_000
+#: Combinations of values up to which a block lists them; wider blocks are tested value by value.
+LISTED = 256
 
 
 def prepared(records: DataFrame, skip_steers: bool = False, preserve_affected: bool = False) -> DataFrame:
@@ -106,18 +108,49 @@ def blocks(keys: DataFrame) -> DataFrame:
     return keys.select("mention").distinct().join(found, F.col("mention") == F.col("node"), "left").select("mention", F.coalesce("component", "mention").alias("block"))
 
 
-def _weak_keys(placed: DataFrame) -> DataFrame:
-    """(block, key) that may join blocks of ``placed(block, ...facts)``; values of several mentions combine, and only
-    values that several blocks have are looked at."""
-    several = lambda df, c: df.join(df.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(c), c)
+def weak_links(placed: DataFrame, listed: int = LISTED) -> DataFrame:
+    """Edges (a, b) that may join blocks of ``placed(block, ...facts)``; values of several mentions combine, and only
+    values that several blocks have are looked at.
+
+    A block lists its combinations as keys if they are few. A junk key may gather thousands of names and dates in one
+    block, whose product nothing should list: such wide blocks are met by the combinations that others list, through one
+    of the values and then a test of the rest, and by each other in pairs of wide blocks that share each kind of value."""
     values = lambda c: placed.where(F.col(c).isNotNull()).select("block", c).distinct()
-    dobs, sexes = values("dob"), values("sex")
-    marks = several(values("tattoo"), "tattoo").join(dobs, "block").join(sexes, "block").select("block", F.concat_ws("|", F.lit("T"), "tattoo", "dob", "sex").alias("key"))
-    names = materialise(several(values("name"), "name"), "names")
-    dated = names.join(dobs, "block").select("block", F.concat_ws("|", F.lit("D"), "name", "dob").alias("key"))
-    loose = placed.where("name is not null and specific and not dated").select("name").distinct()
-    alone = names.join(loose, "name").select("block", F.concat(F.lit("N|"), "name").alias("key"))
-    return marks.union(dated).union(alone).distinct()
+    several = lambda df, c: df.join(df.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(c), c).select("block", c)
+    own = {c: materialise(values(c) if c in ("dob", "sex") else several(values(c), c), c) for c in ("name", "tattoo", "dob", "sex")}
+    edges = []
+    for kinds in (("tattoo", "dob", "sex"), ("name", "dob")):
+        sizes = own[kinds[0]].groupBy("block").agg(F.count("*").cast("double").alias("size"))
+        for c in kinds[1:]:
+            more = own[c].groupBy("block").agg(F.count("*").cast("double").alias("n"))
+            sizes = sizes.join(more, "block").select("block", (F.col("size") * F.col("n")).alias("size"))
+        sizes = materialise(sizes, "sizes")
+        few, wide = sizes.where(F.col("size") <= listed).select("block"), sizes.where(F.col("size") > listed).select("block")
+        combined = own[kinds[0]].join(few, "block")
+        for c in kinds[1:]:
+            combined = combined.join(own[c], "block")
+        combined = materialise(combined, "combined")
+        edges.append(linked(combined.select("block", F.concat_ws("|", *kinds).alias("key")), "block"))
+        if wide.limit(1).count():
+            edges += _wide_links(combined, {c: materialise(own[c].join(wide, "block"), "wide") for c in kinds})
+    loose = placed.where("name is not null and specific and not dated").select(F.col("name").alias("key")).distinct()
+    edges.append(linked(own["name"].withColumnRenamed("name", "key").join(loose, "key", "left_semi"), "block"))
+    found = edges[0]
+    for more in edges[1:]:
+        found = found.union(more)
+    return found.distinct()
+
+
+def _wide_links(combined: DataFrame, wide: dict[str, DataFrame]) -> list[DataFrame]:
+    """Edges of wide blocks to the least block of each combination that others list, and to each other."""
+    first, *rest = wide
+    met = combined.groupBy(*wide).agg(F.min("block").alias("b")).join(wide[first].withColumnRenamed("block", "a"), first)
+    pairs = wide[first].withColumnRenamed("block", "a").join(wide[first].withColumnRenamed("block", "b"), first).where("a < b").select("a", "b").distinct()
+    for c in rest:
+        met = met.join(wide[c].withColumnRenamed("block", "a"), ["a", c], "left_semi")
+        both = pairs.join(wide[c].withColumnRenamed("block", "a"), "a").join(wide[c].withColumnRenamed("block", "b"), ["b", c])
+        pairs = both.select("a", "b").distinct()
+    return [met.select("a", "b"), pairs]
 
 
 def mention_blocks(rows: DataFrame) -> DataFrame:
@@ -126,7 +159,7 @@ def mention_blocks(rows: DataFrame) -> DataFrame:
     home = materialise(blocks(block_keys(rows).union(known.select("mention", F.concat(F.lit("M:"), F.col("mention").cast("string"))))), "blocks")
     while True:
         placed = materialise(known.join(home, "mention").select("block", "tattoo", "dob", "sex", "name", "specific", "dated").distinct(), "placed")
-        joined = materialise(connected_components(linked(materialise(_weak_keys(placed), "weak"), "block")), "joined")
+        joined = materialise(connected_components(weak_links(placed)), "joined")
         if joined.limit(1).count() == 0:
             return home
         home = materialise(home.join(joined, F.col("block") == F.col("node"), "left").select("mention", F.coalesce("component", "block").alias("block")), "blocks")
@@ -377,76 +410,61 @@ def _replay_sorted(batches):
         columns = (batch.column(c).to_pylist() for c in ("block", "mention", "body"))
         for at, mention, body in zip(*columns, strict=True):
             if at != block:
-                yield from _handed(replay.finish())
+                yield from _handed(block, replay.finish())
                 block, replay = at, _Replay()
             replay.take(mention, json.loads(body))
             if len(replay.out) >= OUT_ROWS:
-                yield from _handed(replay.out)
+                yield from _handed(block, replay.out)
                 replay.out.clear()
-    yield from _handed(replay.finish())
+    yield from _handed(block, replay.finish())
 
 
-def _handed(rows: list[tuple[str, dict]]) -> Iterator[pa.RecordBatch]:
+def _handed(block: int | None, rows: list[tuple[str, dict]]) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(rows), OUT_ROWS):
         part = rows[at : at + OUT_ROWS]
-        yield pa.RecordBatch.from_arrays([pa.array([kind for kind, _ in part], pa.string()), pa.array([json.dumps(row) for _, row in part], pa.string())], names=["kind", "payload"])
+        columns = [pa.array([kind for kind, _ in part], pa.string()), pa.array([block] * len(part), pa.int64()), pa.array([json.dumps(row) for _, row in part], pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "block", "payload"])
 
 
-def _mentions(rows: DataFrame) -> DataFrame:
+def mentions_of(rows: DataFrame) -> DataFrame:
     """(mention, body) of ``prepared`` rows."""
     own = F.to_json(F.struct(*(c for c in rows.columns if c not in ("sire", "dam"))), {"ignoreNullFields": "false"})
     bodies = F.array(F.struct(F.lit(0).alias("i"), own.alias("body")), *(F.struct(F.lit(i).alias("i"), F.to_json(F.col(role), {"ignoreNullFields": "false"}).alias("body")) for i, role in ((1, "sire"), (2, "dam"))))
     return rows.select("seq", F.explode(bodies).alias("m")).select((3 * F.col("seq") + F.col("m.i")).alias("mention"), F.col("m.body").alias("body")).where("body is not null")
 
 
-def _played(placed: DataFrame) -> dict[str, DataFrame]:
-    """Tables of the blocks of ``placed(block, mention, body)``, without parentage."""
+def played(placed: DataFrame) -> dict[str, DataFrame]:
+    """Tables of the blocks of ``placed(block, mention, body)``, each with ``block``, without parentage."""
     in_order = placed.select("block", "mention", "body").repartition("block").sortWithinPartitions("block", "mention")
     # by kind: each table is read from its own folder
     told = materialise(in_order.mapInArrow(_replay_sorted, OUTPUT), "told", partition_by=["kind"])
-    table = lambda kind, ddl: told.where(F.col("kind") == kind).select(F.from_json("payload", ddl).alias("x")).select("x.*")
+    table = lambda kind, ddl: told.where(F.col("kind") == kind).select("block", F.from_json("payload", ddl).alias("x")).select("block", "x.*")
     out = {name: table(name, ddl) for name, ddl in TABLES.items() if name != "parentage"}
     out["log"], out["fallen"] = table("log", "mention bigint, step bigint, uid string, rung string"), table("fallen", "mention bigint")
     renamed = materialise(table("renamed", "old string, uid string").select("old", F.col("uid").alias("now")), "renamed")
-    home = table("mention", "mention bigint, uid string").join(renamed, F.col("uid") == F.col("old"), "left").select("mention", F.coalesce("now", "uid").alias("uid"))
+    home = table("mention", "mention bigint, uid string").join(renamed, F.col("uid") == F.col("old"), "left").select("block", "mention", F.coalesce("now", "uid").alias("uid"))
     out["mention"] = materialise(home, "homes")
     return out
 
 
-def _parentage(home: DataFrame, fallen: DataFrame) -> DataFrame:
-    """Lines of descent between where a record's mentions are."""
+def lines(home: DataFrame, fallen: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Lines of descent between where a record's mentions are: (child_uid, parent_uid, role), with the columns ``carried``
+    of both ends as child_ and parent_."""
     ends = home.withColumn("seq", F.expr("mention div 3")).withColumn("role", F.pmod("mention", F.lit(3)))
-    child = ends.where("role = 0").select("seq", F.col("uid").alias("child_uid"))
-    stands = ends.where("role > 0").join(fallen, "mention", "left_anti")
-    parent = stands.select("seq", F.col("uid").alias("parent_uid"), F.when(F.col("role") == 1, "SIRE").otherwise("DAM").alias("role"))
-    return child.join(parent, "seq").select("child_uid", "parent_uid", "role").distinct()
+    of = lambda end: [F.col(c).alias(f"{end}_{c}") for c in ("uid", *carried)]
+    child = ends.where("role = 0").select("seq", *of("child"))
+    stands = ends.where("role > 0").join(fallen.select("mention"), "mention", "left_anti")
+    parent = stands.select("seq", *of("parent"), F.when(F.col("role") == 1, "SIRE").otherwise("DAM").alias("role"))
+    return child.join(parent, "seq").drop("seq").distinct()
 
 
 def replay(records: DataFrame, skip_steers: bool = False, preserve_affected: bool = False) -> dict[str, DataFrame]:
     """``records`` with ``seq`` to the graph's tables, plus ``log(mention, step, uid, rung)``,
     ``mention(mention, uid)`` and ``fallen(mention)``, the lines that fell."""
     rows = materialise(prepared(records, skip_steers, preserve_affected), "records")
-    out = _played(_mentions(rows).join(mention_blocks(rows), "mention"))
-    out["parentage"] = _parentage(out["mention"], out["fallen"])
-    return out
-
-
-def extend(tables: dict[str, DataFrame], records: DataFrame, since: int, skip_steers: bool = False, preserve_affected: bool = False) -> dict[str, DataFrame]:
-    """The tables of ``records``, from the ``tables`` of those before ``since``: what ``replay`` of all gives. Only blocks
-    that a mention of a later record is in are replayed; animals of the others stay as they are."""
-    rows = materialise(prepared(records, skip_steers, preserve_affected), "records")
-    home = materialise(mention_blocks(rows), "blocks")
-    fresh = materialise(home.where(F.col("mention") >= 3 * since).select("block").distinct(), "fresh")
-    touched = materialise(home.join(fresh, "block"), "touched")
-    new = _played(_mentions(rows).join(touched, "mention"))
-    again = touched.select("mention")
-    gone = materialise(tables["mention"].join(again, "mention", "left_semi").select(F.col("uid").alias("gone")).distinct(), "gone")
-    out = {}
-    for name in (n for n in TABLES if n != "parentage"):
-        out[name] = tables[name].join(gone, F.col("uid") == F.col("gone"), "left_anti").unionByName(new[name])
-    for name in ("log", "mention", "fallen"):
-        out[name] = tables[name].join(again, "mention", "left_anti").unionByName(new[name])
-    out["parentage"] = _parentage(out["mention"], out["fallen"])
+    out = played(mentions_of(rows).join(mention_blocks(rows), "mention"))
+    out = {name: df.drop("block") for name, df in out.items()}
+    out["parentage"] = lines(out["mention"], out["fallen"])
     return out
 
 

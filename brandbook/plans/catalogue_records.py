@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.operators import frontier, graph, pages, progress, resolve
+from brandbook.operators import frontier, graph, pages, progress, resolve, robots
+from brandbook.operators.block_index import BlockIndex
+from brandbook.operators.ordered import numbered
 from brandbook.plans.read_api import Herd
 from brandbook.plans.registry import long, query
 from brandbook.schema import PARENT, RECORD, TABLES
@@ -359,10 +361,14 @@ def resolve_extended(spark, d):
     half = c.count() // 2 + 1
     key = F.col("c_custkey").cast("string")
     rows = as_records(c, F.col("c_custkey"), association=F.lit("CHIA"), regNumber=key, dna_cases=F.array(F.concat(F.lit("AGI"), F.expr("cast(c_custkey div 2 as string)"))), sex=F.lit("F"))
-    before = resolve.replay(rows.where(F.col("seq") < half))
-    tables = resolve.extend(before, rows, half)
-    uid = tables["mention"].select(F.expr("mention div 3").alias("seq"), "uid")
-    return uid.join(tables["log"].select(F.expr("mention div 3").alias("seq"), "rung"), "seq")
+    index = BlockIndex(spark, workspace(spark, "index"))
+    for batch, part in enumerate((F.col("seq") < half, F.col("seq") >= half)):
+        index.add(rows.where(part).withColumnRenamed("seq", "at"), batch, ["at"])
+    tables = index.tables(1)
+    uid = tables["mention"].select(F.expr("mention div 3").alias("at"), "uid")
+    # records are numbered as they come; their registration says which customer that was
+    numbers = numbered(c.select(F.col("c_custkey").alias("seq")), ["seq"], "at")
+    return uid.join(tables["log"].select(F.expr("mention div 3").alias("at"), "rung"), "at").join(numbers, "at").select("seq", "uid", "rung")
 
 
 @query("""
@@ -375,6 +381,30 @@ def load_trace(spark, d):
     return resolve.trace(rows, resolve.replay(rows)).select("seq", "type", "detail")
 
 
+@query("""
+WITH rules AS (
+  SELECT DISTINCT 'n' || s_nationkey || '.example' AS host, s_suppkey % 3 = 0 AS allow, '/c/' || s_suppkey % 40 AS base, s_suppkey % 5 = 0 AS wild FROM supplier
+  UNION ALL SELECT DISTINCT 'n' || s_nationkey || '.example', FALSE, '/c/1', FALSE FROM supplier),
+urls AS (
+  SELECT o_orderkey, 'n' || c_nationkey || '.example' AS host, '/c/' || o_custkey || '/o' || o_orderkey % 7 || CASE WHEN o_orderkey % 4 = 0 THEN 'x' ELSE '' END AS path
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+met AS (
+  SELECT o_orderkey, allow, row_number() OVER (PARTITION BY o_orderkey ORDER BY length(base) + CASE WHEN wild THEN 3 ELSE 0 END DESC, allow DESC) AS n
+  FROM urls JOIN rules ON urls.host = rules.host AND starts_with(path, base) AND (NOT wild OR (ends_with(path, 'x') AND length(path) > length(base))))
+SELECT o_orderkey, urls.host, path, coalesce(allow, TRUE) AS allowed FROM urls LEFT JOIN met USING (o_orderkey) WHERE coalesce(n, 1) = 1""")
+def robots_rules(spark, d):
+    """A robots.txt a nation, of its suppliers' rules, some with * and $, and the addresses of all orders."""
+    s = table(spark, d, "supplier")
+    rule = F.concat(F.when(F.col("s_suppkey") % 3 == 0, "Allow").otherwise("disallow "), F.lit(": /c/"), (F.col("s_suppkey") % 40).cast("string"), F.when(F.col("s_suppkey") % 5 == 0, "*x$ # wild").otherwise(""))
+    host = F.concat(F.lit("N"), F.col("s_nationkey").cast("string"), F.lit(".example"))
+    head = "User-Agent: other\nDisallow: /\n\nUser-agent: *\nUser-agent: none\r\nDisallow: /c/1\n"
+    files = s.groupBy(host.alias("host")).agg(F.concat(F.lit(head), F.array_join(F.collect_list(rule), "\n")).alias("text"))
+    places = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit(".example")).alias("host"))
+    path = F.concat(F.lit("/c/"), F.col("o_custkey").cast("string"), F.lit("/o"), (F.col("o_orderkey") % 7).cast("string"), F.when(F.col("o_orderkey") % 4 == 0, "x").otherwise(""))
+    asked = table(spark, d, "orders").join(places, "o_custkey").select("o_orderkey", "host", path.alias("path"))
+    return robots.judged(asked, robots.for_agent(robots.rules(files), "Herdbot/2"))
+
+
 # ---- progress and frontier
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brandbook.operators import graph, resolve
 from brandbook.schema import TABLES
-from brandbook.session import published
+from brandbook.streaming import tail
 
 
 class Herd:
@@ -27,7 +27,8 @@ class Herd:
     @classmethod
     def current(cls, spark: SparkSession, path: str) -> Herd:
         """The graph that a following load (``tail.load_graph``) published last."""
-        return cls.open(spark, published(spark, path))
+        index, batch = tail.loaded(spark, path)
+        return cls(index.tables(batch))
 
     def save(self, path: str) -> None:
         """A new version: all tables into an empty folder."""

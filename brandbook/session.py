@@ -65,6 +65,12 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of the shared folder, or any that Spark can open, is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def _rename_over(spark: SparkSession, source: str, target: str) -> None:
     """Put one file in another's place, in one step where the file system can."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -74,16 +80,22 @@ def _rename_over(spark: SparkSession, source: str, target: str) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(target).toUri(), conf).rename(path(source), path(target), how)
 
 
-def publish(spark: SparkSession, path: str, version: str) -> None:
-    """Make ``path``/``version`` what ``published`` says; readers see the version before or this one, never a part."""
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file hold ``text``; readers see what it held before or this, never a part."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    aside = jvm.org.apache.hadoop.fs.Path(f"{path}/_next-{uuid.uuid4().hex}")
+    folder, name = path.rsplit("/", 1)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{folder}/_next-{name}-{uuid.uuid4().hex}")
     out = aside.getFileSystem(conf).create(aside, True)
     try:
-        out.write(bytearray(version.encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
-    _rename_over(spark, aside.toString(), f"{path}/_current")
+    _rename_over(spark, aside.toString(), path)
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``path``/``version`` what ``published`` says; readers see the version before or this one, never a part."""
+    replace_text(spark, f"{path}/_current", version)
 
 
 def published(spark: SparkSession, path: str) -> str | None:

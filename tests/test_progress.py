@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from brandbook.operators import frontier as Q
@@ -98,3 +101,29 @@ def test_rules_and_boards(spark):
     assert {r.association: (r.done, r.source) for r in P.merged_boards(entries).collect()} == {"A": (2, "y"), "B": (5, "x")}
     assert P.newest_graph(entries).first().graph == "g"
     assert [r.t for r in P.trend(points(spark, range(30))).collect()] == list(range(29, 5, -1))
+
+
+def walked(rows, every):
+    """The times kept, one after another over sorted rows."""
+    last, kept = {}, []
+    for k, t in sorted(set(rows), key=lambda r: (str(r[0]), r[1])):
+        if k not in last or t - last[k] >= every:
+            last[k] = t
+            kept.append((k, t))
+    return sorted(kept, key=str)
+
+
+@pytest.mark.parametrize("every", [1, 7, 60, 100_000])
+def test_thinning_of_a_hot_key_against_a_walk(spark, request, every):
+    """Most points are of one key, dense, sparse and with gaps wider than a partition; equal times, null keys and null times too."""
+    rng = random.Random(every)
+    rows, t = [], 0
+    for _ in range(1_500):
+        t += rng.choice([0, 1, 1, 2, 3, rng.randrange(1, 20), 900 if rng.random() < 0.02 else 1])
+        rows.append(("hot", t))
+    rows += [(rng.choice(["a", "b", None]), rng.randrange(2_000)) for _ in range(200)] + [("late", 10**10)]
+    frame = spark.createDataFrame([*rows, ("hot", None)], "k string, t bigint").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that the hot key lies on several partitions
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    assert sorted(((r.k, r.t) for r in P.sample(frame, "k", "t", every).collect()), key=str) == walked(rows, every)
+    assert P.sample(frame.limit(0), "k", "t", every).count() == 0

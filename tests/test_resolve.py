@@ -2,8 +2,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from brandbook.operators import resolve as R
+from brandbook.session import materialise
 from tests import herd
 
 
@@ -94,3 +96,26 @@ def test_values_of_several_records_meet(spark):
 def test_closure(spark):
     keys = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (9, "z"), (7, None)], "mention long, key string")
     assert {r.mention: r.entity for r in R.closure(keys).collect()} == {1: 1, 2: 1, 3: 1, 9: 9}
+
+
+def plain_links(placed, listed):
+    return {tuple(r) for r in R.connected_components(R.weak_links(placed, listed)).collect()}
+
+
+def test_wide_blocks_join_as_listed_ones_do(spark):
+    rng = random.Random(5)
+    pick = lambda *xs: rng.choice([None, *xs])
+    for _ in range(2):
+        rows = [(rng.randrange(14), pick("T1", "T2", "T3", "T4"), pick("d1", "d2", "d3", "d4"), pick("M", "F"), pick("n1", "n2", "n3", "n4", "n5", "n6"), False, False) for _ in range(34)]
+        placed = spark.createDataFrame(rows, "block long, tattoo string, dob string, sex string, name string, specific boolean, dated boolean").distinct()
+        assert plain_links(placed, 10**9) == plain_links(placed, 2)
+
+
+def test_a_junk_key_makes_no_product(spark):
+    """Two blocks of 50,000 names and 10,000 dates each, which list 500 million combinations apiece, and narrow ones beside them."""
+    schema = "block long, tattoo string, dob string, sex string, name string, specific boolean, dated boolean"
+    junk = spark.range(100_000).select((F.col("id") % 2).alias("block"), F.lit(None).cast("string"), F.concat(F.lit("d"), F.expr("id div 10")), F.lit("M"), F.concat(F.lit("n"), F.expr("id div 2")), F.lit(False), F.lit(True))
+    near = spark.createDataFrame([(5, None, "d17", None, "n400", False, False), (6, None, "d18", None, "other", False, False), (7, None, "never", None, "n400", False, False)], schema)
+    placed = materialise(junk.union(near).toDF(*near.columns), "placed")
+    found = materialise(R.weak_links(placed), "links")
+    assert found.count() < 10 and plain_links(placed, R.LISTED) == {(0, 0), (1, 0), (5, 0)}

@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -62,8 +63,8 @@ def test_archive(spark, tmp_path):
 def test_tail_takes_whole_lines_once(spark, tmp_path):
     path = tmp_path / "data.jsonl"
     jsonl(path, herd.SIX[:2], '{"association": "SH')
-    lines, at = tail.new_lines(str(path), 0, most=1)
-    assert len(lines) == 1 and tail.new_lines(str(path), at)[0][0][0] == at
+    whole = tail.whole_until(str(path), path.stat().st_size)
+    assert path.read_bytes()[whole:] == b'{"association": "SH' and len(list(tail.lines_between(str(path), 0, whole))) == 2
     run = lambda: tail.follow(spark, [str(path)], tail.store(str(tmp_path / "store")), str(tmp_path / "check"), once=True).awaitTermination(120)
     run()
     assert [r.regNumber for r in tail.stored(spark, str(tmp_path / "store")).orderBy("seq").collect()] == ["MA430053", "402303"]
@@ -73,15 +74,43 @@ def test_tail_takes_whole_lines_once(spark, tmp_path):
     rows = tail.stored(spark, str(tmp_path / "store"))
     assert [r.regNumber for r in rows.orderBy("seq").collect()] == ["MA430053", "402303", "S1", "MA555000"]
     assert Herd.load(rows).tables["animal"].count() == 6
-    jsonl(path, herd.SIX[5:])
-    assert tail.new_lines(str(path), 10_000)[0][0][0] == 0
-
-
-def test_tail_once_reads_to_the_end(spark, tmp_path):
-    path = tmp_path / "long.jsonl"
-    path.write_text("\n" * 12 + "".join(json.dumps({**herd.SIX[0], "regNumber": f"N{i}"}) + "\n" for i in range(25)))
-    tail.follow(spark, [str(path)], tail.store(str(tmp_path / "store")), str(tmp_path / "check"), once=True, most_lines=10).awaitTermination(120)
-    assert [r.regNumber for r in tail.stored(spark, str(tmp_path / "store")).orderBy("seq").collect()] == [f"N{i}" for i in range(25)]
+    jsonl(path, herd.SIX[5:])  # shrunk: from the first byte again
+    run()
+    assert [r.regNumber for r in tail.stored(spark, str(tmp_path / "store")).orderBy("seq").collect()][4:] == ["19876543"]
+
+
+def test_tail_ranges_hold_each_line_once(tmp_path):
+    rng = random.Random(3)
+    path = tmp_path / "x.jsonl"
+    lines = [rng.choice(["", " ", "a" * rng.randrange(1, 90), "é漢" * rng.randrange(1, 9)]) for _ in range(300)]
+    path.write_text("".join(x + "\n" for x in lines) + "part")
+    whole = tail.whole_until(str(path), path.stat().st_size)
+    for size in (1, 7, 64, 1000, 1 << 20):
+        reader = tail.TailReader({"path": f"{path},{tmp_path / 'none'}", "partbytes": str(size)})
+        end = reader.latestOffset()
+        assert end == {str(path): whole, str(tmp_path / "none"): 0}
+        parts = reader.partitions(reader.initialOffset(), end)
+        assert len(parts) == -(-whole // size)
+        found = [row for part in parts for batch in reader.read(part) for row in batch.to_pylist()]
+        assert [r["value"] for r in found] == [x for x in lines if x.strip()]
+        data = path.read_bytes()
+        assert all(data[r["at"] :].startswith(r["value"].encode() + b"\n") for r in found)
+
+
+def test_tail_of_several_files_is_read_by_tasks(spark, tmp_path):
+    paths = []
+    for n in range(3):
+        paths.append(f"file://{tmp_path}/f{n}.jsonl")
+        (tmp_path / f"f{n}.jsonl").write_text("\n" * 12 + "".join(json.dumps({**herd.SIX[0], "regNumber": f"N{n}{i:02d}"}) + "\n" for i in range(25)))
+    tasks = []
+
+    def sink(records, batch_id):
+        tasks.append(records.select(F.spark_partition_id()).distinct().count())
+        tail.store(str(tmp_path / "store"))(records, batch_id)
+
+    tail.follow(spark, paths, sink, str(tmp_path / "check"), once=True, part_bytes=2000).awaitTermination(120)
+    assert [r.regNumber for r in tail.stored(spark, str(tmp_path / "store")).orderBy("seq").collect()] == [f"N{n}{i:02d}" for n in range(3) for i in range(25)]
+    assert tasks[0] > 3
 
 
 def test_history_stream(spark, tmp_path):
