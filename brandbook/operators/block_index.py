@@ -71,18 +71,24 @@ class BlockIndex:
     def _look_up(self, name: str, wanted: DataFrame, batch: int, loads: list[int] | None = None) -> DataFrame:
         """The rows of a table for the values of ``wanted``, a written table of one column without repeats; of some ``loads`` only, if given."""
         (by,) = wanted.columns
+        if not exists(self.spark, f"{self.path}/{name}"):  # nothing was loaded yet
+            return self._rows(name, batch)
         touched = [r[0] for r in wanted.select(self._bucket(by)).distinct().collect()]  # numbers below ``buckets``
         rows = self._rows(name, batch) if loads is None else self._rows(name, batch).where(F.col("batch").isin(loads))
         return (rows if len(touched) == self.buckets else rows.where(F.col("bucket").isin(touched))).join(wanted, by)
 
     def _counting(self, name: str, of: DataFrame, batch: int) -> DataFrame:
         """The rows that count of blocks ``of(block, batch)``, as ``_roots`` gives them."""
+        if not exists(self.spark, f"{self.path}/{name}"):
+            return self._rows(name, batch).drop("batch", "bucket")
         wanted = materialise(of.select("block").distinct(), "wanted")
         loads = [r[0] for r in of.select("batch").distinct().collect()]  # no more than loads since the last compaction
         return self._look_up(name, wanted, batch, loads).join(of.select("block", "batch").distinct(), ["block", "batch"], "left_semi").drop("batch", "bucket")
 
     def _roots(self, blocks: DataFrame, batch: int) -> DataFrame:
         """(block, root, batch) of written ``blocks(block)``: the block that each is part of now, and the last load that touched that."""
+        if not exists(self.spark, f"{self.path}/status"):
+            return blocks.select("block", F.col("block").alias("root"), F.lit(-1).alias("batch")).where("false")
         found = blocks.select("block", F.col("block").alias("root"))
         while True:
             wanted = materialise(found.select(F.col("root").alias("block")).distinct(), "wanted")
@@ -93,6 +99,8 @@ class BlockIndex:
 
     def _owners(self, keys: DataFrame, batch: int) -> DataFrame:
         """(key, block, batch): the blocks that have ``keys(key)`` now; a mark may be several blocks'."""
+        if not exists(self.spark, f"{self.path}/keys"):
+            return self._rows("keys", batch).select("key", "block", "batch")
         found = materialise(self._look_up("keys", keys, batch).select("key", "block").distinct(), "found")
         roots = self._roots(materialise(found.select("block").distinct(), "held"), batch)
         return found.join(roots, "block").select("key", F.col("root").alias("block"), "batch").distinct()

@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -115,30 +116,37 @@ def weak_links(placed: DataFrame, listed: int = LISTED) -> DataFrame:
     A block lists its combinations as keys if they are few. A junk key may gather thousands of names and dates in one
     block, whose product nothing should list: such wide blocks are met by the combinations that others list, through one
     of the values and then a test of the rest, and by each other in pairs of wide blocks that share each kind of value."""
-    values = lambda c: placed.where(F.col(c).isNotNull()).select("block", c).distinct()
-    several = lambda df, c: df.join(df.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(c), c).select("block", c)
-    own = {c: materialise(values(c) if c in ("dob", "sex") else several(values(c), c), c) for c in ("name", "tattoo", "dob", "sex")}
-    edges = []
+    pairs = F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in ("name", "tattoo", "dob", "sex")))
+    values = placed.select("block", F.explode(pairs).alias("x")).where("x.value is not null").select("block", "x.kind", "x.value").distinct()
+    values = materialise(values, "values")
+
+    def own(c: str) -> DataFrame:
+        rows = values.where(F.col("kind") == c).select("block", F.col("value").alias(c))
+        return rows if c in ("dob", "sex") else rows.join(rows.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(c), c).select("block", c)
+
+    sizes = {}
     for kinds in (("tattoo", "dob", "sex"), ("name", "dob")):
-        sizes = own[kinds[0]].groupBy("block").agg(F.count("*").cast("double").alias("size"))
+        counts = own(kinds[0]).groupBy("block").agg(F.count("*").cast("double").alias("size"))
         for c in kinds[1:]:
-            more = own[c].groupBy("block").agg(F.count("*").cast("double").alias("n"))
-            sizes = sizes.join(more, "block").select("block", (F.col("size") * F.col("n")).alias("size"))
-        sizes = materialise(sizes, "sizes")
-        few, wide = sizes.where(F.col("size") <= listed).select("block"), sizes.where(F.col("size") > listed).select("block")
-        combined = own[kinds[0]].join(few, "block")
+            more = own(c).groupBy("block").agg(F.count("*").cast("double").alias("n"))
+            counts = counts.join(more, "block").select("block", (F.col("size") * F.col("n")).alias("size"))
+        sizes[kinds] = counts.select("block", (F.col("size") > listed).alias("wide"), F.lit(kinds[0]).alias("kind"))
+    sized = materialise(reduce(DataFrame.union, sizes.values()), "sized")
+    wide_kinds = {r.kind for r in sized.where("wide").select("kind").distinct().collect()}
+
+    loose = placed.where("name is not null and specific and not dated").select("name").distinct()
+    keys = own("name").join(loose, "name", "left_semi").select("block", F.concat(F.lit("N|"), "name").alias("key"))
+    edges = []
+    for kinds in sizes:
+        combined = own(kinds[0]).join(sized.where((F.col("kind") == kinds[0]) & ~F.col("wide")).select("block"), "block")
         for c in kinds[1:]:
-            combined = combined.join(own[c], "block")
-        combined = materialise(combined, "combined")
-        edges.append(linked(combined.select("block", F.concat_ws("|", *kinds).alias("key")), "block"))
-        if wide.limit(1).count():
-            edges += _wide_links(combined, {c: materialise(own[c].join(wide, "block"), "wide") for c in kinds})
-    loose = placed.where("name is not null and specific and not dated").select(F.col("name").alias("key")).distinct()
-    edges.append(linked(own["name"].withColumnRenamed("name", "key").join(loose, "key", "left_semi"), "block"))
-    found = edges[0]
-    for more in edges[1:]:
-        found = found.union(more)
-    return found.distinct()
+            combined = combined.join(own(c), "block")
+        if kinds[0] in wide_kinds:
+            combined = materialise(combined, "combined")
+            wide = sized.where((F.col("kind") == kinds[0]) & F.col("wide")).select("block")
+            edges += _wide_links(combined, {c: materialise(own(c).join(wide, "block"), "wide") for c in kinds})
+        keys = keys.union(combined.select("block", F.concat_ws("|", F.lit(kinds[0]), *kinds).alias("key")))
+    return reduce(DataFrame.union, edges, linked(keys, "block")).distinct()
 
 
 def _wide_links(combined: DataFrame, wide: dict[str, DataFrame]) -> list[DataFrame]:

@@ -3,6 +3,8 @@ pages made from the driver's tables."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brandbook.operators import frontier, graph, pages, progress, resolve, robots
@@ -431,7 +433,8 @@ def boards_merged(spark, d):
     """Boards of five publishers: the newest reading of each association counts."""
     at = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = table(spark, d, "events").select((F.col("user_id") % 5).alias("source"), F.struct("event_id", F.col("event_type").alias("association"), at.alias("updated_at")).alias("b"))
-    entries = rows.groupBy("source").agg(F.array_sort(F.collect_list("b")).alias("boards"))
+    # a publisher's board of an hour, as they come in: an array holds that and not all there ever was
+    entries = rows.groupBy("source", F.substring("b.updated_at", 1, 13).alias("hour")).agg(F.array_sort(F.collect_list("b")).alias("boards"))
     return progress.merged_boards(entries).select("association", "source", "event_id", "updated_at")
 
 
@@ -467,13 +470,21 @@ def url_rules(spark, d):
     return frontier.allowed(table(spark, d, "pages").select("page_id", "url"), rules, F.col("url"))
 
 
-@query("""SELECT max(case when replaced then 1 else 0 end) AS empty_over_full, 1 AS forced, 1 AS full_over_empty FROM (SELECT false AS replaced FROM customer)""")
+@query("""
+WITH b AS (SELECT event_type AS association, count(*) AS done FROM events GROUP BY 1)
+SELECT 'kept' AS board, association, done FROM b UNION ALL SELECT 'filled', association, done FROM b
+UNION ALL SELECT 'renewed', association, done FROM (SELECT event_type AS association, count(*) AS done FROM events WHERE user_id % 2 = 0 GROUP BY 1)""")
 def empty_board(spark, d):
-    """An empty board doesn't replace one with readings, unless forced."""
-    full = table(spark, d, "customer").select("c_custkey")
-    empty = full.where("c_custkey < 0")
-    verdicts = [progress.may_replace(full, empty), progress.may_replace(full, empty, force=True), progress.may_replace(empty, full)]
-    return spark.range(1).select(*(F.lit(int(v)).alias(n) for n, v in zip(("empty_over_full", "forced", "full_over_empty"), verdicts)))
+    """Boards published over others and read back: an empty one doesn't replace one with readings, unless forced; others do."""
+    full = table(spark, d, "events").groupBy(F.col("event_type").alias("association")).agg(F.count("*").alias("done"))
+    empty, half = full.where("done < 0"), table(spark, d, "events").where("user_id % 2 = 0").groupBy(F.col("event_type").alias("association")).agg(F.count("*").alias("done"))
+    boards = []
+    for name, first, then, force in (("kept", full, empty, False), ("forced", full, empty, True), ("filled", empty, full, False), ("renewed", full, half, False)):
+        path = workspace(spark, "board")
+        for board, forced in ((first, True), (then, force)):
+            records.replace_board(board, path, "association string, done bigint", forced)
+        boards.append(records.read_snapshot(spark, path, "association string, done bigint").select(F.lit(name).alias("board"), "association", "done"))
+    return reduce(DataFrame.union, boards)
 
 
 @query("""

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brandbook.functions import extract
+from brandbook.operators import progress
 from brandbook.operators.ordered import numbered
 from brandbook.schema import BREED_TOKENS, FRONTIER, PREFIXES, RECORD, STATUS, SUBDOMAINS
-from brandbook.session import discard, publish, published
+from brandbook.session import discard, materialise, publish, published
 
 
 def read_records(spark: SparkSession, paths: str | list[str], array: bool = False) -> DataFrame:
@@ -26,8 +27,19 @@ def read_records(spark: SparkSession, paths: str | list[str], array: bool = Fals
     else:
         text = spark.read.text(paths)
         lines = text.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "value").where(F.trim("value") != "")
-    parsed = lines.select("file", "at", F.from_json("value", f"{RECORD}, _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("r")).where("r is not null and r._bad is null and r.association is not null and r.regNumber is not null")
-    return numbered(parsed, ["file", "at"]).select("seq", "r.*").drop("_bad")
+    return numbered(_valid(lines), ["file", "at"]).select("seq", "r.*").drop("_bad")
+
+
+def _valid(lines: DataFrame) -> DataFrame:
+    """(file, at, r) of the lines that hold a record."""
+    parsed = lines.select("file", "at", F.from_json("value", f"{RECORD}, _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    return parsed.where("r is not null and r._bad is null and r.association is not null and r.regNumber is not null")
+
+
+def _parsed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, at, r) of the records of JSONL files, files named as they are listed."""
+    text = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.lit(None).cast("bigint").alias("at"), "value")
+    return _valid(text.where(F.trim("value") != ""))
 
 
 def malformed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -65,10 +77,40 @@ def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema) if at is None else spark.read.schema(schema).json(at)
 
 
-def loadable(records: DataFrame) -> DataFrame:
-    """(association, n): different registrations that a load without steers would write."""
-    rows = records.where(F.upper(F.trim(F.coalesce("sex", F.lit("")))) != "S").select(F.upper(F.trim("association")).alias("association"), F.upper(F.trim("regNumber")).alias("reg")).distinct()
-    return rows.groupBy("association").agg(F.count("*").alias("n"))
+def replace_board(board: DataFrame, path: str, schema: str, force: bool = False) -> bool:
+    """``snapshot`` unless that would put an empty board in the place of one with readings; whether it did."""
+    if not progress.may_replace(read_snapshot(board.sparkSession, path, schema), board, force):
+        return False
+    snapshot(board, path)
+    return True
+
+
+def loadable(records: DataFrame, *by: str) -> DataFrame:
+    """(association, n): different registrations that a load without steers would write; with columns ``by``, for each of their values."""
+    rows = records.where(F.upper(F.trim(F.coalesce("sex", F.lit("")))) != "S").select(*by, F.upper(F.trim("association")).alias("association"), F.upper(F.trim("regNumber")).alias("reg")).distinct()
+    return rows.groupBy(*by, "association").agg(F.count("*").alias("n"))
+
+
+MANIFEST = "file string, size bigint, changed timestamp, counts map<string,bigint>"
+
+
+def counted(spark: SparkSession, paths: str | list[str], manifest: str) -> DataFrame:
+    """(file, size, association, n) of JSONL files, n as ``loadable`` counts each file by itself. What a file held is kept in the snapshot
+    ``manifest`` with its size and time; only files that are new or have changed are read, and files that are gone fall."""
+    there = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+    known = read_snapshot(spark, manifest, MANIFEST)
+    seen = materialise(there.join(known, ["file", "size", "changed"], "left"), "files")
+    fresh = [r.file for r in seen.where("counts is null").select("file").collect()]  # names, as Spark lists them on the driver too
+    if not fresh and known.count() == seen.count():
+        return seen.select("file", "size", F.explode("counts").alias("association", "n"))
+    found = seen
+    if fresh:
+        per_file = loadable(_parsed(spark, fresh).select("file", "r.*"), "file")
+        counts = per_file.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("association", "n"))).alias("new"))  # an entry an association
+        found = seen.join(counts, "file", "left").withColumn("counts", F.coalesce("counts", "new", F.create_map().cast("map<string,bigint>"))).drop("new")
+    found = materialise(found.select("file", "size", "changed", "counts"), "manifest")
+    snapshot(found, manifest)
+    return found.select("file", "size", F.explode("counts").alias("association", "n"))
 
 
 def read_seeds(spark: SparkSession, path: str, association: str, priority: int = 0) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -113,6 +114,26 @@ def test_tail_of_several_files_is_read_by_tasks(spark, tmp_path):
     assert tasks[0] > 3
 
 
+def test_counts_read_only_what_changed(spark, tmp_path):
+    """Files whose bytes change behind an equal size and time keep their counts: they weren't read."""
+    a, b, manifest = tmp_path / "a.jsonl", tmp_path / "b.jsonl", str(tmp_path / "manifest")
+    jsonl(a, herd.SIX[:3])
+    jsonl(b, [*herd.SIX[3:5], {**herd.SIX[3], "sex": "s", "regNumber": "steer"}, herd.SIX[3]], "not json\n")
+    told = lambda: {(r.file.rsplit("/", 1)[1], r.association): r.n for r in S.counted(spark, str(tmp_path / "*.jsonl"), manifest).collect()}
+    first = {("a.jsonl", "CHIA"): 1, ("a.jsonl", "MAINE"): 1, ("a.jsonl", "SHORT"): 1, ("b.jsonl", "CHIA"): 1, ("b.jsonl", "SHORT"): 1}
+    assert told() == first
+    version = (tmp_path / "manifest" / "_current").read_text()
+    when = a.stat().st_mtime_ns
+    a.write_bytes(b"x" * a.stat().st_size)
+    os.utime(a, ns=(when, when))
+    assert told() == first and (tmp_path / "manifest" / "_current").read_text() == version
+    with b.open("a") as out:
+        out.write(json.dumps(herd.SIX[5]) + "\n")
+    assert told() == first | {("b.jsonl", "ANGUS"): 1}
+    a.unlink()
+    assert told() == {k: n for k, n in first.items() if k[0] == "b.jsonl"} | {("b.jsonl", "ANGUS"): 1}
+
+
 def test_history_stream(spark, tmp_path):
     schema = "association string, t bigint, done bigint, pending bigint"
     src = str(tmp_path / "in")
