@@ -89,7 +89,7 @@ def test_a_rebuild_is_seen_when_it_is_whole(spark, tmp_path, monkeypatch):
 
     def killed(self, records, batch, *rest, **options):
         add(self, records, batch, *rest, **options)
-        raise KeyboardInterrupt("killed once the load was written")
+        raise RuntimeError("killed once the load was written")
 
     monkeypatch.setattr(BlockIndex, "add", killed)
     with pytest.raises(Exception, match="killed"):
