@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +17,23 @@ from brandbook.session import materialise
 SLICE_BYTES = 4 << 20
 
 
+def lean(run):
+    """``run``, a function of a task's batches, that gives memory back to the system at its end. Python workers stay for later
+    tasks, and what they had needed for one stage would add to what the next one needs."""
+
+    @wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+                trim(0)
+
+    return whole
+
+
 def field(batch: pa.RecordBatch, path: str) -> pa.Array:
     """A text column, or a dotted field of a struct column, as bytes. Strings aren't copied for that."""
     name, *inner = path.split(".")
@@ -74,6 +94,7 @@ def row_map(column: str, make: Callable[[], Callable[[bytes | None], tuple]], na
     The result has the input's columns without ``column`` and ``drop``, then ``names``.
     """
 
+    @lean
     def run(batches):
         function = make()
         for whole in batches:

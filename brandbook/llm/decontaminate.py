@@ -27,7 +27,7 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brandbook.llm.arrow import carried, slices, texts, uncarried
+from brandbook.llm.arrow import carried, lean, slices, texts, uncarried
 from brandbook.session import materialise
 
 WINDOW = 13
@@ -133,6 +133,7 @@ def _scan_pass(shared: list, window: int, text: str):
     """One pass over Arrow batches: counts words, adds these blocks' spans and items to those before."""
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
+    @lean
     def run(batches):
         matchers = [Matcher(block.value, window) for block in shared]
         for whole in batches:

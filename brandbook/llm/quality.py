@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import carried, one_text_each, slices, texts, uncarried, without_scan
+from brandbook.llm.arrow import carried, lean, one_text_each, slices, texts, uncarried, without_scan
 from brandbook.session import materialise
 
 SAMPLE = 20_000
@@ -67,6 +67,7 @@ def statistics(text: str) -> list[float]:
 WIDTH = 24
 
 
+@lean
 def _statistics_pass(batches):
     for whole in batches:
         for batch in slices(whole, "scan"):
@@ -111,6 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     return {"cuts": np.array(found.cuts), "weights": np.array(found.weights), "base": found.base}
 
 
+@lean
 def _fit_pass(batches):
     """``fit`` over the labelled rows, at most ``sample``, in one task; nothing where they are of one kind."""
     batches = list(batches)
@@ -126,6 +128,7 @@ def _fit_pass(batches):
 
 
 def _evidence_pass(shared, path: str):
+    @lean
     def run(batches):
         model = shared.value
         for whole in batches:

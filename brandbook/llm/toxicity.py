@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandbook.llm.arrow import carried, one_text_each, slices, texts as texts_of, uncarried, without_scan
+from brandbook.llm.arrow import carried, lean, one_text_each, slices, texts as texts_of, uncarried, without_scan
 from brandbook.session import materialise
 
 SPACE = 1 << 20
@@ -154,6 +154,7 @@ def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, positives: i
     return materialise(one_text_each(rows, chosen, "h", "positive"), "texts")
 
 
+@lean
 def _count_slots(batches):
     counts = np.zeros((2, SPACE), dtype=np.int64)
     memory = Words()
@@ -186,6 +187,7 @@ def _places(chosen: list[int]) -> np.ndarray:
 
 
 def _present(shared):
+    @lean
     def run(batches):
         memory = Words(_places(shared.value))
         for whole in batches:
@@ -267,6 +269,7 @@ def fit(p: Rows, u: Rows, prior: float, steps: int = 300, rate: float = 0.06, de
 def _fit_pass(prior: float, width: int):
     """``fit`` over the rows of ``_present``, all in one task."""
 
+    @lean
     def run(batches):
         got = pa.Table.from_batches(list(batches))
         sides = [Rows.of(got.filter(got["positive"] if side else pc.invert(got["positive"])).drop(["positive", "h"]), width) for side in (True, False)]
@@ -299,6 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
 
 def _scorer(shared, path: str):
+    @lean
     def run(batches):
         model = shared.value
         weights, base, width = np.array(model["weights"]), model["intercept"], len(model["slots"])
