@@ -13,7 +13,7 @@ from brandbook.operators.ordered import numbered
 from brandbook.plans.read_api import Herd
 from brandbook.plans.registry import long, query
 from brandbook.schema import PARENT, RECORD, TABLES
-from brandbook.session import materialise, table, workspace
+from brandbook.session import materialise, spread, table, workspace
 from brandbook.sources import archive, records
 from brandbook.streaming import history
 
@@ -131,9 +131,10 @@ def registry_pages(spark, d) -> DataFrame:
     epds = _page("<table>", _cells("", "CED", "BW", "WW", "YW"), _cells("Subject", "THIS ONE", F.concat((k % 20).cast("string"), F.lit(" +1")), "1.25", "n/a", "-3"), "</table>")
     progeny = _page("<table><tr><td><table>", _cells("Active", "3/4/2016", "M", number(600000), "T2", "CALF", F.concat(number(700000), F.lit(" - MATE"))), "</table></td></tr></table>")
     tabs = [("container", container), ("pedigree", pedigree), ("genotype", genotype), ("epds", F.when(k % 5 > 0, epds)), ("progeny", progeny)]
-    made = F.explode(F.array(*(F.struct(F.lit(name).alias("suffix"), html.alias("html")) for name, html in tabs)))
-    rows = table(spark, d, "part").select(F.lit("chia").alias("association"), number(100000).alias("reg"), made.alias("x"))
-    return rows.select("association", "reg", "x.suffix", "x.html").where("html is not null")
+    parts = spread(table(spark, d, "part"), "p_partkey")
+    # a branch a tab: who reads one tab has only its pages made
+    made = (parts.select(F.lit("chia").alias("association"), number(100000).alias("reg"), F.lit(name).alias("suffix"), html.alias("html")) for name, html in tabs)
+    return reduce(DataFrame.union, made).where("html is not null")
 
 
 @query(r"""

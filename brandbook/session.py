@@ -58,6 +58,13 @@ def materialise(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as a shuffle has partitions, for rows from which much more is made: a
+    small file is read by a task or two, and all that follows would be theirs. The number is given, since adaptive
+    execution would bring rows of few bytes together again."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder, if it is there."""
     jvm = spark.sparkContext._jvm
