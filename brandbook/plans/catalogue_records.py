@@ -171,12 +171,12 @@ def angus_pages(spark, d):
         "<h1>", F.col("p_name"), "</h1><div>Reg: AAA #+", number(20000), "</div><p>", F.when(k % 2 == 0, "Bull").otherwise("Cow"), "</p><p>Birth Date: 09/14/2016\n  Tattoo: none</p><p>[ AMF ]</p><p>also AMAA #", number(400000), "</p><table class='pedigree'>",
         _cells(F.concat(F.lit("AAA #"), number(500000)), F.concat(F.lit("AAA "), number(600000))), _cells(F.concat(F.lit("AAA "), number(700000)), "none"), "</table><table class='mobile-table'>", _cells("CED", "$B"), _cells(F.concat(F.lit("+"), (k % 30).cast("string"), F.lit(".5%")), "185"), "</table>",
     )
-    made = table(spark, d, "part").select(F.lit("ANGUS").alias("association"), number(20000).alias("reg"), F.lit("detail").alias("suffix"), html.alias("html"))
+    made = spread(table(spark, d, "part"), "p_partkey").select(F.lit("ANGUS").alias("association"), number(20000).alias("reg"), F.lit("detail").alias("suffix"), html.alias("html"))
     found, near = pages.parsed(made)
     pair = F.array_join(F.transform("defects", lambda x: F.concat_ws("=", x["code"], x["status"])), ",")
     refs = F.array_join(F.transform("cross_refs", lambda x: F.concat_ws(":", x["association"], x["regNumber"])), ",")
     rows = found.select(F.col("regNumber").alias("reg"), "name", "sex", "dob", pair.alias("defects"), F.col("sire.regNumber").alias("sire"), F.col("dam.regNumber").alias("dam"), refs.alias("cross_refs"), F.element_at("epds", "CED").alias("ced"))
-    return rows.join(near.groupBy("reg").agg(F.count("*").cast("int").alias("near")), "reg")
+    return rows.join(near.groupBy("reg").agg(F.count("*").cast("int").alias("near")).hint("merge"), "reg")
 
 
 # ---- resolution
