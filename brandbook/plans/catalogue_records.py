@@ -192,7 +192,7 @@ SELECT k, CASE kind WHEN 0 THEN 'intl_id' WHEN 1 THEN 'registration' WHEN 2 THEN
 def resolve_ladder(spark, d):
     """Two records of each customer that one rung of the ladder joins, by customer: international id, registration, case,
     cross reference, tattoo with birth date and sex, name with birth date, a nameless-date stub swept up, or none."""
-    c = table(spark, d, "customer")
+    c = spread(table(spark, d, "customer"), "c_custkey")
     k, kind = F.col("c_custkey"), F.col("c_custkey") % 8
     key = k.cast("string")
     when = lambda i, value: F.when(kind == i, value)
@@ -218,7 +218,7 @@ SELECT rung, sum(n)::BIGINT AS n FROM (
   SELECT 'created' AS rung, count(*) AS n FROM customer UNION ALL SELECT CASE c_custkey % 3 WHEN 0 THEN 'registration' WHEN 1 THEN 'dna' ELSE 'created' END, count(*) FROM customer GROUP BY 1) GROUP BY 1""")
 def resolve_stats(spark, d):
     """How many records each rung took: each customer comes twice, joined by registration, by a case, or not at all."""
-    c = table(spark, d, "customer")
+    c = spread(table(spark, d, "customer"), "c_custkey")
     key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
     case = F.when(kind == 1, F.array(F.concat(F.lit("NEO"), key)))
     one = as_records(c, F.col("c_custkey"), association=F.lit("CHIA"), regNumber=key, dna_cases=case, sex=F.lit("M"))

@@ -1,10 +1,13 @@
+import json
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from brandbook.operators import resolve as R
+from brandbook.plans import catalogue_records
 from brandbook.session import materialise
 from tests import herd
 
@@ -119,3 +122,33 @@ def test_a_junk_key_makes_no_product(spark):
     placed = materialise(junk.union(near).toDF(*near.columns), "placed")
     found = materialise(R.weak_links(placed), "links")
     assert found.count() < 10 and plain_links(placed, R.LISTED) == {(0, 0), (1, 0), (5, 0)}
+
+
+def test_blocks_share_batches():
+    body = {**dict.fromkeys(("name", "norm", "intl", "sex", "dob", "tattoo", "color", "horn", "breeder", "owner", "epds", "attributes", "source_url", "scraped_at")), "generic": False, "specific": False, "cases": [], "xrefs": [], "breeds": [], "defects": [], "assoc": "A"}
+    told = [(k, 3 * k, json.dumps({**body, "seq": k, "reg": f"R{k}"})) for k in range(4000)]
+    wide = [(4000, 3 * k, json.dumps({**body, "seq": k, "reg": f"W{k}"})) for k in range(4000, 4000 + R.OUT_ROWS)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["block", "mention", "body"]) for rows in (told[:2500], told[2500:] + wide)]
+    out = list(R._replay_sorted(batches))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert Counter(r["kind"] for r in rows) == dict.fromkeys(("log", "mention", "animal", "registration"), 4000 + R.OUT_ROWS)
+    assert {r["block"] for r in rows if r["kind"] == "animal" and json.loads(r["payload"])["uid"].startswith("A:W")} == {4000}
+    assert all(json.loads(r["payload"])["mention"] == 3 * r["block"] for r in rows if r["kind"] == "mention" and r["block"] < 4000)
+    # not a batch a block, and none without end
+    assert all(R.OUT_ROWS <= b.num_rows < 2 * R.OUT_ROWS for b in out[:-1])
+
+
+@pytest.mark.parametrize("name", ["resolve_ladder", "resolve_stats"])
+def test_records_of_a_small_file_are_made_by_many_tasks(spark, tmp_path, monkeypatch, name):
+    spark.range(2000).selectExpr("id as c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+
+    class Seen(Exception):
+        pass
+
+    def replay(records):
+        raise Seen(records.select(F.spark_partition_id()).distinct().count())
+
+    monkeypatch.setattr(R, "replay", replay)
+    with pytest.raises(Seen) as seen:
+        getattr(catalogue_records, name)(spark, str(tmp_path))
+    assert seen.value.args[0] == 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
